@@ -199,7 +199,7 @@ tk(task_index, task) as (
 
 RULES_SQL = """
 rules(match_text, text, annotation_type, task_label, object_label, scene_label, is_active) as (
-  values ('View the item.', 'Look at the item.', 'paraphrase', 'browse', null, null, true),
+  values ('View the item.', 'Look at the item.', 'paraphrase', 'browse', cast(null as varchar), cast(null as varchar), true),
          ('View the item.', 'Open the item page.', 'paraphrase', 'browse', null, null, true),
          ('Buy the item.', 'Order the item.', 'paraphrase', 'shop', 'item', null, true)
 )"""

@@ -370,8 +370,7 @@ def manifest_from_frames(spark, sf):
 
 @register(
     "manifest_defaults",
-    f"""with {X.FE_SQL}, numbered as (select row_number() over (order by episode_index, task_index, "timestamp", frame_index) - 1 as n
-    from fe) select concat_ws('_', 'sample', 'ep_unknown', 'task_inst_unknown', n) as sample_id,
+    f"""with {X.FE_SQL}, numbered as (select row_number() over () - 1 as n from fe) select concat_ws('_', 'sample', 'ep_unknown', 'task_inst_unknown', n) as sample_id,
     'ep_unknown' as episode_id, 'task_inst_unknown' as instruction_id, cast(null as varchar) as instruction_text,
     n as anchor_frame, n - 10 as observation_start_frame, n as observation_end_frame, n + 1 as action_start_frame,
     n + 10 as action_end_frame from numbered where n % 30 = 0 and n - 10 >= 0""",

@@ -216,20 +216,24 @@ def sample_refs(manifest: DataFrame, refs: DataFrame, keep: Sequence[str] = ())
 
 
 def export_stats(manifest: DataFrame, refs: DataFrame) -> DataFrame:
-    """One row of counters. Missing videos are those of exported episodes."""
+    """One row of counters of a stored manifest. Missing videos are those of exported episodes."""
 
     def or_else(name: str, other: Column) -> Column:
         return F.coalesce(F.col(name).cast("string"), other) if name in manifest.columns else other
 
-    totals = manifest.agg(
-        F.count(F.lit(1)).alias("export_total_samples"),
-        F.countDistinct(_instruction()).alias("export_total_tasks"),
-        F.countDistinct(or_else("source_sample_id", F.col("sample_id"))).alias("source_sample_count"),
-        F.countDistinct("episode_id").alias("source_episode_count"),
-    )
+    # one distinct count per aggregate: together they would multiply the rows
+    distinct = {
+        "export_total_tasks": _instruction(),
+        "source_sample_count": or_else("source_sample_id", F.col("sample_id")),
+        "source_episode_count": F.col("episode_id"),
+    }
     used = manifest.select("episode_id").distinct()
     missing = refs.where(~F.col("exists")).join(used, "episode_id", "left_semi")
-    return merge_rows(totals, missing.agg(F.countDistinct("path").alias("missing_video_ref_count")))
+    return merge_rows(
+        manifest.agg(F.count(F.lit(1)).alias("export_total_samples")),
+        *[manifest.agg(F.countDistinct(value).alias(name)) for name, value in distinct.items()],
+        missing.agg(F.countDistinct("path").alias("missing_video_ref_count")),
+    )
 
 
 def merge_rows(*rows: DataFrame) -> DataFrame:

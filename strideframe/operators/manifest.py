@@ -10,7 +10,7 @@ from strideframe.functions.columns import col, first_present
 from strideframe.functions.digest import content_digest
 from strideframe.functions.ids import sample_key, task_key
 from strideframe.operators.annotations import active_annotations
-from strideframe.operators.ordering import with_global_index
+from strideframe.operators.ordering import sort_stored, with_global_index
 
 WINDOW_BOUNDS = ["observation_start_frame", "observation_end_frame", "action_start_frame", "action_end_frame"]
 _SYNC_FIELDS = [
@@ -90,11 +90,6 @@ def plain_manifest(samples: DataFrame, config: ManifestConfig) -> DataFrame:
 def frame_manifest(frames: DataFrame, config: FrameManifestConfig) -> DataFrame:
     """A manifest straight from raw frames, with stand-ins for columns the frames lack (9 columns)."""
     names = frames.columns
-    frame_name = first_present(names, [*FRAME_NAMES, "timestamp"])
-    if frame_name is None:
-        # a repeatable position: rows that tie in every column are equal, so their order does not matter
-        frame_name = "_position"
-        frames = with_global_index(frames, names, frame_name)
 
     def picked(candidates: list[str], default: str | None):
         name = first_present(names, candidates)
@@ -103,12 +98,19 @@ def frame_manifest(frames: DataFrame, config: FrameManifestConfig) -> DataFrame:
     episode = picked(EPISODE_NAMES, "ep_unknown")
     if config.episodes:
         frames = frames.where(episode.try_cast("long").isin(*config.episodes))
-    anchors = frames.select(
+    described = [
         episode.cast("string").alias("episode_id"),
         task_key(picked(TASK_NAMES, "inst_unknown")).alias("instruction_id"),
         picked(TEXT_NAMES, None).cast("string").alias("instruction_text"),
-        col(frame_name).cast("long").alias("anchor_frame"),
-    ).where(F.col("anchor_frame") % config.stride == 0)
+    ]
+    frame_name = first_present(names, [*FRAME_NAMES, "timestamp"])
+    if frame_name:
+        anchors = frames.select(*described, col(frame_name).cast("long").alias("anchor_frame"))
+    else:
+        # a repeatable position among the columns that reach the manifest
+        rows = frames.select(*described)
+        anchors = with_global_index(rows, rows.columns, "anchor_frame")
+    anchors = anchors.where(F.col("anchor_frame") % config.stride == 0)
     bounds = [
         (F.col("anchor_frame") + F.lit(offset)).alias(f"{role}_{side}_frame")
         for role, offsets in config.window.roles.items()
@@ -127,7 +129,7 @@ def manifest_order(manifest: DataFrame) -> list[str]:
 
 def sort_manifest(manifest: DataFrame) -> DataFrame:
     """Episode ids compare as text, so episode 10 comes before episode 2."""
-    return manifest.orderBy(*manifest_order(manifest))
+    return sort_stored(manifest, manifest_order(manifest))
 
 
 def manifest_digest(manifest: DataFrame) -> DataFrame:

@@ -32,9 +32,24 @@ def indexed_rows(stored: DataFrame, name: str = "index") -> DataFrame:
     )
 
 
+def sort_stored(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` sorted by ``order``, from a stored copy.
+
+    A range sort reads its input twice, once to sample it; the copy saves running the plan of ``df`` twice. The
+    place of a row in the copy is the last sort key: it never changes, and it lets the sort split rows that are
+    equal in ``order`` over several tasks.
+    """
+    stored = scratch.store(df, "unsorted")
+    meta = F.col("_metadata")
+    placed = stored.select(
+        *[col(c) for c in stored.columns], meta["file_name"].alias("_file"), meta["row_index"].alias("_row")
+    )
+    return placed.orderBy(*[col(c) for c in order], "_file", "_row").drop("_file", "_row")
+
+
 def with_global_index(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:
     """``df`` with its 0-based position by ``order``: one range sort into a stored table, then file offsets."""
-    return indexed_rows(scratch.store(df.orderBy(*[col(c) for c in order]), "ordered"), name)
+    return indexed_rows(scratch.store(sort_stored(df, order), "ordered"), name)
 
 
 def with_group_position(

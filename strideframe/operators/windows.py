@@ -47,101 +47,91 @@ class AnchorGrid:
         """Smallest anchor number whose observation window starts at frame 0 or later."""
         return -(self.window.observation_start_offset // self.stride)
 
-    def numbers(self, frame: Column, low: int, high: int) -> tuple[Column, Column]:
-        """First and last anchor number (anchor / stride) with low <= frame - anchor <= high."""
-        first = ceil_div(frame - F.lit(high), self.stride)
-        last = floor_div(frame - F.lit(low), self.stride)
-        return F.greatest(first, F.lit(self.first_anchor).cast("long")), last
-
     @property
     def hull(self) -> tuple[int, int]:
         """Offsets from the start of the first window to the end of the last; empty windows do not count."""
         spans = [(low, high) for low, high in self.window.roles.values() if low <= high]
         return (min(s[0] for s in spans), max(s[1] for s in spans)) if spans else (0, -1)
 
-    def covered(self, frame: Column) -> Column:
-        """True when the frame lies in at least one window."""
-        test = F.lit(False)
-        for low, high in self.window.roles.values():
-            first, last = self.numbers(frame, low, high)
-            test = test | (first <= last)
-        return test
-
-    def cells(self, frame: Column) -> Column:
-        """The cells that need this frame. Call only on covered frames."""
-        first, last = self.numbers(frame, *self.hull)
-        return F.sequence(floor_div(first, self.anchors_per_cell), floor_div(last, self.anchors_per_cell))
-
-    def memberships(self, frame: Column, cell: Column) -> Column:
-        """The (anchor, role) pairs of one cell whose window holds the frame."""
-        def pairs(role: str, low: int, high: int) -> Column:
-            first, last = self.numbers(frame, low, high)
-            first = F.greatest(first, cell * self.anchors_per_cell)
-            last = F.least(last, cell * self.anchors_per_cell + (self.anchors_per_cell - 1))
-            numbers = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<long>"))
-            return F.transform(
-                numbers,
-                lambda k: F.struct(
-                    (k * self.stride).alias("anchor"),
-                    F.lit(role).alias("role"),
-                    (k * self.stride + low).alias("window_start"),
-                ),
-            )
-
-        return F.concat(*[pairs(role, low, high) for role, (low, high) in self.window.roles.items()])
+    def numbers(self, frame: Column) -> tuple[Column, Column]:
+        """First and last anchor number (anchor / stride) whose hull holds the frame."""
+        low, high = self.hull
+        first = F.greatest(ceil_div(frame - F.lit(high), self.stride), F.lit(self.first_anchor).cast("long"))
+        return first, floor_div(frame - F.lit(low), self.stride)
 
+    def inside(self, role: str) -> Column:
+        """True when ``frame`` lies in the role's window of ``anchor``."""
+        low, high = self.window.roles[role]
+        return (F.col("frame") - F.col("anchor")).between(low, high)
 
-def window_frames(frames: DataFrame, grid: AnchorGrid) -> DataFrame:
-    """One row per distinct (window, frame, timestamp): ``episode, cell, anchor, role, frame, ts, copies, gap``.
 
-    ``gap`` is the step in time from the row before it in the same window, NULL for the first one.
+def window_frames(frames: DataFrame, grid: AnchorGrid) -> DataFrame:
+    """One row per anchor and distinct (frame, timestamp) near it: ``episode, cell, anchor, frame, ts, copies``, whether
+    the frame is in each role's window (``in_<role>``) and the row before it in time order (``prev_frame, prev_ts``).
     """
-    distinct = (
-        frames.where(F.col("episode").isNotNull() & F.col("frame").isNotNull() & grid.covered(F.col("frame")))
-        .groupBy("episode", "frame", "ts")
-        .agg(F.count(F.lit(1)).alias("copies"))
+    first, last = grid.numbers(F.col("frame"))
+    near = frames.select("episode", "frame", "ts", first.alias("first"), last.alias("last")).where(
+        F.col("episode").isNotNull() & (F.col("first") <= F.col("last"))
     )
-    in_cells = distinct.withColumn("cell", F.explode(grid.cells(F.col("frame"))))
-    earlier = Window.partitionBy("episode", "cell").orderBy("frame", "ts")
-    stepped = in_cells.withColumn("_frame", F.lag("frame").over(earlier)).withColumn("_ts", F.lag("ts").over(earlier))
-    member = F.explode(grid.memberships(F.col("frame"), F.col("cell")))
-    return stepped.withColumn("_m", member).select(
+    # exact copies of a frame become one row before anything is shuffled
+    distinct = near.groupBy("episode", "frame", "ts").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("first").alias("first"), F.min("last").alias("last")
+    )
+    size = grid.anchors_per_cell
+    cells = F.sequence(floor_div(F.col("first"), size), floor_div(F.col("last"), size))
+    in_cells = distinct.select("*", F.explode(cells).alias("cell"))
+    before = Window.partitionBy("episode", "cell").orderBy("frame", "ts")
+    stepped = in_cells.select(
         "episode",
         "cell",
-        F.col("_m.anchor").alias("anchor"),
-        F.col("_m.role").alias("role"),
         "frame",
         "ts",
         "copies",
-        F.when(F.col("_frame") >= F.col("_m.window_start"), F.col("ts") - F.col("_ts")).alias("gap"),
+        F.greatest(F.col("first"), F.col("cell") * size).alias("first"),
+        F.least(F.col("last"), F.col("cell") * size + (size - 1)).alias("last"),
+        F.lag("frame").over(before).alias("prev_frame"),
+        F.lag("ts").over(before).alias("prev_ts"),
     )
+    spread = stepped.select(
+        *[c for c in stepped.columns if c not in ("first", "last")],
+        F.explode(F.sequence("first", "last")).alias("number"),
+    ).withColumn("anchor", F.col("number") * grid.stride)
+    roles = {role: grid.inside(role).alias(f"in_{role}") for role in grid.window.roles}
+    kept = ["episode", "cell", "anchor", "frame", "ts", "copies", "prev_frame", "prev_ts"]
+    return spread.select(*kept, *roles.values())
 
 
-def anchor_statistics(frames: DataFrame, grid: AnchorGrid) -> DataFrame:
-    """Statistics of both windows of every (episode, anchor) with at least one frame in a window."""
-    measures = []
-    for role in grid.window.roles:
-        mine = F.col("role") == role
+def step_in_window(grid: AnchorGrid, role: str) -> Column:
+    """Time since the row before, NULL when that row is not in the same window."""
+    low, _ = grid.window.roles[role]
+    present = F.col("prev_frame") >= F.col("anchor") + F.lit(low)
+    return F.when(F.col(f"in_{role}") & present, F.col("ts") - F.col("prev_ts"))
 
-        def pick(value, mine=mine):
-            return F.when(mine, value)
 
+def anchor_statistics(frames: DataFrame, grid: AnchorGrid) -> DataFrame:
+    """Statistics of both windows of every (episode, anchor) with at least one frame near it."""
+    rows = window_frames(frames, grid)
+    steps = {role: step_in_window(grid, role).alias(f"step_{role}") for role in grid.window.roles}
+    measures = []
+    for role in steps:
+        inside, step = F.col(f"in_{role}"), F.col(f"step_{role}")
         # copies of one frame are zero steps apart
-        still = F.when((F.col("copies") > 1) & F.col("ts").isNotNull(), F.lit(0.0))
-        first, last = F.min(pick(F.col("ts"))), F.max(pick(F.col("ts")))
+        still = F.when(inside & (F.col("copies") > 1) & F.col("ts").isNotNull(), F.lit(0.0))
+        low, high = F.min(F.when(inside, F.col("ts"))), F.max(F.when(inside, F.col("ts")))
         values = [
-            F.sum(pick(F.col("copies"))),
-            F.min(pick(F.col("frame"))),
-            F.max(pick(F.col("frame"))),
-            first,
-            last,
-            last - first,
-            F.max(pick(F.greatest(F.abs("gap"), still))),
-            F.min(pick(F.least(F.col("gap"), still))),
+            F.sum(F.when(inside, F.col("copies"))),
+            F.min(F.when(inside, F.col("frame"))),
+            F.max(F.when(inside, F.col("frame"))),
+            low,
+            high,
+            high - low,
+            F.max(F.greatest(F.abs(step), still)),
+            F.min(F.least(step, still)),
         ]
         measures += [value.alias(name) for value, name in zip(values, statistic_names(role))]
     # the cell is kept in the keys: it is where the rows already are, so this adds no shuffle
-    return window_frames(frames, grid).groupBy("episode", "cell", "anchor").agg(*measures).drop("cell")
+    grouped = rows.select("*", *steps.values()).groupBy("episode", "cell", "anchor")
+    return grouped.agg(*measures).drop("cell")
 
 
 def attach_statistics(anchors: DataFrame, frames: DataFrame, grid: AnchorGrid) -> DataFrame:
@@ -189,10 +179,18 @@ def attach_statistics(anchors: DataFrame, frames: DataFrame, grid: AnchorGrid) -
 
 def window_gaps(anchors: DataFrame, frames: DataFrame, grid: AnchorGrid) -> DataFrame:
     """Every frame of every sample's windows with the step in time before it; copies are listed one by one."""
-    rows = window_frames(frames, grid).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    gap = F.when(F.col("_copy") == 1, F.col("gap")).when(F.col("ts").isNotNull(), F.lit(0.0))
+    rows = window_frames(frames, grid)
     samples = anchors.select("sample_id", "episode", F.col("anchor_frame").alias("anchor")).distinct()
-    return samples.join(rows, ["episode", "anchor"]).select(
+    result = None
+    for role in grid.window.roles:
+        step = step_in_window(grid, role)
+        listed = rows.where(F.col(f"in_{role}")).select(
+            "episode", "anchor", F.lit(role).alias("role"), "frame", "ts", step.alias("step"),
+            F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
+        )
+        result = listed if result is None else result.union(listed)
+    gap = F.when(F.col("copy") == 1, F.col("step")).when(F.col("ts").isNotNull(), F.lit(0.0))
+    return samples.join(result, ["episode", "anchor"]).select(
         "sample_id",
         "role",
         F.col("frame").alias("window_frame"),
