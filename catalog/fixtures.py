@@ -19,6 +19,7 @@ from strideframe.config import (
     WindowSpec,
 )
 from strideframe.operators.ordering import with_group_position
+from strideframe.sources.small import literal_table
 
 CREATED_AT = "2026-01-01T00:00:00+00:00"
 
@@ -121,7 +122,7 @@ def turn_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def task_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TASKS, "task_index long, task string")
+    return literal_table(spark, TASKS, "task_index long, task string")
 
 
 def episode_metadata(frames: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ from strideframe.plans import build_checks as B
 from strideframe.plans import summaries
 from strideframe.plans.export_files import export_checks
 from strideframe.sources import files, scratch
+from strideframe.sources.small import literal_table
 from strideframe.sources.snapshots import SnapshotStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,9 +87,14 @@ def file_row_counts(spark, sf):
     return counted[0].union(counted[1]).select(name.alias("file_name"), "rows")
 
 
-@register("file_inventory")
+_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
+@register("file_inventory", " union all ".join(f"select '{t}.parquet' as path, true as has_bytes" for t in _TABLES))
 def file_inventory(spark, sf):
-    return files.list_files(spark, sf, "*.parquet")
+    return files.list_files(spark, sf, "*.parquet").select("path", (F.col("length") > 0).alias("has_bytes"))
 
 
 @register(
@@ -328,7 +334,7 @@ def annotations_per_episode_summary(spark, sf):
 
 # --- manifest ---------------------------------------------------------------------------------------------------------
 
-_MANIFEST_COLUMNS = R.MANIFEST_SCHEMA.replace(" string", "").replace(" long", "").replace(" double", "")
+_MANIFEST_COLUMNS = ", ".join(M.ANNOTATED_COLUMNS)
 
 
 def _manifest(spark, sf, config=X.MANIFEST):
@@ -423,6 +429,13 @@ def manifest_json_lines(spark, sf):
     return spark.read.text(path)
 
 
+@register("manifest_scan", f"with {X.FE_MANIFEST_SQL} select {_MANIFEST_COLUMNS} from manifest")
+def manifest_scan(spark, sf):
+    path = scratch.new_path(spark, "manifest-scan")
+    M.write_json_lines(of(spark, sf, "manifest"), path)
+    return M.read_json_lines(spark, path)
+
+
 @register(
     "registry_stats",
     f"""with {X.FE_MANIFEST_SQL}, {_DIGEST_SQL}
@@ -803,7 +816,7 @@ def shard_plan_size(spark, sf):
 )
 def shard_pattern_sizes(spark, sf):
     patterns = ["videos/**", "videos/cam_b/**", "videos/cam_a/chunk-00*", "meta/**"]
-    table = spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    table = literal_table(spark, [(p,) for p in patterns], "pattern string")
     return S.pattern_sizes(table, of(spark, sf, "files"))
 
 
@@ -1004,14 +1017,32 @@ def export_missing_videos(spark, sf):
     return E.missing_video_paths(of(spark, sf, "manifest"), of(spark, sf, "video_refs"))
 
 
-@register("export_features")
+_FEATURES = {
+    **{n: "int64" for n in ("annotation_snapshot_id", "source_frames_snapshot_id", "source_anchor_frame", *M.WINDOW_BOUNDS)},
+    **{n: "int64" for n in ("observation_rows", "action_rows", "frame_index", "episode_index", "index", "task_index")},
+    **{n: "float32" for n in ("anchor_timestamp", "max_timestamp_gap_seconds", "timestamp")},
+    **{
+        n: "string"
+        for n in ("sample_id source_sample_id source_episode_id source_instruction_id source_instruction_text instruction_id "
+                  "annotation_type annotation_version annotation_policy annotation_language task_label object_label "
+                  "scene_label annotation_table sync_status sync_rule source_frames_table task.instructions").split()
+    },
+}
+
+
+@register(
+    "export_features",
+    f"""with {X.FE_SQL} select * from (values {", ".join(f"('{n}', '{d}', cast(1 as bigint))" for n, d in _FEATURES.items())})
+    v(feature, dtype, length) union all select 'observation.state', 'float32', 2
+    union all select 'action', 'list', max(len([value])) from fe""",
+)
 def export_features(spark, sf):
     rows = of(spark, sf, "export")
     info = {"features": {"observation.state": {"dtype": "float32", "shape": [2], "names": ["value", "k"]}}}
     totals = E.export_stats(of(spark, sf, "manifest"), of(spark, sf, "video_refs")).first().asDict()
     features = E.export_info(rows, info, totals, "0" * 64)["features"]
     listed = [(name, f["dtype"], f["shape"][0]) for name, f in features.items()]
-    return spark.createDataFrame(listed, "feature string, dtype string, length long")
+    return literal_table(spark, listed, "feature string, dtype string, length long")
 
 
 @register(

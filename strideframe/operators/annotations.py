@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from strideframe.config import AnnotationConfig
 from strideframe.functions.ids import instruction_key
+from strideframe.sources.small import literal_table
 
 # fixed order of the annotation table
 ANNOTATION_COLUMNS = [
@@ -31,7 +32,7 @@ def rule_table(spark: SparkSession, config: AnnotationConfig) -> DataFrame:
         for rule in config.rules
         for text in rule.texts
     ]
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    return literal_table(spark, rows, RULE_SCHEMA)
 
 
 def source_annotations(samples: DataFrame, config: AnnotationConfig) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from strideframe.functions.columns import any_null, col
 from strideframe.functions.integers import floor_div
+from strideframe.sources.small import literal_table
 
 OFFENDER_LIMIT = 20
 QUALITY_FLAGS = ["is_window_complete", "is_timestamp_monotonic", "is_gap_within_threshold"]
@@ -133,7 +134,7 @@ def episode_length_mismatches(episodes: DataFrame, frames: DataFrame) -> DataFra
     """Listed episodes whose length is not their number of frame rows."""
     counted = frames.groupBy(F.col("episode_index").cast("long").alias("_e")).agg(F.count(F.lit(1)).alias("_n"))
     if not {"episode_index", "length"} <= set(episodes.columns):
-        return episodes.sparkSession.createDataFrame([], "episode_index long, metadata_length long, frame_rows long")
+        return literal_table(episodes.sparkSession, [], "episode_index long, metadata_length long, frame_rows long")
     listed = episodes.select(
         F.col("episode_index").cast("long").alias("episode_index"), F.col("length").cast("long").alias("metadata_length")
     ).dropna()
@@ -172,7 +173,7 @@ def vector_shapes(frames: DataFrame, keys: Sequence[str], info: dict[str, Any])
         return F.count_if(col(key).isNull() | (F.size(col(key)) != length))
 
     schema = "feature string, status string, expected_length long, bad_rows long"
-    fixed = frames.sparkSession.createDataFrame([(*row, None) for row in rows], schema)
+    fixed = literal_table(frames.sparkSession, [(*row, None) for row in rows], schema)
     if not measured:
         return fixed
     totals = frames.agg(*[bad(key, n).alias(f"b{i}") for i, (key, n) in enumerate(measured.items())])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strideframe.config import FrameManifestConfig, ManifestConfig
@@ -11,6 +11,7 @@ from strideframe.functions.digest import content_digest
 from strideframe.functions.ids import sample_key, task_key
 from strideframe.operators.annotations import active_annotations
 from strideframe.operators.ordering import sort_stored, with_global_index
+from strideframe.sources import files
 
 WINDOW_BOUNDS = ["observation_start_frame", "observation_end_frame", "action_start_frame", "action_end_frame"]
 _SYNC_FIELDS = [
@@ -29,6 +30,10 @@ _ANNOTATION_FIELDS = {
     "object_label": "object_label",
     "scene_label": "scene_label",
 }
+ANNOTATED_COLUMNS = [
+    "sample_id", "source_sample_id", "episode_id", "source_instruction_id", "source_instruction_text",
+    *_ANNOTATION_FIELDS.values(), "annotation_table", "annotation_snapshot_id", *_SYNC_FIELDS,
+]
 PLAIN_COLUMNS = ["sample_id", "episode_id", "instruction_id", "instruction_text", *_SYNC_FIELDS]
 # sorting by these is total on a manifest without repeated sample ids
 MANIFEST_ORDER = ["episode_id", "anchor_frame", "instruction_id", "source_sample_id", "sample_id"]
@@ -147,6 +152,20 @@ def write_json_lines(manifest: DataFrame, path: str) -> None:
     sort_manifest(manifest).write.mode("overwrite").json(path)
 
 
+def _json_type(name: str) -> str:
+    if name.endswith("_timestamp") or name.endswith("_seconds"):
+        return "double"
+    return "long" if name.endswith(("_frame", "_rows", "_snapshot_id")) else "string"
+
+
+JSON_SCHEMA = ", ".join(f"{name} {_json_type(name)}" for name in ANNOTATED_COLUMNS)
+
+
+def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A manifest from its JSON lines, typed; columns a shorter manifest does not have are NULL."""
+    return files.read_json_lines(spark, path, JSON_SCHEMA)
+
+
 def expected_rows(samples: DataFrame, annotations: DataFrame | None, config: ManifestConfig) -> DataFrame:
     """Rows the manifest must have, from per-key counts instead of the join itself."""
     s = required_status(samples, config)

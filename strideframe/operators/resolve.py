@@ -21,18 +21,6 @@ ROLES = ("observation", "action")
 WINDOW_KEY = ["episode_id", "role", "first", "last"]
 _BASE = ("episode_index", "frame_index", "timestamp")
 
-MANIFEST_SCHEMA = (
-    "sample_id string, source_sample_id string, episode_id string, source_instruction_id string,"
-    " source_instruction_text string, instruction_id string, instruction_text string, annotation_type string,"
-    " annotation_version string, annotation_policy string, annotation_language string, task_label string,"
-    " object_label string, scene_label string, annotation_table string, annotation_snapshot_id long,"
-    " anchor_frame long, observation_start_frame long, observation_end_frame long, action_start_frame long,"
-    " action_end_frame long, anchor_timestamp double, observation_start_timestamp double,"
-    " observation_end_timestamp double, action_start_timestamp double, action_end_timestamp double,"
-    " observation_rows long, action_rows long, max_timestamp_gap_seconds double, sync_status string,"
-    " sync_rule string, source_frames_table string, source_frames_snapshot_id long"
-)
-
 
 def observation_columns(names: list[str]) -> list[str]:
     return [n for n in names if n in _BASE or n.startswith("observation.")]

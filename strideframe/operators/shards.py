@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from strideframe.config import EpisodeFilter
 from strideframe.functions.columns import col, first_present
 from strideframe.operators.manifest import EPISODE_NAMES
 from strideframe.operators.video import _shards, shard_keys
+from strideframe.sources.small import literal_table
 
 BASE_PATTERNS = ("README.md", "meta/**", "data/**")
 
@@ -49,7 +51,7 @@ def shard_paths(episodes: DataFrame, video_keys: Sequence[str] | None = None) ->
 
 def plan_patterns(paths: DataFrame, base: Sequence[str] = BASE_PATTERNS) -> DataFrame:
     """Base patterns and shard paths together, each once."""
-    fixed = paths.sparkSession.createDataFrame([(p,) for p in base], "pattern string")
+    fixed = literal_table(paths.sparkSession, [(p,) for p in base], "pattern string")
     return fixed.union(paths.select(F.col("path").alias("pattern"))).distinct()
 
 
@@ -99,6 +101,24 @@ def plan_size(sizes: DataFrame) -> DataFrame:
     )
 
 
+def shard_plan(
+    episodes: DataFrame,
+    files: DataFrame,
+    chosen: EpisodeFilter,
+    video_keys: Sequence[str] | None = None,
+    base: Sequence[str] = BASE_PATTERNS,
+    max_gib: float | None = None,
+) -> tuple[DataFrame, dict[str, Any]]:
+    """Pattern sizes of the chosen episodes and the plan's totals; an error when nothing matches or it is too large."""
+    kept = select_episodes(episodes, chosen)
+    if kept.isEmpty():
+        raise ValueError("no episode metadata matches the chosen episodes")
+    sizes = pattern_sizes(plan_patterns(shard_paths(kept, video_keys), base), files)
+    totals = plan_size(sizes).first().asDict()
+    check_budget(totals["estimated_bytes"], max_gib)
+    return sizes, totals
+
+
 def check_budget(estimated_bytes: int | None, max_gib: float | None) -> None:
     """An unknown size passes: there is nothing to compare."""
     if estimated_bytes is None or max_gib is None:

@@ -23,13 +23,14 @@ from strideframe.plans import summaries
 from strideframe.plans.contract import Snapshot, contract_report, load_snapshot
 from strideframe.plans.export_files import validate_export, write_export
 from strideframe.sources import files
+from strideframe.sources.small import literal_table
 from strideframe.sources.snapshots import Commit, SnapshotStore
 
 RAW = {"frames": "raw.frames", "episodes": "raw.episodes", "tasks": "raw.tasks"}
 SYNCED = "synced.samples"
 ANNOTATIONS = "annotations.instructions"
 MANIFEST = "manifests.samples"
-MANIFEST_FORMAT = "robot_dataset_manifest_v0"  # fixed name of the manifest format
+MANIFEST_FORMAT = "episode_manifest_v0"
 
 
 @dataclass(frozen=True)
@@ -61,7 +62,7 @@ def ingest(store: SnapshotStore, snapshot_dir: str, codec: str = "snappy") -> di
     episodes, episode_source = files.read_episodes(spark, snapshot_dir, store.read(RAW["frames"]))
     tasks, task_source = files.read_tasks(spark, snapshot_dir)
     if tasks is None:
-        tasks = spark.createDataFrame([], "task_index long, task string")
+        tasks = literal_table(spark, [], "task_index long, task string")
     return {
         RAW["frames"]: {"rows": frames.rows, "source": "data"},
         RAW["episodes"]: {"rows": store.write(RAW["episodes"], episodes, codec).rows, "source": episode_source},
@@ -184,7 +185,7 @@ def validation_step(store: SnapshotStore, s: BuildSettings) -> dict[str, Any]:
     registry = {name: document(name) for name in ("metadata", "lineage", "stats")}
     samples, synced_id = store.read(SYNCED), store.latest_id(SYNCED)
     annotations = store.read(ANNOTATIONS) if s.manifest.annotation_table is not None else None
-    json_rows = files.read_json_lines(spark, registry["metadata"]["manifest_path"], "sample_id string")
+    json_rows = M.read_json_lines(spark, registry["metadata"]["manifest_path"])
     checks = B.raw_checks(store, RAW).union(
         B.synced_checks(samples, s.manifest, synced_id, document("sync_lineage"), document("sync_stats"))
     )
@@ -260,6 +261,7 @@ def inspect_tables(store: SnapshotStore, snapshot: Snapshot) -> dict[str, Any]:
     first = store.read(MANIFEST).orderBy(*M.manifest_order(store.read(MANIFEST))).limit(1)
     resolved: DataFrame = preview(resolve_samples(first, snapshot.frames))
     return {
+        "snapshot": summaries.snapshot_summary(store.spark, snapshot.path),
         "raw": {name: summaries.table_summary(store, name) for name in RAW.values()},
         "synced": summaries.synced_summary(store, SYNCED, 3),
         "annotations": summaries.annotation_summary(store, ANNOTATIONS, 6),

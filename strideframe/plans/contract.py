@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from strideframe.operators import checks as C
 from strideframe.operators.video import video_refs
 from strideframe.sources import files, scratch
+from strideframe.sources.small import literal_table, one_row
 
 SUITE = "contract"
-CONTRACT_NAME = "robot_dataset_contract_v1"  # fixed name of the contract version
+CONTRACT_NAME = "episode_contract_v1"
 REQUIRED_FRAME_COLUMNS = ["episode_index", "frame_index", "task_index", "timestamp"]
 ACTION_NAMES = ["action", "action.continuous", "action.discrete"]
 
@@ -101,7 +102,7 @@ def frame_quality_checks(frames: DataFrame, episodes: DataFrame | None, tasks: D
     result = C.check_rows(totals, rows)
     lengths = C.episode_length_mismatches(episodes, frames) if episodes is not None else None
     if lengths is None:
-        mismatch = spark.range(1).select(F.lit(0).alias("n"))
+        mismatch = one_row(spark).select(F.lit(0).alias("n"))
         first = F.lit("[]")
     else:
         mismatch = lengths.agg(F.count(F.lit(1)).alias("n"))
@@ -112,7 +113,7 @@ def frame_quality_checks(frames: DataFrame, episodes: DataFrame | None, tasks: D
             [C.check(SUITE, "episode_lengths_match_frames", F.col("n") == 0, {"mismatch_count": F.col("n"), "first": first})],
         )
     )
-    known = tasks if tasks is not None and "task_index" in tasks.columns else spark.createDataFrame([], "task_index long")
+    known = tasks if tasks is not None and "task_index" in tasks.columns else literal_table(spark, [], "task_index long")
     uncovered = C.uncovered_tasks(frames, known)
     covered = C.check(
         SUITE,
@@ -136,14 +137,13 @@ def contract_checks(snapshot: Snapshot) -> DataFrame:
         return df.count() if df is not None else 0
 
     counts = {"episodes": rows_of(snapshot.episodes), "tasks": rows_of(snapshot.tasks), "frames": rows_of(frames)}
-    frame_files = snapshot.listing.where(F.col("path").startswith("data/") & F.col("path").endswith(".parquet"))
-    listed = snapshot.listing.agg(F.count(F.lit(1)).alias("files"))
-    n_files = {"all": listed.first()["files"], "frames": frame_files.count()}
+    of_frames = F.col("path").startswith("data/") & F.col("path").endswith(".parquet")
+    n_files = snapshot.listing.agg(F.count(F.lit(1)).alias("all"), F.count_if(of_frames).alias("frames")).first()
 
     def fixed(name: str, ok: bool, details: dict[str, Any]) -> Column:
         return C.check(SUITE, name, F.lit(bool(ok)), {k: F.lit(str(v)) for k, v in details.items()})
 
-    one = spark.range(1)
+    one = one_row(spark)
     result = C.check_rows(
         one,
         [
@@ -177,7 +177,7 @@ def contract_checks(snapshot: Snapshot) -> DataFrame:
 
 def shape_check(frames: DataFrame | None, keys: list[str], info: dict[str, Any], spark: SparkSession) -> DataFrame:
     if frames is None:
-        shapes = spark.createDataFrame([], "feature string, status string, expected_length long, bad_rows long")
+        shapes = literal_table(spark, [], "feature string, status string, expected_length long, bad_rows long")
     else:
         shapes = C.vector_shapes(frames, keys, info)
     # one row per feature of the description

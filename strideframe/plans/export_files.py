@@ -12,6 +12,7 @@ from strideframe.operators import checks as C
 from strideframe.operators import export as X
 from strideframe.operators.manifest import manifest_digest
 from strideframe.sources import files
+from strideframe.sources.small import literal_table
 
 LOG_SCHEMA = "export_version string, committed_at string, path string"
 # columns every data row must have
@@ -91,8 +92,8 @@ def write_export(
     if registry_dir:
         for name, part in (("metadata", "info"), ("stats", "stats"), ("lineage", "lineage")):
             files.write_document(spark, f"{registry_dir}/{name}.json", documents[part])
-    entry = spark.createDataFrame([(version, created_at_utc, path)], LOG_SCHEMA)
-    entry.coalesce(1).write.mode("append").json(f"{export_dir.rstrip('/')}/log")
+    entry = literal_table(spark, [(version, created_at_utc, path)], LOG_SCHEMA)
+    entry.write.mode("append").json(f"{export_dir.rstrip('/')}/log")
     return {"export_version": version, "export_dir": path, "samples": totals["export_total_samples"], **totals}
 
 

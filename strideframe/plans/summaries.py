@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from strideframe.operators import annotations as A
 from strideframe.operators.sync import status_counts
+from strideframe.sources import files
 from strideframe.sources.snapshots import SnapshotStore
 
 SAMPLE_PREVIEW = [
@@ -34,6 +35,28 @@ def _dicts(df: DataFrame) -> list[dict[str, Any]]:
     return [row.asDict() for row in df.collect()]
 
 
+INFO_KEYS = [
+    "codebase_version", "robot_type", "total_episodes", "total_frames", "total_tasks", "fps", "data_path", "video_path",
+]
+
+
+def snapshot_summary(spark: SparkSession, snapshot_dir: str, limit: int = 10) -> dict[str, Any]:
+    """Description, file sizes and frame schema of a raw snapshot; lists show the first files by path."""
+    info = files.read_document(spark, f"{snapshot_dir}/meta/info.json")
+    summary: dict[str, Any] = {"info": {key: info[key] for key in INFO_KEYS if key in info}}
+    for label, place in (("episodes", "meta/episodes"), ("frames", "data")):
+        try:
+            table = files.read_parquet_tree(spark, f"{snapshot_dir}/{place}")
+        except FileNotFoundError:
+            summary[label] = {"files": []}
+            continue
+        counted = files.file_row_counts(table)
+        summary[label] = {"files": _dicts(counted.orderBy("file_path").limit(limit)), "schema": table.dtypes}
+    videos = files.list_files(spark, f"{snapshot_dir}/videos", "*.mp4")
+    summary["videos"] = {"files": _dicts(videos.orderBy("path").limit(limit)), "count": videos.count()}
+    return summary
+
+
 def table_summary(store: SnapshotStore, table: str) -> dict[str, Any]:
     return {"rows": store.read(table).count(), "snapshots": _dicts(store.recent(table))}
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strideframe.functions.columns import normalize_columns
+from strideframe.sources.small import literal_table
 
 LISTING_SCHEMA = "path string, length long"
 
@@ -82,7 +83,7 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
         listing = reader.load(root).select("path", "length")
     except AnalysisException as error:
         if _is_missing(error):
-            return spark.createDataFrame([], LISTING_SCHEMA)
+            return literal_table(spark, [], LISTING_SCHEMA)
         raise
     anchor = root.split("://", 1)[-1].rstrip("/") + "/"
     relative = F.substring_index(F.col("path"), anchor, -1)
@@ -112,4 +113,4 @@ def read_document(spark: SparkSession, path: str) -> dict[str, Any]:
 
 def write_document(spark: SparkSession, path: str, document: dict[str, Any]) -> None:
     text = json.dumps(document, ensure_ascii=False, sort_keys=True, default=str)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    literal_table(spark, [(text,)], "value string").write.mode("overwrite").text(path)

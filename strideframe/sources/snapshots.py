@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strideframe.sources.files import read_json_lines
+from strideframe.sources.small import literal_table
 
 LOG_SCHEMA = "snapshot_id long, committed_at string, operation string, rows long, path string"
 
@@ -43,7 +44,7 @@ class SnapshotStore:
         try:
             return read_json_lines(self.spark, f"{self.location(table)}/log", LOG_SCHEMA)
         except FileNotFoundError:
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+            return literal_table(self.spark, [], LOG_SCHEMA)
 
     def recent(self, table: str, limit: int = 5) -> DataFrame:
         return self.log(table).orderBy(F.desc("committed_at"), F.desc("snapshot_id")).limit(limit)
@@ -82,6 +83,6 @@ class SnapshotStore:
         # counted from the written files' footers, so the plan of df does not run again
         rows = self.spark.read.parquet(path).count()
         commit = Commit(snapshot_id, datetime.now(timezone.utc).isoformat(), operation, rows, path)
-        entry = self.spark.createDataFrame([tuple(vars(commit).values())], LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").json(f"{base}/log")
+        entry = literal_table(self.spark, [tuple(vars(commit).values())], LOG_SCHEMA)
+        entry.write.mode("append").json(f"{base}/log")
         return commit

@@ -501,3 +501,21 @@ def test_unfinished_write_is_invisible(spark, tmp_path):
     with pytest.raises(PySparkException):
         store.write("t.x", spark.range(3).select(F.raise_error(F.lit("lost")).alias("id")))
     assert store.latest_id("t.x") == kept.snapshot_id and store.read("t.x").count() == 3
+
+
+def test_shard_plan_totals(spark):
+    listing = spark.createDataFrame([("videos/b/chunk-001/file-002.mp4", 9), ("data/x", 1)], "path string, length long")
+    sizes, totals = S.shard_plan(episodes_v3(spark), listing, EpisodeFilter(episodes=(0,)), base=("data/**",), max_gib=1)
+    assert totals == {"patterns": 2, "patterns_without_size": 0, "estimated_bytes": 10} and sizes.count() == 2
+    with pytest.raises(ValueError, match="no episode metadata"):
+        S.shard_plan(episodes_v3(spark), listing, EpisodeFilter(episodes=(77,)))
+    with pytest.raises(ValueError, match="budget"):
+        S.shard_plan(episodes_v3(spark), listing, EpisodeFilter(episodes=(0,)), base=("data/**",), max_gib=1e-9)
+
+
+def test_episode_filter_and_columns_reach_the_scan(spark, tmp_path):
+    frames_of(spark, range(50)).write.parquet(str(tmp_path / "f"))
+    frames = spark.read.parquet(str(tmp_path / "f"))
+    plan = select_frames(frames, FrameColumns(), EpisodeFilter(start=3, count=4))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(episode_index,3)" in plan and "LessThanOrEqual(episode_index,6)" in plan
+    assert "observation" not in plan and "action" not in plan
