@@ -6,11 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def floor_div(value: Column, divisor: int) -> Column:
-    """Floor division for a positive divisor, also for negative values."""
-    step = F.lit(divisor)
-    return F.call_function("div", value - F.pmod(value, step), step)
+def floor_div_sql(value: str, divisor: int) -> str:
+    """Floor division for a positive divisor, also for negative values, as SQL text."""
+    return f"((({value}) - pmod(({value}), {divisor})) div {divisor})"
 
 
-def ceil_div(value: Column, divisor: int) -> Column:
-    return floor_div(value + F.lit(divisor - 1), divisor)
+def floor_div(column: str, divisor: int) -> Column:
+    return F.expr(floor_div_sql(column, divisor))

@@ -94,7 +94,7 @@ def episode_order(frames: DataFrame, cell: int = 4096) -> DataFrame:
         frames.select(F.col("episode_index").cast("long").alias("episode_index"), number.alias("f"), stamp.alias("ts"))
         .groupBy("episode_index", "f")
         .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("low"), F.max("ts").alias("high"))
-        .withColumn("cell", floor_div(F.col("f"), cell))
+        .withColumn("cell", floor_div("f", cell))
     )
     inside = Window.partitionBy("episode_index", "cell").orderBy("f")
     back = F.count_if(F.col("low") < F.col("before"))

@@ -59,12 +59,10 @@ def _episode_key(frames: DataFrame, episode: str) -> Column:
 def match_windows(windows: DataFrame, frames: DataFrame, payload: list[Column]) -> DataFrame:
     """Windows joined with their frames: the window key, ``frame`` and the payload columns."""
     episode, frame = frame_keys(frames)
-    number = col(frame).cast("long")
-    rows = frames.select(
-        col(episode).alias("_episode"), number.alias("frame"), floor_div(number, CELL).alias("_cell"), *payload
-    )
-    cells = F.sequence(floor_div(F.col("first"), CELL), floor_div(F.col("last"), CELL))
-    spread = windows.where(F.col("first") <= F.col("last")).select(
+    rows = frames.select(col(episode).alias("_episode"), col(frame).cast("long").alias("frame"), *payload)
+    rows = rows.withColumn("_cell", floor_div("frame", CELL))
+    cells = F.sequence(floor_div("first", CELL), floor_div("last", CELL))
+    spread = windows.where("first <= last").select(
         *WINDOW_KEY, _episode_key(frames, episode).alias("_wanted"), F.explode(cells).alias("_window_cell")
     )
     on = (

@@ -41,30 +41,28 @@ def anchor_samples(
 
     Windows past the last frame stay: they are flagged later. ``episode`` and ``task`` are kept for joining.
     """
-    bounds = {
-        f"{role}_{side}_frame": (F.col("frame") + F.lit(offset)).alias(f"{role}_{side}_frame")
-        for role, offsets in config.window.roles.items()
+    roles = config.window.roles
+    bounds = [
+        f"frame + ({offset}) as {role}_{side}_frame"
+        for role, offsets in roles.items()
         for side, offset in zip(("start", "end"), offsets)
-    }
-    sizes = [
-        F.lit(high - low + 1).cast("long").alias(f"expected_{role}_rows")
-        for role, (low, high) in config.window.roles.items()
     ]
+    sizes = [f"{high - low + 1}L as expected_{role}_rows" for role, (low, high) in roles.items()]
     on_stride = frames.where(
-        (F.col("frame") % config.stride == 0) & (F.col("frame") + config.window.observation_start_offset >= 0)
+        f"frame % {config.stride} = 0 and frame + ({config.window.observation_start_offset}) >= 0"
     )
-    return attach_task_text(on_stride, tasks).select(
+    keyed = attach_task_text(on_stride, tasks).withColumn("instruction_id", task_key(F.col("task")))
+    return keyed.select(
         "episode",
         "task",
-        sample_key(F.col("episode"), task_key(F.col("task")), F.col("frame")).alias("sample_id"),
-        F.col("episode").cast("string").alias("episode_id"),
-        F.col("frame").alias("anchor_frame"),
-        F.col("ts").alias("anchor_timestamp"),
-        F.col("sensor_ts").alias("anchor_sensor_timestamp"),
-        task_key(F.col("task")).alias("instruction_id"),
+        sample_key(F.col("episode"), F.col("instruction_id"), F.col("frame")).alias("sample_id"),
+        F.expr("string(episode) as episode_id"),
+        F.expr("frame as anchor_frame"),
+        F.expr("ts as anchor_timestamp"),
+        F.expr("sensor_ts as anchor_sensor_timestamp"),
+        "instruction_id",
         "instruction_text",
-        *bounds.values(),
-        *sizes,
+        *[F.expr(text) for text in bounds + sizes],
         F.lit(config.source_table).alias("source_frames_table"),
         F.lit(snapshot_id).cast("long").alias("source_frames_snapshot_id"),
         F.lit(config.sync_rule).alias("sync_rule"),
@@ -73,35 +71,29 @@ def anchor_samples(
 
 def add_quality(samples: DataFrame, max_gap_seconds: float) -> DataFrame:
     """Missing rows, gap extremes, one status (the first fault found) and three flags."""
-    limit = F.lit(float(max_gap_seconds))
-    both = ("observation", "action")
-
-    def gaps(kind: str) -> list:
-        return [F.coalesce(F.col(f"{role}_{kind}_timestamp_gap_seconds"), F.lit(0.0)) for role in both]
-
-    measured = samples.withColumns(
-        {
-            **{f"{role}_missing_rows": F.col(f"expected_{role}_rows") - F.col(f"{role}_rows") for role in both},
-            "max_timestamp_gap_seconds": F.greatest(*gaps("max")),
-            "min_timestamp_gap_seconds": F.least(*gaps("min")),
-        }
-    )
-    missing = [F.col(f"{role}_missing_rows") for role in both]
-    widest, narrowest = F.col("max_timestamp_gap_seconds"), F.col("min_timestamp_gap_seconds")
-    status = (
-        F.when(F.greatest(*missing) > 0, "missing_window_rows")
-        .when(narrowest < 0, "non_monotonic_timestamp")
-        .when(widest > limit, "timestamp_gap_exceeded")
-        .otherwise("ok")
+
+    def gaps(kind: str) -> str:
+        return ", ".join(f"coalesce({role}_{kind}_timestamp_gap_seconds, 0D)" for role in ("observation", "action"))
+
+    measured = samples.selectExpr(
+        "*",
+        "expected_observation_rows - observation_rows as observation_missing_rows",
+        "expected_action_rows - action_rows as action_missing_rows",
+        f"greatest({gaps('max')}) as max_timestamp_gap_seconds",
+        f"least({gaps('min')}) as min_timestamp_gap_seconds",
+        f"double('{float(max_gap_seconds)!r}') as max_allowed_timestamp_gap_seconds",
     )
-    return measured.withColumns(
-        {
-            "sync_status": status,
-            "max_allowed_timestamp_gap_seconds": limit,
-            "is_window_complete": (missing[0] == 0) & (missing[1] == 0),
-            "is_timestamp_monotonic": narrowest >= 0,
-            "is_gap_within_threshold": widest <= limit,
-        }
+    status = """case
+        when greatest(observation_missing_rows, action_missing_rows) > 0 then 'missing_window_rows'
+        when min_timestamp_gap_seconds < 0 then 'non_monotonic_timestamp'
+        when max_timestamp_gap_seconds > max_allowed_timestamp_gap_seconds then 'timestamp_gap_exceeded'
+        else 'ok' end"""
+    return measured.selectExpr(
+        "*",
+        f"{status} as sync_status",
+        "observation_missing_rows = 0 and action_missing_rows = 0 as is_window_complete",
+        "min_timestamp_gap_seconds >= 0 as is_timestamp_monotonic",
+        "max_timestamp_gap_seconds <= max_allowed_timestamp_gap_seconds as is_gap_within_threshold",
     )
 
 

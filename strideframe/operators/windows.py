@@ -10,12 +10,13 @@ partitioning. A long episode is many cells, and exact copies of a frame collapse
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strideframe.config import WindowSpec
-from strideframe.functions.integers import ceil_div, floor_div
+from strideframe.functions.integers import floor_div_sql
 
 # suffix of a window statistic -> its type
 STATISTICS = {
@@ -53,85 +54,82 @@ class AnchorGrid:
         spans = [(low, high) for low, high in self.window.roles.values() if low <= high]
         return (min(s[0] for s in spans), max(s[1] for s in spans)) if spans else (0, -1)
 
-    def numbers(self, frame: Column) -> tuple[Column, Column]:
-        """First and last anchor number (anchor / stride) whose hull holds the frame."""
+    def numbers(self) -> tuple[str, str]:
+        """First and last anchor number (anchor / stride) whose hull holds ``frame``."""
         low, high = self.hull
-        first = F.greatest(ceil_div(frame - F.lit(high), self.stride), F.lit(self.first_anchor).cast("long"))
-        return first, floor_div(frame - F.lit(low), self.stride)
+        first = f"greatest({floor_div_sql(f'frame + {self.stride - 1 - high}', self.stride)}, {self.first_anchor}L)"
+        return first, floor_div_sql(f"frame - ({low})", self.stride)
 
-    def inside(self, role: str) -> Column:
+    def inside(self, role: str) -> str:
         """True when ``frame`` lies in the role's window of ``anchor``."""
         low, high = self.window.roles[role]
-        return (F.col("frame") - F.col("anchor")).between(low, high)
+        return f"frame - anchor between {low} and {high}"
 
 
 def window_frames(frames: DataFrame, grid: AnchorGrid) -> DataFrame:
     """One row per anchor and distinct (frame, timestamp) near it: ``episode, cell, anchor, frame, ts, copies``, whether
     the frame is in each role's window (``in_<role>``) and the row before it in time order (``prev_frame, prev_ts``).
     """
-    first, last = grid.numbers(F.col("frame"))
-    near = frames.select("episode", "frame", "ts", first.alias("first"), last.alias("last")).where(
-        F.col("episode").isNotNull() & (F.col("first") <= F.col("last"))
+    first, last = grid.numbers()
+    near = frames.selectExpr("episode", "frame", "ts", f"{first} as first", f"{last} as last").where(
+        "episode is not null and first <= last"
     )
     # exact copies of a frame become one row before anything is shuffled
     distinct = near.groupBy("episode", "frame", "ts").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("first").alias("first"), F.min("last").alias("last")
+        F.expr("count(1) as copies"), F.expr("min(first) as first"), F.expr("min(last) as last")
     )
     size = grid.anchors_per_cell
-    cells = F.sequence(floor_div(F.col("first"), size), floor_div(F.col("last"), size))
-    in_cells = distinct.select("*", F.explode(cells).alias("cell"))
-    before = Window.partitionBy("episode", "cell").orderBy("frame", "ts")
-    stepped = in_cells.select(
+    in_cells = distinct.selectExpr(
+        "*", f"explode(sequence({floor_div_sql('first', size)}, {floor_div_sql('last', size)})) as cell"
+    )
+    before = "over (partition by episode, cell order by frame, ts)"
+    stepped = in_cells.selectExpr(
         "episode",
         "cell",
         "frame",
         "ts",
         "copies",
-        F.greatest(F.col("first"), F.col("cell") * size).alias("first"),
-        F.least(F.col("last"), F.col("cell") * size + (size - 1)).alias("last"),
-        F.lag("frame").over(before).alias("prev_frame"),
-        F.lag("ts").over(before).alias("prev_ts"),
+        f"greatest(first, cell * {size}) as first",
+        f"least(last, cell * {size} + {size - 1}) as last",
+        f"lag(frame) {before} as prev_frame",
+        f"lag(ts) {before} as prev_ts",
     )
-    spread = stepped.select(
-        *[c for c in stepped.columns if c not in ("first", "last")],
-        F.explode(F.sequence("first", "last")).alias("number"),
-    ).withColumn("anchor", F.col("number") * grid.stride)
-    roles = {role: grid.inside(role).alias(f"in_{role}") for role in grid.window.roles}
-    kept = ["episode", "cell", "anchor", "frame", "ts", "copies", "prev_frame", "prev_ts"]
-    return spread.select(*kept, *roles.values())
+    kept = ["episode", "cell", "frame", "ts", "copies", "prev_frame", "prev_ts"]
+    spread = stepped.selectExpr(*kept, "explode(sequence(first, last)) as number")
+    spread = spread.selectExpr(*kept, f"number * {grid.stride} as anchor")
+    return spread.selectExpr("*", *[f"{grid.inside(role)} as in_{role}" for role in grid.window.roles])
 
 
-def step_in_window(grid: AnchorGrid, role: str) -> Column:
+def step_in_window(grid: AnchorGrid, role: str) -> str:
     """Time since the row before, NULL when that row is not in the same window."""
     low, _ = grid.window.roles[role]
-    present = F.col("prev_frame") >= F.col("anchor") + F.lit(low)
-    return F.when(F.col(f"in_{role}") & present, F.col("ts") - F.col("prev_ts"))
+    return f"case when in_{role} and prev_frame >= anchor + ({low}) then ts - prev_ts end"
 
 
 def anchor_statistics(frames: DataFrame, grid: AnchorGrid) -> DataFrame:
     """Statistics of both windows of every (episode, anchor) with at least one frame near it."""
-    rows = window_frames(frames, grid)
-    steps = {role: step_in_window(grid, role).alias(f"step_{role}") for role in grid.window.roles}
+    roles = list(grid.window.roles)
+    rows = window_frames(frames, grid).selectExpr(
+        "*", *[f"{step_in_window(grid, role)} as step_{role}" for role in roles]
+    )
     measures = []
-    for role in steps:
-        inside, step = F.col(f"in_{role}"), F.col(f"step_{role}")
+    for role in roles:
         # copies of one frame are zero steps apart
-        still = F.when(inside & (F.col("copies") > 1) & F.col("ts").isNotNull(), F.lit(0.0))
-        low, high = F.min(F.when(inside, F.col("ts"))), F.max(F.when(inside, F.col("ts")))
+        still = f"case when in_{role} and copies > 1 and ts is not null then 0D end"
+        low, high = f"min(case when in_{role} then ts end)", f"max(case when in_{role} then ts end)"
         values = [
-            F.sum(F.when(inside, F.col("copies"))),
-            F.min(F.when(inside, F.col("frame"))),
-            F.max(F.when(inside, F.col("frame"))),
+            f"sum(case when in_{role} then copies end)",
+            f"min(case when in_{role} then frame end)",
+            f"max(case when in_{role} then frame end)",
             low,
             high,
-            high - low,
-            F.max(F.greatest(F.abs(step), still)),
-            F.min(F.least(step, still)),
+            f"{high} - {low}",
+            f"max(greatest(abs(step_{role}), {still}))",
+            f"min(least(step_{role}, {still}))",
         ]
-        measures += [value.alias(name) for value, name in zip(values, statistic_names(role))]
+        measures += [F.expr(f"{value} as {name}") for value, name in zip(values, statistic_names(role))]
     # the cell is kept in the keys: it is where the rows already are, so this adds no shuffle
-    grouped = rows.select("*", *steps.values()).groupBy("episode", "cell", "anchor")
-    return grouped.agg(*measures).drop("cell")
+    return rows.groupBy("episode", "cell", "anchor").agg(*measures).drop("cell")
 
 
 def attach_statistics(anchors: DataFrame, frames: DataFrame, grid: AnchorGrid) -> DataFrame:
@@ -140,61 +138,46 @@ def attach_statistics(anchors: DataFrame, frames: DataFrame, grid: AnchorGrid) -
     Statistics belong to a sample id, and a repeated anchor row repeats the frames of its window; ``repeats`` puts
     that factor back without a second pass over the frames. It is empty on clean data.
     """
-    repeats = (
-        anchors.groupBy("episode", "task", "anchor_frame")
-        .agg(F.count(F.lit(1)).alias("_times"))
-        .where(F.col("_times") > 1)
-        .select(
-            F.col("episode").alias("_episode"),
-            F.col("task").alias("_task"),
-            F.col("anchor_frame").alias("_anchor"),
-            "_times",
+    repeats = anchors.groupBy("episode", "task", "anchor_frame").agg(F.expr("count(1) as times")).where("times > 1")
+    stats = anchor_statistics(frames, grid)
+    joined = (
+        anchors.alias("a")
+        .join(stats.alias("s"), F.expr("a.episode = s.episode and a.anchor_frame = s.anchor"), "left")
+        .join(
+            repeats.alias("r"),
+            F.expr("a.episode = r.episode and a.anchor_frame = r.anchor_frame and a.task <=> r.task"),
+            "left",
         )
     )
-    stats = anchor_statistics(frames, grid).withColumnsRenamed({"episode": "_e", "anchor": "_a"})
-    joined = anchors.join(
-        stats, (F.col("episode") == F.col("_e")) & (F.col("anchor_frame") == F.col("_a")), "left"
-    ).join(
-        repeats,
-        (F.col("episode") == F.col("_episode"))
-        & (F.col("anchor_frame") == F.col("_anchor"))
-        & F.col("task").eqNullSafe(F.col("_task")),
-        "left",
-    )
-    times = F.coalesce(F.col("_times"), F.lit(1))
-    columns = [F.col(name) for name in anchors.columns]
+    columns = [f"a.{name}" for name in anchors.columns]
     for role in grid.window.roles:
-        still = F.when((times > 1) & F.col(f"{role}_start_timestamp").isNotNull(), F.lit(0.0))
-        for name in statistic_names(role):
-            value = F.col(name)
-            if name == f"{role}_rows":
-                value = F.coalesce(value, F.lit(0)) * times
-            elif name == f"{role}_max_timestamp_gap_seconds":
-                value = F.greatest(value, still)
-            elif name == f"{role}_min_timestamp_gap_seconds":
-                value = F.least(value, still)
-            columns.append(value.alias(name))
-    return joined.select(*columns)
+        still = f"case when times > 1 and {role}_start_timestamp is not null then 0D end"
+        adjusted = {
+            f"{role}_rows": f"coalesce({role}_rows, 0L) * coalesce(times, 1L)",
+            f"{role}_max_timestamp_gap_seconds": f"greatest({role}_max_timestamp_gap_seconds, {still})",
+            f"{role}_min_timestamp_gap_seconds": f"least({role}_min_timestamp_gap_seconds, {still})",
+        }
+        columns += [f"{adjusted.get(name, name)} as {name}" for name in statistic_names(role)]
+    return joined.selectExpr(*columns)
 
 
 def window_gaps(anchors: DataFrame, frames: DataFrame, grid: AnchorGrid) -> DataFrame:
     """Every frame of every sample's windows with the step in time before it; copies are listed one by one."""
     rows = window_frames(frames, grid)
-    samples = anchors.select("sample_id", "episode", F.col("anchor_frame").alias("anchor")).distinct()
-    result = None
-    for role in grid.window.roles:
-        step = step_in_window(grid, role)
-        listed = rows.where(F.col(f"in_{role}")).select(
-            "episode", "anchor", F.lit(role).alias("role"), "frame", "ts", step.alias("step"),
-            F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
-        )
-        result = listed if result is None else result.union(listed)
-    gap = F.when(F.col("copy") == 1, F.col("step")).when(F.col("ts").isNotNull(), F.lit(0.0))
-    return samples.join(result, ["episode", "anchor"]).select(
+    samples = anchors.selectExpr("sample_id", "episode", "anchor_frame as anchor").distinct()
+    listed = [
+        rows.where(f"in_{role}").selectExpr(
+            "episode", "anchor", f"'{role}' as role", "frame", "ts", f"{step_in_window(grid, role)} as step",
+            "explode(sequence(1, cast(copies as int))) as copy",
+        )
+        for role in grid.window.roles
+    ]
+    gap = "case when copy = 1 then step when ts is not null then 0D end"
+    return samples.join(reduce(DataFrame.union, listed), ["episode", "anchor"]).selectExpr(
         "sample_id",
         "role",
-        F.col("frame").alias("window_frame"),
-        F.col("ts").alias("window_timestamp"),
-        gap.alias("timestamp_gap_seconds"),
-        F.abs(gap).alias("abs_timestamp_gap_seconds"),
+        "frame as window_frame",
+        "ts as window_timestamp",
+        f"{gap} as timestamp_gap_seconds",
+        f"abs({gap}) as abs_timestamp_gap_seconds",
     )

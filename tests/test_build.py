@@ -133,14 +133,17 @@ def test_rebuild_keeps_the_manifest_version(spark, built, tmp_path):
     assert store.log(B.MANIFEST).count() >= 2
 
 
-def test_plain_build(spark, built, tmp_path):
+def test_export_without_annotations(spark, built, tmp_path):
     base, _, _ = built
     plain = settings(
-        base, warehouse_dir=str(tmp_path / "w"), registry_dir=str(tmp_path / "r"), export_dir=str(tmp_path / "e"),
-        manifest=ManifestConfig(annotation_table=None), inspect=False,
+        base, registry_dir=str(tmp_path / "r"), export_dir=str(tmp_path / "e"), manifest=ManifestConfig(annotation_table=None),
     )
-    summary = B.run_build(spark, plain)
-    assert summary["manifest_rows"] == summary["export_rows"] == 24
+    store = SnapshotStore(spark, str(tmp_path / "w"))
+    store.write(B.SYNCED, built[2].read(B.SYNCED))
+    assert B.manifest_step(store, plain, {}).rows == 24
+    export = B.export_step(store, plain, load_snapshot(spark, str(base / "snapshot")))
+    assert (export["samples"], export["export_total_tasks"]) == (24, 2)
+    assert validate_export(spark, export["export_dir"], store.read(B.MANIFEST))["status"] == "passed"
 
 
 def test_ingest_without_tasks_writes_an_empty_table(spark, built, tmp_path):
