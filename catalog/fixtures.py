@@ -1,6 +1,7 @@
 """Episode tables derived from the given test tables, once with Spark and once as SQL for the oracle.
 
-FE  frames from ``events`` (holes and time inversions), FL  frames from ``lineitem`` (long episodes),
+FE  frames from ``events`` (holes and time inversions), FL  frames from ``lineitem`` (one episode per supplier),
+FS  frames from ``lineitem`` (six episodes of uneven size hold the whole table),
 FC  frames from ``conversations`` (clean), EM  vectors from ``embeddings``, TK  task texts, EP  episode metadata of FE,
 VF  video files of EP.
 """
@@ -111,6 +112,18 @@ def line_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def skewed_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_suppkey"]
+    kind = _coded(F.concat("l_returnflag", "l_linestatus"), LINE_TASKS)
+    lines = table(spark, sf_dir, "lineitem").select("l_shipdate", *order, kind.alias("episode_index"))
+    return with_group_position(lines, ["episode_index"], "l_shipdate", order, "frame_index").select(
+        "episode_index",
+        "frame_index",
+        (micros("l_shipdate") / F.lit(1e6)).alias("timestamp"),
+        (F.col("l_linenumber") % 5).cast("long").alias("task_index"),
+    )
+
+
 def turn_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("episode_index"),
@@ -184,6 +197,16 @@ fl as (
   from lineitem
 )"""
 
+FS_SQL = """
+fs as (
+  select cast(case l_returnflag || l_linestatus when 'AF' then 0 when 'AO' then 1 when 'NF' then 2 when 'NO' then 3
+              when 'RF' then 4 when 'RO' then 5 end as bigint) as episode_index,
+         row_number() over (partition by l_returnflag, l_linestatus order by l_shipdate, l_orderkey, l_linenumber,
+                            l_partkey, l_quantity, l_extendedprice, l_suppkey) - 1 as frame_index,
+         epoch_us(l_shipdate) / 1e6 as "timestamp", cast(l_linenumber % 5 as bigint) as task_index
+  from lineitem
+)"""
+
 FC_SQL = """
 fc as (
   select conv_id as episode_index, turn as frame_index, cast(turn as double) as "timestamp",
@@ -294,6 +317,7 @@ synced as (
 
 FE_TEXT = "coalesce(t.task, 'task_' || f.task_index)"
 FE_SYNCED_SQL = ",".join([FE_SQL, TK_SQL, synced_sql("fe", 5, FE_SYNC.window, 172800.0, FE_TEXT)])
+FS_SYNCED_SQL = ",".join([FS_SQL, TK_SQL, synced_sql("fs", 30, FL_SYNC.window, 1209600.0, FE_TEXT)])
 FL_SYNCED_SQL = ",".join([FL_SQL, TK_SQL, synced_sql("fl", 30, FL_SYNC.window, 1209600.0, FE_TEXT)])
 
 ANNOTATIONS_SQL = f"""{RULES_SQL},

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog import fixtures as X
 from catalog import tables
-from strideframe.config import EpisodeFilter, FrameManifestConfig
+from strideframe.config import EpisodeFilter, FrameManifestConfig, WindowSpec
 from strideframe.functions.columns import col, normalize_columns
 from strideframe.functions.digest import content_digest
 from strideframe.functions.paths import shard_path
@@ -26,6 +26,7 @@ from strideframe.operators.ordering import indexed_rows
 from strideframe.operators.windows import statistic_names, window_gaps
 from strideframe.plans import build_checks as B
 from strideframe.plans import summaries
+from strideframe.plans.contract import frame_quality_checks
 from strideframe.plans.export_files import export_checks
 from strideframe.sources import files, scratch
 from strideframe.sources.small import literal_table
@@ -221,6 +222,11 @@ def synced_samples_lines(spark, sf):
     return _sync(spark, sf, "lines", X.FL_SYNC)
 
 
+@register("synced_samples_skewed", f"with {X.FS_SYNCED_SQL} select {', '.join(Y.SYNCED_COLUMNS)} from synced")
+def synced_samples_skewed(spark, sf):
+    return _sync(spark, sf, "skewed", X.FL_SYNC)
+
+
 _STATUS = "select sync_status, count(*) as samples from synced group by sync_status"
 
 
@@ -367,11 +373,23 @@ def manifest_episode_join(spark, sf):
     cast(episode_index as varchar) as episode_id, 'task_' || task_index as instruction_id,
     cast(null as varchar) as instruction_text, frame_index as anchor_frame, frame_index - 4 as observation_start_frame,
     frame_index as observation_end_frame, frame_index + 1 as action_start_frame, frame_index + 4 as action_end_frame
-    from fe where frame_index % 5 = 0 and frame_index - 4 >= 0 and episode_index in (0, 2, 3, 5, 7, 11)""",
+    from fe where frame_index % 5 = 0 and frame_index - 4 >= 0""",
 )
 def manifest_from_frames(spark, sf):
-    config = FrameManifestConfig(stride=5, episodes=(0, 2, 3, 5, 7, 11), window=X.FE_SYNC.window)
-    return M.frame_manifest(of(spark, sf, "frames"), config)
+    return M.frame_manifest(of(spark, sf, "frames"), FrameManifestConfig(stride=5, window=X.FE_SYNC.window))
+
+
+@register(
+    "manifest_from_listed_episodes",
+    f"""with {X.FC_SQL} select concat_ws('_', 'sample', episode_index, 'task_' || task_index, frame_index) as sample_id,
+    cast(episode_index as varchar) as episode_id, 'task_' || task_index as instruction_id, instruction as instruction_text,
+    frame_index as anchor_frame, frame_index as observation_start_frame, frame_index as observation_end_frame,
+    frame_index + 1 as action_start_frame, frame_index + 1 as action_end_frame
+    from fc where frame_index % 2 = 0 and episode_index in (0, 2, 3, 5, 7, 11)""",
+)
+def manifest_from_listed_episodes(spark, sf):
+    config = FrameManifestConfig(stride=2, episodes=(0, 2, 3, 5, 7, 11), window=WindowSpec(0, 0, 1, 1))
+    return M.frame_manifest(of(spark, sf, "turns"), config)
 
 
 @register(
@@ -490,6 +508,54 @@ def check_episode_order_turns(spark, sf):
     return C.episode_order(of(spark, sf, "turns"))
 
 
+def _contract_sql(source: str, ctes: str, lengths: str, tasks: str) -> str:
+    order = _order_sql(source, ctes)
+    return f"""with o as ({order}), faults as (select count(*) filter (where timestamp_non_monotonic) as t,
+      count(*) filter (where frame_duplicated) as d, count(*) filter (where frame_gap) as g from o)
+    select name, case when bad > 0 then 'error' else 'ok' end as status from (
+      select 'timestamp_monotonic_by_episode' as name, t as bad from faults
+      union all select 'frame_index_monotonic_by_episode', 0 union all select 'frame_index_unique_by_episode', d from faults
+      union all select 'frame_index_contiguous_by_episode', g from faults
+      union all select 'episode_lengths_match_frames', ({lengths}) union all select 'task_metadata_covers_frame_tasks', ({tasks}))"""
+
+
+@register(
+    "contract_frames",
+    _contract_sql(
+        "fe",
+        X.FE_SQL,
+        "select count(*) from (select user_id from events where event_id % 13 <> 7 group by user_id) where user_id % 7 = 3",
+        "select count(distinct event_type) - 5 from events",
+    ),
+)
+def contract_frames(spark, sf):
+    checks = frame_quality_checks(of(spark, sf, "frames"), of(spark, sf, "episodes"), of(spark, sf, "tasks"))
+    return checks.select("name", "status")
+
+
+@register("contract_turns", _contract_sql("fc", X.FC_SQL, "select 0", "select count(*) filter (where role = 'none') from conversations"))
+def contract_turns(spark, sf):
+    turns = of(spark, sf, "turns")
+    checks = frame_quality_checks(turns, derive_episodes(turns), of(spark, sf, "tasks"))
+    return checks.select("name", "status")
+
+
+@register(
+    "raw_validation",
+    f"""with {X.FE_SQL}, t(k, n) as (select 'frames', count(*) from fe union all
+      select 'episodes', count(distinct episode_index) from fe union all select 'tasks', count(distinct task_index) from fe)
+    select 'raw_' || k || '_table_not_empty' as name, case when n > 0 then 'ok' else 'error' end as status, n as "rows" from t
+    union all select 'raw_' || k || '_snapshot_exists', 'ok', n from t""",
+)
+def raw_validation(spark, sf):
+    store = SnapshotStore(spark, scratch.new_path(spark, "raw"))
+    names = {key: f"raw.{key}" for key in ("frames", "episodes", "tasks")}
+    for key, name in names.items():
+        store.write(name, normalize_columns(of(spark, sf, key)))
+    rows = F.get_json_object("details", "$.rows").cast("long")
+    return B.raw_checks(store, names).select("name", "status", rows.alias("rows"))
+
+
 @register(
     "check_episode_lengths",
     f"""with {X.FE_SQL},{X.EP_SQL} select ep.episode_index, length as metadata_length, n as frame_rows from ep

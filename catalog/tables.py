@@ -44,6 +44,7 @@ def _export(spark: SparkSession, sf: str) -> DataFrame:
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "frames": X.event_frames,
     "lines": X.line_frames,
+    "skewed": X.skewed_frames,
     "turns": X.turn_frames,
     "tasks": lambda spark, sf: X.task_table(spark),
     "episodes": lambda spark, sf: X.episode_metadata(get(spark, sf, "frames")),
