@@ -46,7 +46,7 @@ _LONGS = {
 _DOUBLES = {"anchor_timestamp", "max_timestamp_gap_seconds"}
 _INDEX_NAMES = {"frame_index", "episode_index", "index", "task_index"}
 
-DATA_PATH = "data/chunk-{chunk_index:03d}/file-{file_index:03d}.parquet"
+DATA_PATH = "data/*.parquet"  # part files in index order
 DEFAULT_CODEBASE_VERSION = "v3.0"
 EXPORT_FORMAT = "manifest_export_v0"
 EXPORT_NOTE = "Tabular export of a manifest. Source videos are referenced in the sample refs and are not copied."

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strideframe.operators import checks as C
 from strideframe.operators import export as X
 from strideframe.operators.manifest import manifest_digest
+from strideframe.operators.ordering import sort_stored
 from strideframe.sources import files
 from strideframe.sources.small import literal_table
 
@@ -56,11 +57,12 @@ def write_export(
     path = f"{export_dir.rstrip('/')}/{version}-{uuid.uuid4().hex[:8]}"
     place = {part: f"{path}/{name}" for part, name in LAYOUT.items()}
 
-    X.export_tasks(indexed).write.parquet(place["tasks"])
+    # every part is in index order: an episode names the rows it holds by position
+    X.export_tasks(indexed).orderBy("task_index").write.parquet(place["tasks"])
     tasks = spark.read.parquet(place["tasks"])
-    X.export_rows(indexed, tasks, frames).write.option("compression", "snappy").parquet(place["data"])
+    sort_stored(X.export_rows(indexed, tasks, frames), ["index"]).write.parquet(place["data"])
     rows = spark.read.parquet(place["data"])
-    X.export_episodes(rows).write.parquet(place["episodes"])
+    X.export_episodes(rows).orderBy("episode_index").write.parquet(place["episodes"])
     X.sample_refs(indexed, refs, keep=["index"]).orderBy("index").drop("index").write.json(place["refs"])
 
     totals = X.export_stats(manifest, refs).first().asDict()

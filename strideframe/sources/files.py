@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -85,9 +86,12 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
         if _is_missing(error):
             return literal_table(spark, [], LISTING_SCHEMA)
         raise
+    if "://" not in root and ":/" not in root:
+        root = os.path.abspath(root)
     anchor = root.split("://", 1)[-1].rstrip("/") + "/"
-    relative = F.substring_index(F.col("path"), anchor, -1)
-    return listing.select(relative.alias("path"), F.col("length").cast("long"))
+    # the first occurrence: below it the same names may come again
+    start = F.locate(anchor, F.col("path")) + len(anchor)
+    return listing.select(F.substring("path", start, F.length("path")).alias("path"), F.col("length").cast("long"))
 
 
 def file_row_counts(frames: DataFrame) -> DataFrame:

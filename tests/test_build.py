@@ -106,6 +106,8 @@ def test_export_content(spark, built):
         first = int(r["source_episode_id"]) * LENGTH + r["source_anchor_frame"]
         assert r["observation.state"][0] == first and r["action"] == [(first + 1) * 2.0]
     assert [r["source_episode_id"] for r in rows[:7]][::6] == ["0", "1"] and rows[8]["source_episode_id"] == "10"
+    stored = indexed_rows(spark.read.parquet(f"{path}/data").select("index"), "position").collect()
+    assert len(stored) == 48 and all(r["index"] == r["position"] for r in stored)
     refs = files.read_json_lines(spark, f"{path}/meta/sample_refs")
     assert refs.count() == 48 and {r["missing_video_count"] for r in refs.collect()} == {0}
     info = files.read_document(spark, f"{path}/meta/info.json")

@@ -477,6 +477,11 @@ def test_listing(spark, tmp_path):
     (tmp_path / "note.txt").write_text("n")
     listed = {r["path"]: r["length"] for r in files.list_files(spark, str(tmp_path)).collect()}
     assert listed == {"videos/a/x.mp4": 5, "note.txt": 1}
+    nested = tmp_path / "data"
+    again = nested / str(nested).lstrip("/")
+    again.mkdir(parents=True)
+    (again / "f").write_text("x")
+    assert [r["path"] for r in files.list_files(spark, str(nested)).collect()] == [f"{str(nested).lstrip('/')}/f"]
     assert [r["path"] for r in files.list_files(spark, str(tmp_path), "*.mp4").collect()] == ["videos/a/x.mp4"]
     assert files.list_files(spark, str(tmp_path / "none")).count() == 0
 
