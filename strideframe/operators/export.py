@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strideframe.functions.columns import col
-from strideframe.operators.manifest import manifest_order
+from strideframe.operators.manifest import WINDOW_BOUNDS, manifest_order
 from strideframe.operators.ordering import with_global_index
 from strideframe.operators.resolve import (
     ROLES,
-    WINDOW_KEY,
     action_columns,
+    episode_key,
     frame_keys,
-    manifest_windows,
     match_windows,
     observation_columns,
+    role_spans,
 )
 from strideframe.operators.video import refs_by_episode
 
@@ -44,6 +44,7 @@ _LONGS = {
     "annotation_snapshot_id", "source_frames_snapshot_id", "observation_rows", "action_rows",
 }
 _DOUBLES = {"anchor_timestamp", "max_timestamp_gap_seconds"}
+_PAIR = ["episode_id", *WINDOW_BOUNDS]
 _INDEX_NAMES = {"frame_index", "episode_index", "index", "task_index"}
 
 DATA_PATH = "data/*.parquet"  # part files in index order
@@ -79,31 +80,33 @@ def export_tasks(indexed: DataFrame) -> DataFrame:
 
 
 def boundary_rows(manifest: DataFrame, frames: DataFrame) -> DataFrame:
-    """Last observation frame and first action frame of every distinct window, with their columns.
+    """``observation`` (last frame) and ``action`` (first frame) records of every distinct pair of windows.
 
-    The frame is found on the narrow key columns; only the one row per window meets the wide columns. Rows that
-    repeat a frame number are told apart by timestamp, then by content.
+    The frames are found on the narrow key columns; only they meet the wide columns, which are shuffled once for both
+    windows. Rows that repeat a frame number are told apart by timestamp, then by content.
     """
     episode, frame = frame_keys(frames)
     stamp = col("timestamp") if "timestamp" in frames.columns else F.lit(None).cast("double")
     names = sorted(set(observation_columns(frames.columns)) | set(action_columns(frames.columns)))
     spot = F.struct("frame", "_ts")
-    matched = match_windows(manifest_windows(manifest), frames.select(episode, frame, stamp.alias("_ts")), [F.col("_ts")])
-    chosen = matched.groupBy(*WINDOW_KEY).agg(F.max(spot).alias("_last"), F.min(spot).alias("_first"))
+    windows = manifest.select(*_PAIR).distinct().select(*_PAIR, role_spans())
+    matched = match_windows(windows, frames.select(episode, frame, stamp.alias("_ts")), [F.col("_ts")])
+    chosen = matched.groupBy(*_PAIR, "role").agg(F.max(spot).alias("_last"), F.min(spot).alias("_first"))
     chosen = chosen.withColumn("_spot", F.when(F.col("role") == "observation", F.col("_last")).otherwise(F.col("_first")))
     wide = frames.select(
-        col(episode).cast("string").alias("_episode"),
+        col(episode).alias("_episode"),
         col(frame).cast("long").alias("_frame"),
         stamp.alias("_stamp"),
         F.struct(*[col(n) for n in names]).alias("record"),
     )
     on = (
-        (F.col("episode_id") == F.col("_episode"))
+        (episode_key(frames, episode) == F.col("_episode"))
         & (F.col("_spot.frame") == F.col("_frame"))
         & F.col("_spot._ts").eqNullSafe(F.col("_stamp"))
     )
-    record = F.max_by("record", F.xxhash64("record"))
-    return chosen.join(wide, on).groupBy(*WINDOW_KEY).agg(record.alias("record"))
+    content = F.xxhash64("record")
+    records = [F.max_by("record", F.when(F.col("role") == role, content)).alias(role) for role in ROLES]
+    return chosen.join(wide, on).groupBy(*_PAIR).agg(*records)
 
 
 def export_rows(indexed: DataFrame, tasks: DataFrame, frames: DataFrame) -> DataFrame:
@@ -111,21 +114,11 @@ def export_rows(indexed: DataFrame, tasks: DataFrame, frames: DataFrame) -> Data
 
     A sample with an empty window is an error, not a dropped row.
     """
-    edges = boundary_rows(indexed, frames)
-    rows = indexed
-    for role in ROLES:
-        edge = edges.where(F.col("role") == role).select(
-            F.col("episode_id").alias(f"_{role}_episode"),
-            F.col("first").alias(f"_{role}_first"),
-            F.col("last").alias(f"_{role}_last"),
-            F.col("record").alias(f"_{role}"),
-        )
-        on = (
-            (F.col("episode_id") == F.col(f"_{role}_episode"))
-            & (F.col(f"{role}_start_frame") == F.col(f"_{role}_first"))
-            & (F.col(f"{role}_end_frame") == F.col(f"_{role}_last"))
-        )
-        rows = rows.join(edge, on, "left")
+    edges = boundary_rows(indexed, frames).select(
+        *[F.col(name).alias(f"_{name}") for name in _PAIR], *[F.col(role).alias(f"_{role}") for role in ROLES]
+    )
+    on = [F.col(name) == F.col(f"_{name}") for name in _PAIR]
+    rows = indexed.join(edges, on, "left")
     lookup = tasks.select("task_index", F.col("task").alias("_task"))
     rows = rows.join(lookup, _instruction() == F.col("_task"), "left")
 

@@ -37,8 +37,8 @@ def frame_keys(frames: DataFrame) -> tuple[str, str]:
     return episode, frame
 
 
-def manifest_windows(manifest: DataFrame) -> DataFrame:
-    """Distinct ``episode_id, role, first, last``."""
+def role_spans() -> Column:
+    """Generates ``role, first, last`` for both windows of a manifest row."""
     spans = [
         F.struct(
             F.lit(role).alias("role"),
@@ -47,23 +47,28 @@ def manifest_windows(manifest: DataFrame) -> DataFrame:
         )
         for role in ROLES
     ]
-    return manifest.select("episode_id", F.inline(F.array(*spans))).distinct()
+    return F.inline(F.array(*spans))
+
+
+def manifest_windows(manifest: DataFrame) -> DataFrame:
+    """Distinct ``episode_id, role, first, last``."""
+    return manifest.select("episode_id", role_spans()).distinct()
 
 
-def _episode_key(frames: DataFrame, episode: str) -> Column:
+def episode_key(frames: DataFrame, episode: str) -> Column:
     """Manifest ids are text: compare as numbers when the frames number their episodes."""
     numeric = isinstance(frames.schema[episode].dataType, T.IntegralType)
     return F.col("episode_id").try_cast("long") if numeric else F.col("episode_id")
 
 
 def match_windows(windows: DataFrame, frames: DataFrame, payload: list[Column]) -> DataFrame:
-    """Windows joined with their frames: the window key, ``frame`` and the payload columns."""
+    """Windows (``episode_id, first, last, ...``) joined with their frames: adds ``frame`` and the payload columns."""
     episode, frame = frame_keys(frames)
     rows = frames.select(col(episode).alias("_episode"), col(frame).cast("long").alias("frame"), *payload)
     rows = rows.withColumn("_cell", floor_div("frame", CELL))
     cells = F.sequence(floor_div("first", CELL), floor_div("last", CELL))
     spread = windows.where("first <= last").select(
-        *WINDOW_KEY, _episode_key(frames, episode).alias("_wanted"), F.explode(cells).alias("_window_cell")
+        "*", episode_key(frames, episode).alias("_wanted"), F.explode(cells).alias("_window_cell")
     )
     on = (
         (F.col("_wanted") == F.col("_episode"))
@@ -80,11 +85,7 @@ def resolved_frames(manifest: DataFrame, frames: DataFrame, columns: list[str] |
     """
     record = F.struct(*[col(n) for n in (columns or frames.columns)]).alias("record")
     matched = match_windows(manifest_windows(manifest), frames, [record])
-    spans = [
-        F.struct(F.lit(r).alias("role"), F.col(f"{r}_start_frame").alias("first"), F.col(f"{r}_end_frame").alias("last"))
-        for r in ROLES
-    ]
-    samples = manifest.select("sample_id", "episode_id", F.inline(F.array(*spans)))
+    samples = manifest.select("sample_id", "episode_id", role_spans())
     return samples.join(matched, WINDOW_KEY).select("sample_id", "role", "frame", "record")
 
 
