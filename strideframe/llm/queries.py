@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strideframe.llm import byte_bpe, mixing, near_dedup, quality, secret_scan
+from strideframe.llm import (
+    archive, byte_bpe, mixing, near_dedup, quality, search, secret_scan, span_dedup, toxicity, url_filter,
+)
 from strideframe.llm.shipping import ship
+from strideframe.sources import scratch
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,6 +24,20 @@ def op1_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf, "documents"))
 
 
+def op2_content_archive(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch.new_path(spark, "archive")
+    archive.write_archive(_table(spark, sf, "pages"), folder)
+    header, payload = F.col("header"), F.col("payload")
+    refers = F.regexp_extract(archive.header_field(header, "WARC-Refers-To"), r"^<urn:page:(-?\d+)>$", 1)
+    return archive.read_archive(spark, folder).select(
+        F.col("id").alias("page_id"),
+        F.octet_length(payload).cast("long").alias("payload_bytes"),
+        archive.base32_of_hex(F.sha1(payload)).alias("payload_digest"),
+        archive.header_field(header, "WARC-Type").alias("record_type"),
+        F.when(refers != "", refers.cast("long")).alias("refers_to"),
+    )
+
+
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -39,6 +56,27 @@ def op4_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return search.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    return toxicity.score_texts(_table(spark, sf, "documents"), _table(spark, sf, "labels"), held_out)
+
+
+def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf, "pages").select("page_id", "url")).select(
+        "page_id", "host", "path", "rule", "verdict", "strict_hits", "soft_hits", "soft_weight"
+    )
+
+
+def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return span_dedup.remove_repeats(_table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -60,8 +98,10 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (
-        op1_minhash_near_dedup, op3_byte_bpe, op4_source_mixing, op9_quality_rules, op10_secret_scan,
+    f.__name__: f
+    for f in (
+        op1_minhash_near_dedup, op2_content_archive, op3_byte_bpe, op4_source_mixing, op5_exact_top_k, op6_toxicity,
+        op7_url_filter, op8_substring_dedup, op9_quality_rules, op10_secret_scan,
     )
-}
+}
 ORACLES: dict[str, str] = {}
