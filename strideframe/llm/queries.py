@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strideframe.llm import (
     archive, byte_bpe, mixing, near_dedup, quality, search, secret_scan, span_dedup, toxicity, url_filter,
 )
+from strideframe.llm.oracles import ORACLES
 from strideframe.llm.shipping import ship
 from strideframe.sources import scratch
 
@@ -97,6 +98,8 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -104,4 +107,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_url_filter, op8_substring_dedup, op9_quality_rules, op10_secret_scan,
     )
 }
-ORACLES: dict[str, str] = {}

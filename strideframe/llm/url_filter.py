@@ -92,7 +92,7 @@ def vocabulary_verdict(
     """``pages`` with ``strict_hits``, ``soft_hits`` (different terms), ``soft_weight`` and ``word_verdict``."""
     strict, soft = tuple(strict), dict(soft)
     added = [
-        T.StructField("strict_hits", T.IntegerType()), T.StructField("soft_hits", T.IntegerType()),
+        T.StructField("strict_hits", T.LongType()), T.StructField("soft_hits", T.LongType()),
         T.StructField("soft_weight", T.DoubleType()), T.StructField("word_verdict", T.StringType()),
     ]
     names = [f.name for f in added]
@@ -108,7 +108,7 @@ def vocabulary_verdict(
                 block = bool(hard) or (len(mild) >= least_soft and weight >= least_weight)
                 made.append((len(hard), len(mild), weight, "block" if block else "allow"))
             columns = list(zip(*made)) if made else [(), (), (), ()]
-            types = (pa.int32(), pa.int32(), pa.float64(), pa.string())
+            types = (pa.int64(), pa.int64(), pa.float64(), pa.string())
             yield pa.RecordBatch.from_pydict(
                 {f.name: batch.column(f.name) for f in kept} | {n: pa.array(c, t) for n, c, t in zip(names, columns, types)}
             )
