@@ -87,9 +87,11 @@ def event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = with_group_position(events, ["user_id"], "hour", ["ts", "event_id"], "frame_index")
     seconds = micros("ts") / F.lit(1e6)
     inverted = F.when(F.col("event_id") % 101 == 5, seconds - 864000.0).otherwise(seconds)
-    return numbered.where(F.col("event_id") % 13 != 7).select(
+    # every 13th number is left out, so episodes have holes and no event is lost
+    spaced = F.col("frame_index") + F.floor(F.col("frame_index") / 12)
+    return numbered.select(
         F.col("user_id").alias("episode_index"),
-        "frame_index",
+        spaced.alias("frame_index"),
         inverted.alias("timestamp"),
         _coded(F.col("event_type"), EVENT_TASKS).alias("task_index"),
         F.array(F.col("value"), F.get_json_object("props", "$.k").cast("double")).alias("observation.state"),
@@ -177,13 +179,12 @@ def video_files(episodes: DataFrame) -> DataFrame:
 
 FE_SQL = """
 fe as (
-  select user_id as episode_index, frame_index,
+  select user_id as episode_index, frame_index + frame_index // 12 as frame_index,
          case when event_id % 101 = 5 then epoch_us(ts) / 1e6 - 864000.0 else epoch_us(ts) / 1e6 end as "timestamp",
          cast(case event_type when 'click' then 0 when 'error' then 1 when 'purchase' then 2 when 'signup' then 3
               when 'view' then 4 end as bigint) as task_index,
          value, cast(regexp_extract(props, '"k": *(-?[0-9]+)', 1) as double) as k
   from (select *, row_number() over (partition by user_id order by ts, event_id) - 1 as frame_index from events)
-  where event_id % 13 <> 7
 )"""
 
 FL_SQL = """

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import fixtures as X
-from catalog import tables
+from catalog import builds, tables
 from strideframe.config import EpisodeFilter, FrameManifestConfig, WindowSpec
 from strideframe.functions.columns import col, normalize_columns
-from strideframe.functions.digest import content_digest
 from strideframe.functions.paths import shard_path
 from strideframe.operators import annotations as A
 from strideframe.operators import checks as C
@@ -26,7 +25,7 @@ from strideframe.operators.ordering import indexed_rows
 from strideframe.operators.windows import statistic_names, window_gaps
 from strideframe.plans import build_checks as B
 from strideframe.plans import summaries
-from strideframe.plans.contract import frame_quality_checks
+from strideframe.plans.contract import frame_offenders, frame_quality_checks
 from strideframe.plans.export_files import export_checks
 from strideframe.sources import files, scratch
 from strideframe.sources.small import literal_table
@@ -415,16 +414,36 @@ def expected_manifest_rows(spark, sf):
     return M.expected_rows(of(spark, sf, "synced"), of(spark, sf, "annotations"), X.MANIFEST)
 
 
-_LOGICAL = [
-    "sample_id", "source_sample_id", "episode_id", "instruction_id", "instruction_text", "annotation_type",
-    "anchor_frame", *M.WINDOW_BOUNDS, "observation_rows",
-]
-_DOCUMENT = "to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in _LOGICAL) + "))"
+def _is_double(name: str) -> bool:
+    return name.endswith(("_timestamp", "_seconds"))
+
+
+def _as_text(name: str) -> str:
+    """Text that both engines write alike: doubles in whole millionths, NULL by name."""
+    value = f"cast(round({name} * 1000000) as bigint)" if _is_double(name) else name
+    return f"coalesce(cast({value} as varchar), 'NULL')"
+
+
+def _document(names) -> str:
+    return "to_json(struct_pack(" + ", ".join(f"{c} := {_as_text(c)}" for c in names) + "))"
+
+
+def _text_manifest(manifest):
+    """All 33 columns as text, in the form of the SQL side."""
+    def text(name):
+        value = F.round(F.col(name) * 1000000).cast("long") if _is_double(name) else F.col(name)
+        return F.coalesce(value.cast("string"), F.lit("NULL")).alias(name)
+
+    return manifest.select(*[text(name) for name in M.ANNOTATED_COLUMNS])
+
+
+_DOCUMENT = _document(M.ANNOTATED_COLUMNS)
+_DIGESTED = _document([c for c in M.ANNOTATED_COLUMNS if c not in M.PROVENANCE])
 _WORD_SUMS = " || ':' || ".join(
     f"cast(sum(cast(('0x' || substr(h, {1 + 16 * w}, 16)) as ubigint)) as varchar)" for w in range(4)
 )
 _DIGEST_SQL = f"""digest as (select count(*) as "rows", sha256(cast(count(*) as varchar) || ':' || {_WORD_SUMS}) as content_sha256
-    from (select sha256(cast({_DOCUMENT} as varchar)) as h from manifest))"""
+    from (select sha256(cast({_DIGESTED} as varchar)) as h from manifest))"""
 
 
 @register(
@@ -433,8 +452,7 @@ _DIGEST_SQL = f"""digest as (select count(*) as "rows", sha256(cast(count(*) as
     select "rows", content_sha256, substr(content_sha256, 1, 16) as content_version from digest""",
 )
 def manifest_digest(spark, sf):
-    # without the floating point columns, whose text differs between engines
-    return content_digest(of(spark, sf, "manifest"), _LOGICAL)
+    return M.manifest_digest(_text_manifest(of(spark, sf, "manifest")))
 
 
 @register(
@@ -443,7 +461,7 @@ def manifest_digest(spark, sf):
 )
 def manifest_json_lines(spark, sf):
     path = scratch.new_path(spark, "manifest-jsonl")
-    M.write_json_lines(of(spark, sf, "manifest").select(*_LOGICAL), path)
+    M.write_json_lines(_text_manifest(of(spark, sf, "manifest")), path)
     return spark.read.text(path)
 
 
@@ -461,7 +479,7 @@ def manifest_scan(spark, sf):
     from digest""",
 )
 def registry_stats(spark, sf):
-    digest = content_digest(_manifest(spark, sf), _LOGICAL)
+    digest = M.manifest_digest(_text_manifest(_manifest(spark, sf)))
     return digest.select(
         F.col("rows").alias("manifest_rows"),
         F.col("content_sha256").alias("manifest_sha256"),
@@ -524,7 +542,7 @@ def _contract_sql(source: str, ctes: str, lengths: str, tasks: str) -> str:
     _contract_sql(
         "fe",
         X.FE_SQL,
-        "select count(*) from (select user_id from events where event_id % 13 <> 7 group by user_id) where user_id % 7 = 3",
+        "select count(*) from (select user_id from events group by user_id) where user_id % 7 = 3",
         "select count(distinct event_type) - 5 from events",
     ),
 )
@@ -533,6 +551,22 @@ def contract_frames(spark, sf):
     return checks.select("name", "status")
 
 
+@register(
+    "contract_offenders",
+    f"""with o as ({_order_sql("fe", X.FE_SQL)})
+    select 'timestamp_monotonic_by_episode' as "check", cast(episode_index as varchar) as key from o where timestamp_non_monotonic
+    union all select 'frame_index_unique_by_episode', cast(episode_index as varchar) from o where frame_duplicated
+    union all select 'frame_index_contiguous_by_episode', cast(episode_index as varchar) from o where frame_gap
+    union all select distinct 'episode_lengths_match_frames', cast(user_id as varchar) from events where user_id % 7 = 3
+    union all select distinct 'task_metadata_covers_frame_tasks', '4' from events where event_type = 'view'""",
+)
+def contract_offenders(spark, sf):
+    # one task is left out of the metadata, as the fault to find
+    tasks = of(spark, sf, "tasks").where("task_index <> 4")
+    frames = of(spark, sf, "frames")
+    return frame_offenders(C.episode_order(frames), frames, of(spark, sf, "episodes"), tasks)
+
+
 @register("contract_turns", _contract_sql("fc", X.FC_SQL, "select 0", "select count(*) filter (where role = 'none') from conversations"))
 def contract_turns(spark, sf):
     turns = of(spark, sf, "turns")
@@ -1251,3 +1285,53 @@ def build_summary(spark, sf):
             F.col("missing_video_ref_count").alias("missing_video_refs"),
         ),
     )
+
+
+# --- the whole build ---------------------------------------------------------------------------------------------------
+
+# the build has no paraphrase rules
+_RULE_JOIN = "on s.source_instruction_text = r.match_text"
+_BUILD_SQL = ",".join([
+    X.FC_SQL, X.TK_SQL, X.synced_sql("fc", builds.SYNC.stride, builds.SYNC.window, builds.SYNC.max_gap_seconds, X.FE_TEXT),
+    X.ANNOTATIONS_SQL.replace(_RULE_JOIN, "on false"), X.manifest_sql(True),
+])
+
+
+@register(
+    "build_totals",
+    f"""with {_BUILD_SQL} select 'passed' as dataset_build_status, 'passed' as export_status,
+    (select count(*) from conversations) as raw_frames, (select count(distinct conv_id) from conversations) as raw_episodes,
+    (select count(*) from synced) as synced_samples, (select count(*) from synced where sync_status = 'ok') as synced_ok_samples,
+    (select count(*) from ann) as annotations, count(*) as manifest_rows, count(*) as export_rows,
+    count(distinct source_sample_id) as source_samples, count(distinct episode_id) as source_episodes,
+    cast(0 as bigint) as missing_video_refs, true as versions_agree from manifest""",
+)
+def build_totals(spark, sf):
+    _, summary = builds.built(spark, sf)
+    numbers = [
+        "raw_frames", "raw_episodes", "synced_samples", "synced_ok_samples", "annotations", "manifest_rows", "export_rows",
+        "source_samples", "source_episodes", "missing_video_refs",
+    ]
+    texts = ["dataset_build_status", "export_status"]
+    agree = summary["manifest_version"] == summary["export_version"]
+    schema = ", ".join([f"{n} long" for n in numbers] + [f"{n} string" for n in texts] + ["versions_agree boolean"])
+    return literal_table(spark, [(*[summary[n] for n in numbers + texts], agree)], schema)
+
+
+@register(
+    "build_export_rows",
+    f"""with {_BUILD_SQL} select sample_id, instruction_text as task, episode_id as source_episode_id,
+    observation_end_frame, action_start_frame from manifest""",
+)
+def build_export_rows(spark, sf):
+    settings, summary = builds.built(spark, sf)
+    data = spark.read.parquet(f"{summary['export_dir']}/data")
+    tasks = spark.read.parquet(f"{summary['export_dir']}/meta/tasks")
+    return data.join(tasks, "task_index").select(
+        "sample_id", "task", "source_episode_id", "observation_end_frame", "action_start_frame"
+    )
+
+
+@register("build_reports", None)
+def build_reports(spark, sf):
+    return builds.report_rows(spark, sf)

@@ -1,7 +1,7 @@
 """Single checks: one-row metrics and offender lists.
 
-Every metric is part of one aggregate per table, so a suite reads its table once. Offender lists are the first
-rows in a fixed order.
+Every metric is part of one aggregate per table, so a suite reads its table once. Offenders are whole tables; a report
+shows the first few as a preview.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from strideframe.functions.columns import any_null, col
 from strideframe.functions.integers import floor_div
 from strideframe.sources.small import literal_table
 
-OFFENDER_LIMIT = 20
+#: fixed values: the columns each table of the contract must fill
 QUALITY_FLAGS = ["is_window_complete", "is_timestamp_monotonic", "is_gap_within_threshold"]
 
 SYNCED_REQUIRED = [
@@ -133,6 +133,11 @@ def episode_order(frames: DataFrame, cell: int = 4096) -> DataFrame:
 def episode_length_mismatches(episodes: DataFrame, frames: DataFrame) -> DataFrame:
     """Listed episodes whose length is not their number of frame rows."""
     counted = frames.groupBy(F.col("episode_index").cast("long").alias("_e")).agg(F.count(F.lit(1)).alias("_n"))
+    return length_mismatches(episodes, counted)
+
+
+def length_mismatches(episodes: DataFrame, counted: DataFrame) -> DataFrame:
+    """The same from frame rows already counted: ``counted(_e, _n)``."""
     if not {"episode_index", "length"} <= set(episodes.columns):
         return literal_table(episodes.sparkSession, [], "episode_index long, metadata_length long, frame_rows long")
     listed = episodes.select(
@@ -189,8 +194,19 @@ def vector_shapes(frames: DataFrame, keys: Sequence[str], info: dict[str, Any])
     return totals.select(F.inline(F.array(*entries))).unionByName(fixed)
 
 
-def first_offenders(df: DataFrame, order: Sequence[str], limit: int = OFFENDER_LIMIT) -> DataFrame:
-    return df.orderBy(*order).limit(limit)
+def offender_summary(offenders: DataFrame, preview: int) -> DataFrame:
+    """One row: for each check of ``offenders(check, key)`` its ``n`` and the first ``preview`` keys, as maps.
+
+    Keys are compared by length, then as text, so numbers come in their order.
+    """
+    rank = F.row_number().over(Window.partitionBy("check").orderBy(F.length("key"), "key"))
+    first = offenders.withColumn("rank", rank).where(F.col("rank") <= preview)
+    shown = first.groupBy("check").agg(F.sort_array(F.collect_list(F.struct("rank", "key"))).alias("shown"))
+    counts = offenders.groupBy("check").agg(F.count(F.lit(1)).alias("n")).join(shown, "check")
+    return counts.agg(
+        F.map_from_entries(F.collect_list(F.struct("check", "n"))).alias("n"),
+        F.map_from_entries(F.collect_list(F.struct("check", F.to_json("shown.key")))).alias("first"),
+    )
 
 
 # --- check rows -------------------------------------------------------------------------------------------------------

@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strideframe.config import EpisodeFilter, FrameColumns
 from strideframe.functions.columns import col, require_columns
 from strideframe.functions.ids import task_key
-
-# beyond this many listed episodes the filter is a semi join instead of an IN list
-MAX_INLINE_EPISODES = 1000
+from strideframe.sources.small import literal_table
 
 
 def filter_episodes(df: DataFrame, column: str, chosen: EpisodeFilter) -> DataFrame:
-    """Keep the chosen episodes; every form reaches the scan as a pushed predicate or a semi join."""
+    """Keep the chosen episodes: a range is a pushed predicate, a list of any length a semi join with the listed ids."""
     episode = col(column).cast("long")
     if not chosen.episodes:
         if chosen.count <= 0:
             return df
         return df.where(episode.between(chosen.start, chosen.start + chosen.count - 1))
-    if len(chosen.episodes) <= MAX_INLINE_EPISODES:
-        return df.where(episode.isin(*chosen.episodes))
-    wanted = df.sparkSession.createDataFrame([(e,) for e in sorted(set(chosen.episodes))], "wanted long")
-    return df.join(wanted, episode == F.col("wanted"), "left_semi")
+    return df.join(listed_episodes(df.sparkSession, chosen), episode == F.col("_listed"), "left_semi")
+
+
+def listed_episodes(spark: SparkSession, chosen: EpisodeFilter) -> DataFrame:
+    """The listed ids as a table of known size, each once."""
+    return literal_table(spark, [(e,) for e in sorted(set(chosen.episodes))], "_listed long")
 
 
 def select_frames(frames: DataFrame, columns: FrameColumns, chosen: EpisodeFilter = EpisodeFilter()) -> DataFrame:

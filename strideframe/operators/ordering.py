@@ -22,8 +22,10 @@ def indexed_rows(stored: DataFrame, name: str = "index") -> DataFrame:
         *[col(c) for c in stored.columns], meta["file_name"].alias("_file"), meta["row_index"].alias("_row")
     )
     sizes = stored.select(meta["file_name"].alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
-    # part-<n>-<uuid>-c<m>: numbers, because the zero padding ends at five digits
-    part = F.regexp_extract("_file", r"^part-(\d+)-", 1).try_cast("long")
+    # part-<n>-<uuid>-c<m>: numbers, because the zero padding ends at five digits; any other name has no known place
+    number = F.regexp_extract("_file", r"^part-(\d+)-", 1).try_cast("long")
+    unknown = F.raise_error(F.concat(F.lit("not a part file of a Spark write, so its place is unknown: "), "_file"))
+    part = F.coalesce(number, unknown.cast("long"))
     split = F.regexp_extract("_file", r"-c(\d+)\.", 1).try_cast("long")
     before = Window.orderBy(part, split, "_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))

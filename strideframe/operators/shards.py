@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strideframe.config import EpisodeFilter
 from strideframe.functions.columns import col, first_present
+from strideframe.operators.frames import listed_episodes
 from strideframe.operators.manifest import EPISODE_NAMES
 from strideframe.operators.video import _shards, shard_keys
 from strideframe.sources.small import literal_table
@@ -29,7 +30,7 @@ def select_episodes(episodes: DataFrame, chosen: EpisodeFilter) -> DataFrame:
     name = _episode_column(episodes)
     episode = col(name).cast("long")
     if chosen.episodes:
-        return episodes.where(episode.isin(*chosen.episodes))
+        return episodes.join(listed_episodes(episodes.sparkSession, chosen), episode == F.col("_listed"), "left_semi")
     if chosen.count <= 0:
         raise ValueError("name episodes or a positive episode count")
     first = (

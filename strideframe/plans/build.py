@@ -22,7 +22,7 @@ from strideframe.plans import build_checks as B
 from strideframe.plans import summaries
 from strideframe.plans.contract import Snapshot, contract_report, load_snapshot
 from strideframe.plans.export_files import validate_export, write_export
-from strideframe.sources import files
+from strideframe.sources import files, scratch
 from strideframe.sources.small import literal_table
 from strideframe.sources.snapshots import Commit, SnapshotStore
 
@@ -208,7 +208,11 @@ def validation_step(store: SnapshotStore, s: BuildSettings) -> dict[str, Any]:
         validated_at_utc=datetime.now(timezone.utc).isoformat(),
         raw={key: store.read(table).count() for key, table in RAW.items()},
         synced={"rows": samples.count(), "required_status_rows": required},
-        annotations=annotations.count() if annotations is not None else 0,
+        annotations=A.active_annotations(
+            annotations, s.manifest.annotation_active_only, s.manifest.annotation_version
+        ).count()
+        if annotations is not None
+        else 0,
     )
 
 
@@ -227,10 +231,18 @@ def export_step(store: SnapshotStore, s: BuildSettings, snapshot: Snapshot) -> d
 
 
 def run_build(spark: SparkSession, s: BuildSettings) -> dict[str, Any]:
-    """Run every step and return the summary. A failed validation raises after its report is stored."""
+    """Run every step and return the summary. A failed validation raises after its report is stored.
+
+    Intermediate tables go below one scratch folder, which is removed when the build has ended.
+    """
+    with scratch.removed_after(spark, "build"):
+        return _run_steps(spark, s)
+
+
+def _run_steps(spark: SparkSession, s: BuildSettings) -> dict[str, Any]:
     store = SnapshotStore(spark, s.warehouse_dir)
     snapshot = load_snapshot(spark, s.snapshot_dir)
-    contract = contract_report(snapshot)
+    contract = contract_report(snapshot, f"{s.registry_dir}/contract_offenders")
     files.write_document(spark, f"{s.registry_dir}/contract_report.json", contract)
     _stop_if_failed("contract", contract)
     inspected: dict[str, Any] = {}
@@ -246,7 +258,8 @@ def run_build(spark: SparkSession, s: BuildSettings) -> dict[str, Any]:
     export = export_step(store, s, snapshot)
     checked = validate_export(spark, export["export_dir"], store.read(MANIFEST), f"{s.registry_dir}/exports")
     _stop_if_failed("export validation", checked)
-    summary = build_summary(report, checked, export, manifest)
+    version = files.read_document(spark, f"{s.registry_dir}/stats.json")["manifest_version"]
+    summary = build_summary(report, checked, export, manifest, version)
     files.write_document(spark, f"{s.registry_dir}/build_summary.json", summary)
     return {**summary, **({"inspect": inspected} if inspected else {})}
 
@@ -270,8 +283,9 @@ def inspect_tables(store: SnapshotStore, snapshot: Snapshot) -> dict[str, Any]:
 
 
 def build_summary(
-    report: dict[str, Any], checked: dict[str, Any], export: dict[str, Any], manifest: Commit
+    report: dict[str, Any], checked: dict[str, Any], export: dict[str, Any], manifest: Commit, manifest_version: str
 ) -> dict[str, Any]:
+    """``manifest_version`` is that of the manifest as built, so an export of another manifest shows."""
     return {
         "dataset_build_status": report["status"],
         "export_status": checked["status"],
@@ -285,7 +299,7 @@ def build_summary(
         "source_samples": export["source_sample_count"],
         "source_episodes": export["source_episode_count"],
         "missing_video_refs": export["missing_video_ref_count"],
-        "manifest_version": export["export_version"],
+        "manifest_version": manifest_version,
         "export_version": export["export_version"],
         "export_dir": export["export_dir"],
     }

@@ -16,6 +16,8 @@ from strideframe.sources.small import literal_table, one_row
 SUITE = "contract"
 CONTRACT_NAME = "episode_contract_v1"
 REQUIRED_FRAME_COLUMNS = ["episode_index", "frame_index", "task_index", "timestamp"]
+#: offenders shown in a report; all of them are in the table it names
+PREVIEW = 20
 ACTION_NAMES = ["action", "action.continuous", "action.discrete"]
 
 
@@ -66,66 +68,80 @@ def observation_features(info: dict[str, Any], names: list[str]) -> list[str]:
     return sorted(kept | {n for n in names if n.startswith("observation.")})
 
 
-def _listed(df: DataFrame, order: str) -> Column | str:
-    """The first offenders as one JSON text."""
-    rows = C.first_offenders(df, [order]).agg(F.to_json(F.array_sort(F.collect_list(F.struct(*df.columns)))).alias("j"))
-    return rows.first()["j"]
+def fixed_check(name: str, ok: Any, details: dict[str, Any]) -> Column:
+    """A check row from values the driver holds."""
+    return C.check(SUITE, name, F.lit(bool(ok)), {k: F.lit(str(v)) for k, v in details.items()})
 
 
-def frame_quality_checks(frames: DataFrame, episodes: DataFrame | None, tasks: DataFrame | None) -> DataFrame:
-    """The six checks on frame content."""
+#: checks on the order of an episode's frames, by the column that marks a faulty episode
+ORDER_FAULTS = {
+    "timestamp_monotonic_by_episode": "timestamp_non_monotonic",
+    "frame_index_monotonic_by_episode": "frame_non_monotonic",
+    "frame_index_unique_by_episode": "frame_duplicated",
+    "frame_index_contiguous_by_episode": "frame_gap",
+}
+
+
+def frame_offenders(
+    order: DataFrame, frames: DataFrame, episodes: DataFrame | None, tasks: DataFrame | None
+) -> DataFrame:
+    """``check, key``: every faulty episode and uncovered task. ``order`` is the table of :func:`C.episode_order`."""
+    flags = F.array(*[F.struct(F.lit(name).alias("check"), F.col(fault).alias("bad")) for name, fault in ORDER_FAULTS.items()])
+    found = order.select(F.col("episode_index").cast("string").alias("key"), F.explode(F.filter(flags, lambda x: x["bad"])).alias("x"))
+    rows = found.select("x.check", "key")
+    if episodes is not None:
+        counted = order.select(F.col("episode_index").alias("_e"), F.col("frame_rows").alias("_n"))
+        wrong = C.length_mismatches(episodes, counted).select(F.col("episode_index").cast("string").alias("key"))
+        rows = rows.union(wrong.select(F.lit("episode_lengths_match_frames").alias("check"), "key"))
+    known = tasks if tasks is not None and "task_index" in tasks.columns else literal_table(frames.sparkSession, [], "task_index long")
+    bare = C.uncovered_tasks(frames, known).select(F.col("task_index").cast("string").alias("key"))
+    return rows.union(bare.select(F.lit("task_metadata_covers_frame_tasks").alias("check"), "key"))
+
+
+@dataclass(frozen=True)
+class Offenders:
+    """How many offenders each check has, the first few, and where all of them are."""
+
+    counts: dict[str, int]
+    first: dict[str, str]
+    path: str
+
+    def details(self, check: str, counted: str) -> dict[str, Any]:
+        return {
+            counted: self.counts.get(check, 0),
+            "preview": self.first.get(check, "[]"),
+            "preview_rows": min(PREVIEW, self.counts.get(check, 0)),
+            "offenders": self.path,
+        }
+
+
+def keep_offenders(rows: DataFrame, place: str) -> Offenders:
+    """Store all offenders as a table at ``place`` and sum them up."""
+    rows.write.mode("overwrite").parquet(place)
+    summary = C.offender_summary(rows.sparkSession.read.schema(rows.schema).parquet(place), PREVIEW).first()
+    return Offenders(summary["n"], summary["first"], place)
+
+
+def frame_quality_checks(
+    frames: DataFrame, episodes: DataFrame | None, tasks: DataFrame | None, offenders_dir: str | None = None
+) -> DataFrame:
+    """The six checks on frame content. Frames are read twice: for their order and counts, and for their tasks."""
     spark = frames.sparkSession
-    # one row per episode, read several times below
     order = scratch.store(C.episode_order(frames), "episode-order")
-    faults = {
-        "timestamp_monotonic_by_episode": "timestamp_non_monotonic",
-        "frame_index_monotonic_by_episode": "frame_non_monotonic",
-        "frame_index_unique_by_episode": "frame_duplicated",
-        "frame_index_contiguous_by_episode": "frame_gap",
-    }
-    totals = order.agg(
-        F.count(F.lit(1)).alias("episodes"), *[F.count_if(F.col(f)).alias(f) for f in faults.values()]
-    )
+    place = f"{offenders_dir}/frames" if offenders_dir else scratch.new_path(spark, "frame-offenders")
+    found = keep_offenders(frame_offenders(order, frames, episodes, tasks), place)
+    total = order.count()
     rows = [
-        C.check(
-            SUITE,
-            name,
-            F.col(fault) == 0,
-            {
-                "episodes": F.col("episodes"),
-                "faulty_episodes": F.col(fault),
-                "first": F.lit(_listed(order.where(F.col(fault)).select("episode_index"), "episode_index")),
-            },
-        )
-        for name, fault in faults.items()
+        fixed_check(name, not found.counts.get(name), {"episodes": total, **found.details(name, "faulty_episodes")})
+        for name in ORDER_FAULTS
     ]
-    result = C.check_rows(totals, rows)
-    lengths = C.episode_length_mismatches(episodes, frames) if episodes is not None else None
-    if lengths is None:
-        mismatch = one_row(spark).select(F.lit(0).alias("n"))
-        first = F.lit("[]")
-    else:
-        mismatch = lengths.agg(F.count(F.lit(1)).alias("n"))
-        first = F.lit(_listed(lengths, "episode_index"))
-    result = result.union(
-        C.check_rows(
-            mismatch,
-            [C.check(SUITE, "episode_lengths_match_frames", F.col("n") == 0, {"mismatch_count": F.col("n"), "first": first})],
-        )
-    )
-    known = tasks if tasks is not None and "task_index" in tasks.columns else literal_table(spark, [], "task_index long")
-    uncovered = C.uncovered_tasks(frames, known)
-    covered = C.check(
-        SUITE,
-        "task_metadata_covers_frame_tasks",
-        F.col("n") == 0,
-        {"missing_tasks": F.col("n"), "first": F.lit(_listed(uncovered, "task_index"))},
-    )
-    return result.union(C.check_rows(uncovered.agg(F.count(F.lit(1)).alias("n")), [covered]))
+    for name, counted in (("episode_lengths_match_frames", "mismatch_count"), ("task_metadata_covers_frame_tasks", "missing_tasks")):
+        rows.append(fixed_check(name, not found.counts.get(name), found.details(name, counted)))
+    return C.check_rows(one_row(spark), rows)
 
 
-def contract_checks(snapshot: Snapshot) -> DataFrame:
-    """The contract as check rows."""
+def contract_checks(snapshot: Snapshot, offenders_dir: str | None = None) -> DataFrame:
+    """The contract as check rows. All offenders are stored below ``offenders_dir`` (unset: the scratch folder)."""
     spark = snapshot.listing.sparkSession
     info, frames = snapshot.info, snapshot.frames
     names = frames.columns if frames is not None else []
@@ -136,13 +152,11 @@ def contract_checks(snapshot: Snapshot) -> DataFrame:
     def rows_of(df: DataFrame | None) -> int:
         return df.count() if df is not None else 0
 
-    counts = {"episodes": rows_of(snapshot.episodes), "tasks": rows_of(snapshot.tasks), "frames": rows_of(frames)}
+    counts = {"episodes": rows_of(snapshot.episodes), "tasks": rows_of(snapshot.tasks)}
     of_frames = F.col("path").startswith("data/") & F.col("path").endswith(".parquet")
     n_files = snapshot.listing.agg(F.count(F.lit(1)).alias("all"), F.count_if(of_frames).alias("frames")).first()
 
-    def fixed(name: str, ok: bool, details: dict[str, Any]) -> Column:
-        return C.check(SUITE, name, F.lit(bool(ok)), {k: F.lit(str(v)) for k, v in details.items()})
-
+    fixed = fixed_check
     one = one_row(spark)
     result = C.check_rows(
         one,
@@ -158,18 +172,19 @@ def contract_checks(snapshot: Snapshot) -> DataFrame:
             fixed("video_path_template_exists", info.get("video_path"), {"video_path": info.get("video_path")}),
         ],
     )
+    name, expected = "video_refs_resolvable", 0
     if snapshot.episodes is not None:
         refs = video_refs(snapshot.episodes, snapshot.listing, info)
-        totals = refs.agg(F.count(F.lit(1)).alias("expected"), F.count_if(~F.col("exists")).alias("missing"))
-        first = _listed(refs.where(~F.col("exists")).select("path"), "path")
+        place = f"{offenders_dir}/videos" if offenders_dir else scratch.new_path(spark, "video-offenders")
+        missing = refs.where(~F.col("exists")).select(F.lit(name).alias("check"), F.col("path").alias("key"))
+        found, expected = keep_offenders(missing, place), refs.count()
     else:
-        totals = one.select(F.lit(0).alias("expected"), F.lit(0).alias("missing"))
-        first = "[]"
-    resolvable = (F.col("expected") > 0) & (F.col("missing") == 0)
-    details = {"expected_refs": F.col("expected"), "missing_refs": F.col("missing"), "first": F.lit(first)}
-    result = result.union(C.check_rows(totals, [C.check(SUITE, "video_refs_resolvable", resolvable, details)]))
-    if frames is not None and not absent and counts["frames"]:
-        result = result.union(frame_quality_checks(frames, snapshot.episodes, snapshot.tasks))
+        found = Offenders({}, {}, "")
+    resolvable = expected > 0 and not found.counts.get(name)
+    details = {"expected_refs": expected, **found.details(name, "missing_refs")}
+    result = result.union(C.check_rows(one, [fixed(name, resolvable, details)]))
+    if frames is not None and not absent and not frames.isEmpty():
+        result = result.union(frame_quality_checks(frames, snapshot.episodes, snapshot.tasks, offenders_dir))
     else:
         result = result.union(C.check_rows(one, [fixed("frame_quality_checks_runnable", False, {"missing": absent})]))
     return result.union(shape_check(frames, [*actions, *observations], info, spark))
@@ -189,9 +204,9 @@ def shape_check(frames: DataFrame | None, keys: list[str], info: dict[str, Any],
     return C.check_rows(totals, [C.check(SUITE, name, F.col("bad") == 0, {"features": F.col("features")})])
 
 
-def contract_report(snapshot: Snapshot) -> dict[str, Any]:
+def contract_report(snapshot: Snapshot, offenders_dir: str | None = None) -> dict[str, Any]:
     """The contract checks with a summary of the snapshot, as a document."""
-    rows = [row.asDict() for row in contract_checks(snapshot).collect()]
+    rows = [row.asDict() for row in contract_checks(snapshot, offenders_dir).collect()]
     errors = sum(row["status"] == "error" for row in rows)
     info = snapshot.info
     return {

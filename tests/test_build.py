@@ -1,6 +1,7 @@
 """The whole build on a small snapshot, and one injected fault for every check."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -390,3 +391,44 @@ def test_missing_video_is_reported_not_fatal(spark, built):
     )
     stats = E.export_stats(store.read(B.MANIFEST), refs).first()
     assert stats["missing_video_ref_count"] == 1 and stats["export_total_tasks"] == 4
+
+
+def test_inactive_rules_are_not_counted(spark, built, tmp_path):
+    base, summary, _ = built
+    labels = {"task_label": "t", "object_label": "o", "scene_label": "s"}
+    rules = (AnnotationRule("Pick.", ("Grab.",), **labels), AnnotationRule("Place.", ("Put.",), is_active=False, **labels))
+    mine = settings(
+        base, warehouse_dir=str(tmp_path / "w"), registry_dir=str(tmp_path / "r"), export_dir=str(tmp_path / "e"), inspect=False,
+        annotation=AnnotationConfig(version="v1", policy="p", created_at_utc="now", rules=rules, require_status="ok", **labels),
+    )
+    other = B.run_build(spark, mine)
+    assert other["annotations"] == 12 + 6
+    assert SnapshotStore(spark, str(tmp_path / "w")).read(B.ANNOTATIONS).count() == 12 + 6 + 6
+    assert other["manifest_version"] == other["export_version"] != summary["manifest_version"]
+
+
+def test_summary_shows_an_export_of_another_manifest():
+    report = {"status": "passed", "raw": {"frames": 1, "episodes": 1}, "synced": {"rows": 1, "required_status_rows": 1}, "annotations": 0}
+    export = dict.fromkeys(("export_total_samples", "source_sample_count", "source_episode_count", "missing_video_ref_count"), 0)
+    commit = B.Commit(1, "t", "p", 0, "now")
+    summary = B.build_summary(report, report, {**export, "export_version": "old", "export_dir": "d"}, commit, "new")
+    assert (summary["manifest_version"], summary["export_version"]) == ("new", "old")
+
+
+def test_offenders_are_all_kept(spark, snapshot, tmp_path):
+    many = spark.range(400).select(F.col("id").alias("episode_index"), F.lit(7).alias("length"))
+    bad = changed(snapshot, episodes=many)
+    report = contract_report(bad, str(tmp_path / "off"))
+    row = next(r for r in report["checks"] if r["name"] == "episode_lengths_match_frames")
+    details = json.loads(row["details"])
+    assert details["mismatch_count"] == "400" and details["preview_rows"] == "20"
+    assert json.loads(details["preview"])[:3] == ["0", "1", "2"]
+    assert spark.read.parquet(details["offenders"]).where("check = 'episode_lengths_match_frames'").count() == 400
+
+
+def test_build_leaves_no_scratch(spark, built):
+    from strideframe.sources import scratch
+
+    place = scratch.new_path(spark, "probe")
+    folder = os.path.dirname(place.removeprefix("file://"))
+    assert not [n for n in os.listdir(folder) if n.startswith("build-")]

@@ -523,3 +523,12 @@ def test_episode_filter_and_columns_reach_the_scan(spark, tmp_path):
     plan = select_frames(frames, FrameColumns(), EpisodeFilter(start=3, count=4))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(episode_index,3)" in plan and "LessThanOrEqual(episode_index,6)" in plan
     assert "observation" not in plan and "action" not in plan
+
+
+def test_positions_need_part_file_names(spark, tmp_path):
+    spark.range(10).repartition(2).write.parquet(f"{tmp_path}/t")
+    assert sorted(r["index"] for r in indexed_rows(spark.read.parquet(f"{tmp_path}/t")).collect()) == list(range(10))
+    one = next(p for p in (tmp_path / "t").iterdir() if p.name.startswith("part-"))
+    one.rename(one.with_name("renamed.parquet"))
+    with pytest.raises(Exception, match="place is unknown"):
+        indexed_rows(spark.read.parquet(f"{tmp_path}/t")).collect()

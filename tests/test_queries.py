@@ -27,26 +27,26 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert len(df.columns) == 41
-    assert df.count() == 176
+    assert df.count() == 191
     assert entry_points.queries().keys() >= entry_points.oracle_sql().keys()
 
 
 GOLDEN = {
     "sf0.001": {
-        "frames": 923,
-        "fe": {"ok": 67, "missing_window_rows": 96, "non_monotonic_timestamp": 6, "timestamp_gap_exceeded": 7},
+        "frames": 1000,
+        "fe": {"ok": 52, "missing_window_rows": 125, "non_monotonic_timestamp": 6, "timestamp_gap_exceeded": 8},
         "fl": {"ok": 106, "missing_window_rows": 6, "timestamp_gap_exceeded": 84},
-        "annotations": 65,
-        "manifest": 109,
-        "episode_manifest": 367,
+        "annotations": 68,
+        "manifest": 87,
+        "episode_manifest": 248,
     },
     "sf0.01": {
-        "frames": 9231,
-        "fe": {"ok": 776, "missing_window_rows": 847, "non_monotonic_timestamp": 60, "timestamp_gap_exceeded": 69},
+        "frames": 10000,
+        "fe": {"ok": 551, "missing_window_rows": 1251, "non_monotonic_timestamp": 45, "timestamp_gap_exceeded": 62},
         "fl": {"ok": 1062, "missing_window_rows": 32, "timestamp_gap_exceeded": 856},
-        "annotations": 776,
-        "manifest": 1210,
-        "episode_manifest": 4470,
+        "annotations": 620,
+        "manifest": 865,
+        "episode_manifest": 2364,
     },
 }
 
