@@ -17,7 +17,7 @@ TEMPLATE = "videos/chunk-{episode_chunk:03d}/{video_key}/all.mp4"
 CAMERA = "observation.images.front"
 SYNC = SyncConfig(stride=2, window=WindowSpec(-1, 0, 1, 1), max_gap_seconds=5.0)
 ANNOTATE = AnnotationConfig(
-    version="ann_v1", policy="source_plus_curated_paraphrases_v1", created_at_utc=X.CREATED_AT, task_label="shopping",
+    version="ann_v1", policy="source_and_rules", created_at_utc=X.CREATED_AT, task_label="shopping",
     object_label="item", scene_label="shop", rules=(), require_status="ok",
 )
 

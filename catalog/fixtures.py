@@ -50,7 +50,7 @@ FE_SYNC = SyncConfig(
 FL_SYNC = SyncConfig(stride=30, window=WindowSpec(-10, 0, 1, 10), max_gap_seconds=1209600.0)
 ANNOTATE = AnnotationConfig(
     version="ann_v1",
-    policy="source_plus_curated_paraphrases_v1",
+    policy="source_and_rules",
     created_at_utc=CREATED_AT,
     task_label="shopping",
     object_label="item",
@@ -335,9 +335,9 @@ rule_ann as (
 ),
 ann as (
   select 'inst_' || substr(sha256(concat_ws('||', episode_id, source_instruction_id, text, annotation_type, 'ann_v1',
-           'source_plus_curated_paraphrases_v1')), 1, 16) as instruction_id,
+           'source_and_rules')), 1, 16) as instruction_id,
          episode_id, source_instruction_id, source_instruction_text, text, annotation_type,
-         'ann_v1' as annotation_version, 'source_plus_curated_paraphrases_v1' as annotation_policy, 'en' as language,
+         'ann_v1' as annotation_version, 'source_and_rules' as annotation_policy, 'en' as language,
          task_label, object_label, scene_label, 'annotation_builder' as created_by,
          '{CREATED_AT}' as created_at_utc, is_active
   from (select * from source_ann union all select * from rule_ann)

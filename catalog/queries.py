@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog import fixtures as X
 from catalog import builds, tables
+from catalog import fixtures as X
 from strideframe.config import EpisodeFilter, FrameManifestConfig, WindowSpec
 from strideframe.functions.columns import col, normalize_columns
 from strideframe.functions.paths import shard_path
@@ -79,19 +80,18 @@ def scan_jsonl(spark, sf):
     return _flat_frames(files.read_json_lines(spark, path))
 
 
-@register("file_row_counts", "select 'events.parquet' as file_name, count(*) as \"rows\" from events union all "
-                             "select 'lineitem.parquet', count(*) from lineitem")
-def file_row_counts(spark, sf):
-    counted = [files.file_row_counts(X.table(spark, sf, name)) for name in ("events", "lineitem")]
-    name = F.substring_index("file_path", "/", -1)
-    return counted[0].union(counted[1]).select(name.alias("file_name"), "rows")
-
-
 _TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 
 
+@register("file_row_counts", " union all ".join(f"""select '{t}.parquet' as file_name, count(*) as "rows" from {t}""" for t in _TABLES))
+def file_row_counts(spark, sf):
+    counted = [files.file_row_counts(X.table(spark, sf, name)) for name in _TABLES]
+    name = F.substring_index("file_path", "/", -1)
+    return functools.reduce(DataFrame.union, counted).select(name.alias("file_name"), "rows")
+
+
 @register("file_inventory", " union all ".join(f"select '{t}.parquet' as path, true as has_bytes" for t in _TABLES))
 def file_inventory(spark, sf):
     return files.list_files(spark, sf, "*.parquet").select("path", (F.col("length") > 0).alias("has_bytes"))

@@ -50,8 +50,6 @@ _INDEX_NAMES = {"frame_index", "episode_index", "index", "task_index"}
 DATA_PATH = "data/*.parquet"  # part files in index order
 DEFAULT_CODEBASE_VERSION = "v3.0"
 EXPORT_FORMAT = "manifest_export_v0"
-EXPORT_NOTE = "Tabular export of a manifest. Source videos are referenced in the sample refs and are not copied."
-STATS_NOTE = "Feature statistics are taken over from the source snapshot and not computed again."
 
 
 def index_manifest(manifest: DataFrame) -> DataFrame:
@@ -299,7 +297,6 @@ def export_info(rows: DataFrame, info: dict[str, Any], totals: dict[str, Any], d
         "data_path": DATA_PATH,
         "video_path": info.get("video_path"),
         "features": features,
-        "export_note": EXPORT_NOTE,
     }
 
 

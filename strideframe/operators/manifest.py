@@ -13,6 +13,7 @@ from strideframe.operators.annotations import active_annotations
 from strideframe.operators.ordering import sort_stored, with_global_index
 from strideframe.sources import files
 
+# fixed values: the columns of the two manifests
 WINDOW_BOUNDS = ["observation_start_frame", "observation_end_frame", "action_start_frame", "action_end_frame"]
 _SYNC_FIELDS = [
     "anchor_frame", *WINDOW_BOUNDS, "anchor_timestamp", "observation_start_timestamp", "observation_end_timestamp",

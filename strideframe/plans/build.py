@@ -225,9 +225,11 @@ def export_step(store: SnapshotStore, s: BuildSettings, snapshot: Snapshot) -> d
     source_stats = files.read_document(spark, f"{s.snapshot_dir}/meta/stats.json")
     created = datetime.now(timezone.utc).isoformat()
     registry = f"{s.registry_dir}/exports"
+    metadata = files.read_document(spark, f"{s.registry_dir}/metadata.json")
     return write_export(
-        indexed, snapshot.frames, refs, s.export_dir, created, snapshot.info, source_stats, registry
-    )
+        indexed, snapshot.frames, refs, s.export_dir, created, snapshot.info, source_stats, registry,
+        {"snapshot_dir": s.snapshot_dir, "manifest_path": metadata.get("manifest_path")},
+    )
 
 
 def run_build(spark: SparkSession, s: BuildSettings) -> dict[str, Any]:

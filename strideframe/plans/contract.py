@@ -58,14 +58,11 @@ def load_snapshot(spark: SparkSession, path: str) -> Snapshot:
 
 
 def observation_features(info: dict[str, Any], names: list[str]) -> list[str]:
-    features = info.get("features")
-    declared = features.items() if isinstance(features, dict) else ()
-    kept = {
-        key
-        for key, f in declared
-        if key.startswith("observation.") and isinstance(f, dict) and f.get("dtype") != "video"
-    }
-    return sorted(kept | {n for n in names if n.startswith("observation.")})
+    """Observation features that frames hold as columns: those in the data and those declared, but no videos."""
+    declared = info["features"] if isinstance(info.get("features"), dict) else {}
+    videos = {key for key, feature in declared.items() if not isinstance(feature, dict) or feature.get("dtype") == "video"}
+    wanted = [*names, *(key for key in declared if key not in videos)]
+    return sorted({key for key in wanted if key.startswith("observation.")})
 
 
 def fixed_check(name: str, ok: Any, details: dict[str, Any]) -> Column:

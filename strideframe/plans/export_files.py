@@ -42,10 +42,11 @@ def write_export(
     info: dict[str, Any] | None = None,
     source_stats: dict[str, Any] | None = None,
     registry_dir: str | None = None,
+    origin: dict[str, str] | None = None,
 ) -> dict[str, Any]:
     """Write all parts below a fresh folder of ``export_dir`` and commit it there as the last step.
 
-    ``indexed`` is a manifest with its ``index``. An earlier export stays readable until, and after, the commit.
+    ``indexed`` is a manifest with its ``index``; ``origin`` names where it came from (``snapshot_dir``, ``manifest_path``). An earlier export stays readable until, and after, the commit.
     """
     spark = indexed.sparkSession
     info = info or {}
@@ -78,10 +79,11 @@ def write_export(
             },
             "missing_video_paths": "meta/missing_videos",
             "source_stats": source_stats or {},
-            "note": X.STATS_NOTE,
         },
         "lineage": {
+            "format": X.EXPORT_FORMAT,
             "export_version": version,
+            **{name: (origin or {}).get(name) for name in ("snapshot_dir", "manifest_path")},
             "manifest_sha256": sha,
             "created_at_utc": created_at_utc,
             **X.lineage_row(manifest).first().asDict(),

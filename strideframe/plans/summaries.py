@@ -11,6 +11,7 @@ from strideframe.operators.sync import status_counts
 from strideframe.sources import files
 from strideframe.sources.snapshots import SnapshotStore
 
+# fixed values: the columns and keys of the reports
 SAMPLE_PREVIEW = [
     "sample_id", "episode_id", "instruction_id", "anchor_frame", "anchor_timestamp", "observation_start_frame",
     "observation_end_frame", "action_start_frame", "action_end_frame", "observation_rows", "action_rows",
@@ -51,9 +52,11 @@ def snapshot_summary(spark: SparkSession, snapshot_dir: str, limit: int = 10) ->
             summary[label] = {"files": []}
             continue
         counted = files.file_row_counts(table)
-        summary[label] = {"files": _dicts(counted.orderBy("file_path").limit(limit)), "schema": table.dtypes}
+        shown = _dicts(counted.orderBy("file_path").limit(limit))
+        summary[label] = {"files": shown, "shown": len(shown), "total": counted.count(), "schema": table.dtypes}
     videos = files.list_files(spark, f"{snapshot_dir}/videos", "*.mp4")
-    summary["videos"] = {"files": _dicts(videos.orderBy("path").limit(limit)), "count": videos.count()}
+    shown = _dicts(videos.orderBy("path").limit(limit))
+    summary["videos"] = {"files": shown, "shown": len(shown), "count": videos.count()}
     return summary
 
 
@@ -74,12 +77,14 @@ def synced_summary(store: SnapshotStore, table: str, limit: int = 5) -> dict[str
 
 def annotation_summary(store: SnapshotStore, table: str, limit: int = 10) -> dict[str, Any]:
     rows = store.read(table)
+    episodes = A.per_episode(rows)
     return {
         "table": table,
         "rows": rows.count(),
         "snapshot_id": store.latest_id(table),
         "annotation_type_counts": {r["annotation_type"]: r["annotations"] for r in A.type_counts(rows).collect()},
         "annotations_per_episode_summary": A.per_episode_summary(rows).first().asDict(),
-        "annotations_per_episode_sample": _dicts(A.per_episode(rows).limit(10)),
+        "annotations_per_episode_sample": _dicts(episodes.limit(limit)),
+        "annotations_per_episode_total": episodes.count(),
         "samples": _dicts(preview_annotations(rows, limit)),
     }
