@@ -39,12 +39,8 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """``doc_id, lang, source, n_tokens, ids`` and the digest of the decoded bytes, for each copy the mix took."""
     ship(spark)
     content = byte_bpe.read_vocabulary(VOCABULARY)
-    encoded = byte_bpe.encode(docs.select("doc_id", "lang", "source", "text"), content)
-    decoded = byte_bpe.decode(encoded.drop("text", "token_offsets"), content)
-    return decoded.select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    rows = docs.select("doc_id", "lang", "source", "text")
+    return byte_bpe.encode(rows, content, add=("n_tokens", "ids", "decoded_sha256"), drop=("text",))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -19,7 +19,7 @@ import functools
 import hashlib
 import itertools
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -413,28 +413,57 @@ def _with(docs: DataFrame, *fields: T.StructField) -> T.StructType:
     return T.StructType([f for f in docs.schema.fields if f.name not in made] + list(fields))
 
 
-def encode(docs: DataFrame, content: bytes, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (array of int) and ``token_offsets`` (byte offset of every token in the text's UTF-8).
+#: what :func:`encode` can add to a row
+FIELDS = {
+    "ids": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
+    "token_offsets": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
+    "decoded": (T.BinaryType(), pa.binary()),
+    "ids_sha256": (T.StringType(), pa.string()),
+    "decoded_sha256": (T.StringType(), pa.string()),
+    "n_tokens": (T.LongType(), pa.int64()),
+}
 
-    ``content`` is the vocabulary file (under 1 MB), sent to the workers once. Columns of those names are replaced.
+
+def encode(
+    docs: DataFrame, content: bytes, text: str = "text", add: Sequence[str] = ("ids", "token_offsets"), drop: Sequence[str] = ()
+) -> DataFrame:
+    """``docs`` without the columns ``drop`` and with those of ``FIELDS`` that ``add`` names (replacing equal names).
+
+    ``ids``; ``token_offsets``, the byte offset of every token in the text's UTF-8; ``decoded``, the bytes that the ids
+    decode to; SHA-256 of the ids as little-endian unsigned 32-bit integers and of the decoded bytes. A row's results are
+    made in one worker, so only what is asked for leaves it. ``content`` is the vocabulary file (under 1 MB).
     """
     shared = docs.sparkSession.sparkContext.broadcast(content)
-    schema = _with(
-        docs, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("token_offsets", T.ArrayType(T.IntegerType()))
-    )
+    kept = [f for f in docs.schema.fields if f.name not in add and f.name not in drop]
+    schema = T.StructType(kept + [T.StructField(n, FIELDS[n][0]) for n in add])
+
+    def results(words: Vocabulary, part: pa.Array) -> dict[str, pa.Array]:
+        ids, cuts = words.encode(*text_buffers(part))
+        made: dict[str, pa.Array] = {}
+        rows = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+        places = pa.array(cuts.astype(np.int32))
+        if "ids" in add:
+            made["ids"] = pa.ListArray.from_arrays(places, pa.array(ids.astype(np.int32)))
+        if "n_tokens" in add:
+            made["n_tokens"] = pa.array(np.diff(cuts))
+        if "token_offsets" in add:
+            sums = np.concatenate([[0], np.cumsum(words.lengths[ids])])
+            offsets = sums[:-1] - np.repeat(sums[cuts[:-1]], np.diff(cuts))
+            made["token_offsets"] = pa.ListArray.from_arrays(places, pa.array(offsets.astype(np.int32)))
+        if "ids_sha256" in add:
+            raw = ids.astype("<u4")
+            made["ids_sha256"] = pa.array([hashlib.sha256(raw[a:b].data).hexdigest() for a, b in rows], pa.string())
+        if "decoded" in add or "decoded_sha256" in add:
+            decoded = [words.decode(ids[a:b]) for a, b in rows]
+            made["decoded"] = pa.array(decoded, pa.binary())
+            made["decoded_sha256"] = pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string())
+        return made
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(shared.value)
         for batch in slices(batches, text, 1 << 20):
-            data, ends = text_buffers(batch.column(text))
-            ids, cuts = words.encode(data, ends)
-            sums = np.concatenate([[0], np.cumsum(words.lengths[ids])])
-            offsets = sums[:-1] - np.repeat(sums[cuts[:-1]], np.diff(cuts))
-            made = {
-                "ids": pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids.astype(np.int32))),
-                "token_offsets": pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(offsets.astype(np.int32))),
-            }
-            yield pa.RecordBatch.from_pydict({f.name: made.get(f.name) if f.name in made else batch.column(f.name) for f in schema})
+            made = results(words, batch.column(text))
+            yield pa.RecordBatch.from_pydict({f.name: made[f.name] if f.name in add else batch.column(f.name) for f in schema})
 
     return docs.mapInArrow(work, schema)
 
@@ -461,18 +490,3 @@ def decode(encoded: DataFrame, content: bytes) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(columns | {"decoded": pa.array(made, pa.binary())})
 
     return encoded.mapInArrow(work, schema)
-
-
-def digests(encoded: DataFrame) -> DataFrame:
-    """Adds ``ids_sha256``: SHA-256 of the ids as little-endian unsigned 32-bit integers."""
-    schema = _with(encoded, T.StructField("ids_sha256", T.StringType()))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [
-                None if v is None else hashlib.sha256(v.astype("<u4").tobytes()).hexdigest() for v in id_arrays(batch.column("ids"))
-            ]
-            columns = {f.name: batch.column(f.name) for f in schema if f.name != "ids_sha256"}
-            yield pa.RecordBatch.from_pydict(columns | {"ids_sha256": pa.array(made, pa.string())})
-
-    return encoded.mapInArrow(work, schema)

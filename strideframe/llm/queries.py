@@ -44,11 +44,8 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     content = byte_bpe.read_vocabulary(VOCABULARY)
-    encoded = byte_bpe.encode(_table(spark, sf, "documents").select("doc_id", "text"), content)
-    decoded = byte_bpe.digests(byte_bpe.decode(encoded.select("doc_id", "ids"), content))
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return byte_bpe.encode(docs, content, add=("n_tokens", "ids_sha256", "decoded_sha256"), drop=("text",))
 
 
 def op4_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
