@@ -7,7 +7,8 @@ targets that follow. Each clause yields at most one match, its heaviest, labelle
 
 Weights are learnt in two steps from labelled rows only: every term of the grammar gets its smoothed log-odds between
 toxic and other documents (a term never seen in training keeps ``PRIOR``), and a logistic regression on the summed
-clause weights of each label gives the score. The regression is fitted on at most ``FIT_ROWS`` rows, by hash of the id.
+clause weights of each label gives the score. The regression is fitted on about ``FIT_ROWS`` rows (all, if fewer), by
+hash of the id.
 Labels, language, source and id are never inputs of a score.
 
 Nulls and repeats: a null or empty text has no clauses and gets the base score; a row without id is not held out and
@@ -212,8 +213,8 @@ def score_texts(
         marked.where(~F.col("held_out")).join(known, id).select(F.col(id).alias("id"), "clauses", "toxic"), "training"
     )
     weights = term_weights(training)
-    sample = features(training, weights).select("x", "toxic", F.xxhash64("id").alias("h")).orderBy("h", "x", "toxic").limit(fit_rows)
-    got = sample.select("x", "toxic").toPandas()
+    share = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * training.count() < fit_rows
+    got = features(training.where(share), weights).select("x", "toxic").orderBy("x", "toxic").toPandas()
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(LABELS))
     beta = fit(x, got["toxic"].to_numpy(float))
     total = F.lit(float(beta[-1]))
