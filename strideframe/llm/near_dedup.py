@@ -44,6 +44,8 @@ BANDS, ROWS = 24, 5
 BATCH = 24
 PIVOT_ROUNDS = 2
 BLOCK_ROWS, BLOCK_SHINGLES = 768, 300_000
+#: lists of at most so many ids (of 8 bytes) are broadcast; longer ones are joined by shuffle
+BROADCAST_IDS = 1_000_000
 _SEED = 11
 
 
@@ -259,6 +261,12 @@ def block_links(rows: DataFrame, contents: DataFrame, percent: int, miss: float)
     return tiles.groupBy("bucket", "i", "j").applyInArrow(compare, schema)
 
 
+def by_size(ids: DataFrame) -> DataFrame:
+    """A stored list of ids, marked for broadcast when its count allows, so that texts it meets need not be shuffled."""
+    ids = scratch.store(ids, "ids")
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85, miss: float = 1e-6
 ) -> DataFrame:
@@ -273,7 +281,7 @@ def near_duplicates(
     shared = spread.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     members = scratch.store(spread.join(shared.select("bucket"), "bucket").distinct(), "members")
 
-    touched = members.select(F.col("node").alias("id")).distinct()
+    touched = by_size(members.select(F.col("node").alias("id")).distinct())
     marks = scratch.store(rows.select("id", "signature").join(touched, "id"), "candidate-signatures")
     texts = scratch.store(
         docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(touched, "id"), "candidate-texts"
@@ -324,6 +332,12 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85, miss: float = 1e-6) -> DataFrame:
-    """``docs`` with one row of each component; rows without id all stay."""
-    kept = near_duplicates(docs, id, text, percent, miss).where("kept").select(F.col(id)).where(F.col(id).isNotNull()).distinct()
-    return docs.join(kept, id, "left_semi").dropDuplicates([id]).unionByName(docs.where(F.col(id).isNull()))
+    """``docs`` with one row of each component; rows without id all stay.
+
+    Only rows whose id is dropped somewhere or repeated can go, so only they are looked at again.
+    """
+    judged = scratch.store(near_duplicates(docs, id, text, percent, miss).where(F.col(id).isNotNull()).select(id, "kept"), "judged")
+    doubtful = by_size(judged.groupBy(id).agg(F.bool_and("kept").alias("sure"), F.count("*").alias("n")).where("not sure or n > 1").select(id))
+    staying = judged.where("kept").select(id).join(doubtful, id, "left_semi").distinct()
+    again = docs.join(doubtful, id, "left_semi").join(staying, id, "left_semi").dropDuplicates([id])
+    return docs.join(doubtful, id, "left_anti").unionByName(again)
