@@ -7,7 +7,7 @@ below alpha. Testing stops at the first cutoff that fails (a fixed sequence need
 number of strata times measures (Bonferroni). With probability 1 - delta no accepted cutoff rejects more than a share
 ``alpha`` of the good documents of any stratum. Too few labels accept nothing, so nothing is rejected.
 
-The labelled holdout is a bounded sample: at most ``HOLDOUT`` good documents per stratum, by hash of the id.
+The labelled holdout is a bounded sample: about ``HOLDOUT`` good documents (all, if fewer), by hash of the id.
 
 Nulls and repeats: null text has no words and fails the base rules; a null language is a stratum of its own; documents
 without label or with a null label take no part in the tests; a document labelled twice counts once for each label row.
@@ -29,7 +29,7 @@ MOST_REPEATED = 20
 
 ALPHA = 0.01
 DELTA = 0.05
-HOLDOUT = 20_000
+HOLDOUT = 100_000
 #: measure -> cutoffs in the order they are tested; a document fails when its measure is above the accepted cutoff
 MEASURES = {
     "symbol_ratio": (1.0, 0.5, 0.3, 0.2, 0.15, 0.1, 0.05),
@@ -132,8 +132,8 @@ def binomial_cdf(x: Column, n: Column, p: float) -> Column:
 
 def cutoffs(good: DataFrame, strata: int, alpha: float = ALPHA, delta: float = DELTA, holdout: int = HOLDOUT) -> DataFrame:
     """``stratum`` and one cutoff per measure (null: none accepted) from labelled good rows ``(stratum, draw, <measures>)``."""
-    by_hash = Window.partitionBy("stratum").orderBy("draw")
-    sample = good.withColumn("turn", F.row_number().over(by_hash)).where(F.col("turn") <= holdout)
+    share = F.pmod("draw", F.lit(1 << 30)) / F.lit(float(1 << 30)) * good.count() < holdout
+    sample = good.where(share)
     tests = []
     for name, values in MEASURES.items():
         for rank, value in enumerate(values):
