@@ -5,20 +5,25 @@ transducers read the classes: the core one marks insults and threats, the others
 negation or a reporting verb. Their composition is one table, built once; a text is read forwards, and backwards for
 targets that follow. Each clause yields at most one match, its heaviest, labelled with the core and its context.
 
-Weights are learnt in two steps from labelled rows only: every term of the grammar gets its smoothed log-odds between
-toxic and other documents (a term never seen in training keeps ``PRIOR``), and a logistic regression on the summed
-clause weights of each label gives the score. The regression is fitted on about ``FIT_ROWS`` rows (all, if fewer), by
-hash of the id.
+The lexicon and its weights are learnt from labelled rows only, in one aggregate over all of them: every word and every
+word beginning (``BEGINNINGS`` letters) is counted in toxic and other documents. A word or beginning joins the listed
+insults when ``LEAST_SUPPORT`` toxic documents hold it, its smoothed log-odds reach ``LEAST_ODDS``, and a Chernoff bound
+on its count, times the number of terms tested, is at most ``FALSE_TERMS``, so about that many are expected by chance
+at any size. The ``LEXICON`` terms with the most evidence are kept, which bounds what a task holds. The weight of a term
+is its log-odds; a listed term never seen in training keeps ``PRIOR``. A logistic regression on the summed clause weights
+of each label gives the score. It is fitted on about ``FIT_ROWS`` rows (all, if fewer), by hash of the id.
 Labels, language, source and id are never inputs of a score.
 
-Nulls and repeats: a null or empty text has no clauses and gets the base score; a row without id is not held out and
+Copies of a text count as often as they are labelled. Nulls and repeats: a null or empty text has no clauses and gets the base score; a row without id is not held out and
 takes no part in training; rows with a null label are not used; a document labelled twice counts for each label row.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +37,13 @@ FIT_ROWS = 50_000
 PRIOR = 2.0
 PREDICT_AT = 0.7
 
-# fixed values: the terms of the grammar
+BEGINNINGS = range(3, 9)
+LEAST_SUPPORT, LEAST_ODDS, FALSE_TERMS = 3, 2.0, 1.0
+LEXICON = 20_000
+#: terms a task counts, and words it remembers, before it starts anew
+COUNTED = 200_000
+
+# fixed values: the listed terms of the grammar
 INSULTS = (
     "idiot", "idiots", "moron", "morons", "imbecile", "stupid", "dumb", "dumbass", "loser", "losers", "clown", "clowns",
     "pathetic", "worthless", "disgusting", "scum", "trash", "garbage", "filth", "vermin", "coward", "liar", "retard", "retarded",
@@ -99,15 +110,52 @@ _FORWARD = compose(compose(compose(core(), scope(TARGET, TARGET_SCOPE)), scope(N
 _BACKWARD = scope(TARGET, TARGET_SCOPE)[1]
 
 #: labels of a match: core kind x context; a reported or negated match is no longer told apart by its target
-LABELS = tuple(f"{kind}_{context}" for kind in ("insult", "threat") for context in ("bare", "target", "negated", "reported"))
-
-
-def matches(text: str) -> list[list[tuple[int, int]]]:
+#: a learnt term reads as an insult, but has one label of its own: it is less sure, and its contexts would be too rare
+LABELS = tuple(f"{kind}_{context}" for kind in ("insult", "threat") for context in ("bare", "target", "negated", "reported")) + ("learnt",)
+
+
+class Lexicon:
+    """The terms of the grammar: the listed ones and ``learnt`` ones, a beginning written with a star at its end."""
+
+    def __init__(self, learnt: tuple[str, ...] = (), weights: tuple[float, ...] = ()):
+        self.learnt = {term: len(TERMS) + n for n, term in enumerate(learnt)}
+        self.weights = weights or (PRIOR,) * (len(TERMS) + len(learnt))
+        self.lengths = sorted({len(term) - 1 for term in learnt if term.endswith("*")}, reverse=True)
+        self.known: dict[str, int | None] = {}
+
+    def number(self, token: str) -> int | None:
+        """The term a token is: a listed one, a learnt word, or the longest learnt beginning."""
+        if token in _CLASS:
+            return _NUMBER.get(token)
+        if not self.learnt:
+            return None
+        try:
+            return self.known[token]
+        except KeyError:
+            pass
+        found = self.learnt.get(token)
+        if found is None:
+            starts = (self.learnt.get(token[:n] + "*") for n in self.lengths if n < len(token))
+            found = next((n for n in starts if n is not None), None)
+        if len(self.known) >= COUNTED:
+            self.known.clear()
+        self.known[token] = found
+        return found
+
+
+_LISTED = Lexicon()
+
+
+def matches(text: str, lexicon: Lexicon = _LISTED) -> list[list[tuple[int, int]]]:
     """For each clause with a match, its (term, label) pairs."""
     tokens = _TOKEN.findall(text.lower())
-    if _CORE.isdisjoint(tokens):
+    if lexicon.learnt:
+        terms = {t: n for t in set(tokens) if (n := lexicon.number(t)) is not None}
+    else:
+        terms = {} if _CORE.isdisjoint(tokens) else _NUMBER
+    if not terms:
         return []
-    kinds = [_CLASS.get(t, OTHER) for t in tokens]
+    kinds = [_CLASS.get(t, INSULT if t in terms else OTHER) for t in tokens]
     ahead, state = [False] * len(kinds), 0
     for k in range(len(kinds) - 1, -1, -1):
         state, out = _BACKWARD[state, kinds[k]]
@@ -119,64 +167,107 @@ def matches(text: str) -> list[list[tuple[int, int]]]:
         state, (found, target, negated, told) = _FORWARD[state, kind]
         if found:
             context = 3 if told else 2 if negated else 1 if target or ahead[k] else 0
-            clause.append((_NUMBER[tokens[k]], context + (4 if found == THREAT else 0)))
+            term = terms[tokens[k]]
+            clause.append((term, 8 if term >= len(TERMS) else context + (4 if found == THREAT else 0)))
         elif kind in (CLAUSE, SENTENCE) and clause:
             clauses.append(clause)
             clause = []
     return clauses + [clause] if clause else clauses
 
 
-def clause_matches(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, clauses``: per clause the matched (term, label) pairs of every row."""
-    fields = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    pair = T.StructType([T.StructField("term", T.IntegerType()), T.StructField("label", T.IntegerType())])
-    schema = T.StructType(
-        [T.StructField("id", fields.schema["id"].dataType), T.StructField("clauses", T.ArrayType(T.ArrayType(pair)))]
-    )
-    arrow = pa.list_(pa.list_(pa.struct([("term", pa.int32()), ("label", pa.int32())])))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                made = [
-                    [[{"term": t, "label": n} for t, n in clause] for clause in matches(v.as_py() or "")] for v in part.column("text")
-                ]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(made, arrow)], names=["id", "clauses"])
-
-    return fields.mapInArrow(work, schema)
+def terms_of(text: str) -> set[str]:
+    """The words of a text and, with a star, their beginnings; words with a class of their own only as themselves."""
+    words = {t for t in _TOKEN.findall(text.lower()) if t not in _CLASS or t in _CORE}
+    return words.union(*[{t[:n] + "*" for t in words if n < len(t) and t not in _CORE} for n in BEGINNINGS])
 
 
-def term_weights(training: DataFrame) -> list[float]:
-    """Smoothed log-odds of every term from ``training(id, clauses, toxic)``; at most one row a term is collected."""
-    totals = {r["toxic"]: r["n"] for r in training.groupBy("toxic").agg(F.count("*").alias("n")).where("toxic in (0, 1)").collect()}
-    terms = F.array_distinct(F.transform(F.flatten("clauses"), lambda p: p["term"]))
-    rows = training.select("toxic", F.explode(terms).alias("term")).groupBy("term").agg(
-        F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") == 0).alias("good")
-    )
-    weights = [PRIOR] * len(TERMS)
-    for r in rows.collect():
-        odds = np.log((r["bad"] + 0.5) / (totals.get(1, 0) + 1)) - np.log((r["good"] + 0.5) / (totals.get(0, 0) + 1))
-        weights[r["term"]] = float(np.clip(odds, 0.0, 8.0))
-    return weights
+def term_counts(training: DataFrame) -> DataFrame:
+    """``term, bad, good``: toxic and other rows of ``training(text, toxic)`` with each term; the null term counts all rows.
 
+    A task adds up what it meets, so a common term is one row for each ``COUNTED`` terms.
+    """
 
-def features(rows: DataFrame, weights: list[float]) -> DataFrame:
-    """``rows`` with ``x``: per label, log(1 + summed weight of the clauses whose heaviest match has it)."""
-    table = F.array(*[F.lit(w) for w in weights])
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str | None, list[int]] = {}
 
-    def heaviest(clause: Column) -> Column:
-        return F.array_max(
-            F.transform(clause, lambda p: F.struct(F.element_at(table, p["term"] + 1).alias("w"), p["label"].alias("label")))
-        )
+        def flush() -> Iterator[pa.RecordBatch]:
+            items = iter(counts.items())
+            while part := list(islice(items, 20_000)):
+                columns = [pa.array([t for t, _ in part], pa.string())] + [pa.array([c[k] for _, c in part], pa.int64()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(columns, names=["term", "bad", "good"])
+            counts.clear()
 
-    tops = F.transform("clauses", heaviest)
+        for batch in batches:
+            for text, toxic in zip(batch.column("text"), batch.column("toxic")):
+                side = 0 if toxic.as_py() else 1
+                for term in (None, *terms_of(text.as_py() or "")):
+                    counts.setdefault(term, [0, 0])[side] += 1
+                if len(counts) >= COUNTED:
+                    yield from flush()
+        yield from flush()
+
+    rows = training.select("text", "toxic").mapInArrow(work, "term string, bad long, good long")
+    return rows.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+
+
+def learn(training: DataFrame) -> Lexicon:
+    """The lexicon of ``training(text, toxic)``; a bounded table is collected."""
+    listed = F.coalesce(F.col("term").isin(*TERMS), F.lit(False))
+    tested = scratch.store(term_counts(training).where((F.col("bad") >= LEAST_SUPPORT) | F.col("term").isNull() | listed), "terms")
+    total = tested.where("term is null").first()
+    bad, good = (total["bad"], total["good"]) if total else (0, 0)
+
+    def odds(r) -> float:
+        return math.log((r["bad"] + 0.5) / (bad + 1)) - math.log((r["good"] + 0.5) / (good + 1))
+
+    seen = {r["term"]: r for r in tested.where(listed).collect()}
+    weights = [float(np.clip(odds(seen[t]), 0.0, 8.0)) if t in seen else PRIOR for t in TERMS]
+    if not bad or not good:
+        return Lexicon((), tuple(weights))
+    own, base = F.col("bad") / (F.col("bad") + F.col("good")), bad / (bad + good)
+    evidence = F.col("bad") * F.log(own / base) + F.when(
+        F.col("good") > 0, F.col("good") * F.log((1 - own) / (1 - base))
+    ).otherwise(0.0)
+    score = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
+    fresh = tested.where(F.col("term").isNotNull() & ~listed)
+    least = math.log(max(1, fresh.count()) / FALSE_TERMS)
+    found = (
+        fresh.where((own > base) & (score >= LEAST_ODDS) & (evidence >= least))
+        .orderBy(evidence.desc(), "term").limit(LEXICON).collect()
+    )
+    # a beginning with no more support than one of its words says nothing that the word does not
+    words = {t: r["bad"] for t, r in seen.items()} | {r["term"]: r["bad"] for r in found if not r["term"].endswith("*")}
+    single: dict[str, int] = {}
+    for word, n in words.items():
+        for k in BEGINNINGS:
+            if k < len(word):
+                single[word[:k] + "*"] = max(n, single.get(word[:k] + "*", 0))
+    kept = [r for r in found if r["bad"] > single.get(r["term"], 0)]
+    return Lexicon(tuple(r["term"] for r in kept), tuple(weights + [float(np.clip(odds(r), 0.0, 8.0)) for r in kept]))
+
+
+def summed(clauses: list[list[tuple[int, int]]], weights: tuple[float, ...]) -> list[float]:
+    """Per label, log(1 + summed weight of the clauses whose heaviest match has it)."""
+    x = [0.0] * len(LABELS)
+    for clause in clauses:
+        weight, label = max((weights[t], n) for t, n in clause)
+        x[label] += weight
+    return [math.log1p(v) for v in x]
+
+
+def features(docs: DataFrame, lexicon: Lexicon, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``id, x``: the summed clause weights of every row."""
+    fields = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    schema = T.StructType([T.StructField("id", fields.schema["id"].dataType), T.StructField("x", T.ArrayType(T.DoubleType()))])
 
-    def summed(label: int) -> Column:
-        own = F.filter("tops", lambda t: t["label"] == label)
-        return F.log1p(F.aggregate(own, F.lit(0.0), lambda a, t: a + t["w"]))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                made = [summed(matches(v.as_py() or "", lexicon), lexicon.weights) for v in part.column("text")]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(made, pa.list_(pa.float64()))], names=["id", "x"])
 
-    return rows.withColumn("tops", tops).withColumn("x", F.array(*[summed(n) for n in range(len(LABELS))])).drop("tops")
+    return fields.mapInArrow(work, schema)
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 40) -> np.ndarray:
@@ -206,19 +297,20 @@ def score_texts(
     docs: DataFrame, labels: DataFrame, held_out: Column, id: str = "doc_id", text: str = "text", fit_rows: int = FIT_ROWS
 ) -> DataFrame:
     """Per row: ``id, held_out, score, predicted``. ``labels`` has the id and ``toxic``; ``held_out`` is a condition on ``id``."""
-    rows = scratch.store(clause_matches(docs, id, text), "clauses")
-    marked = rows.withColumnRenamed("id", id).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     known = labels.where("toxic in (0, 1)").select(id, F.col("toxic").cast("int").alias("toxic"))
+    usable = docs.where(~F.coalesce(held_out, F.lit(False)))
+    lexicon = learn(usable.select(F.col(id), F.col(text).alias("text")).join(known, id))
+    rows = scratch.store(features(docs, lexicon, id, text), "features")
+    marked = rows.withColumnRenamed("id", id).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     training = scratch.store(
-        marked.where(~F.col("held_out")).join(known, id).select(F.col(id).alias("id"), "clauses", "toxic"), "training"
+        marked.where(~F.col("held_out")).join(known, id).select(F.col(id).alias("id"), "x", "toxic"), "training"
     )
-    weights = term_weights(training)
     share = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * training.count() < fit_rows
-    got = features(training.where(share), weights).select("x", "toxic").orderBy("x", "toxic").toPandas()
+    got = training.where(share).select("x", "toxic").orderBy("x", "toxic").toPandas()
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(LABELS))
     beta = fit(x, got["toxic"].to_numpy(float))
     total = F.lit(float(beta[-1]))
     for n in range(len(LABELS)):
         total = total + F.get("x", F.lit(n)) * float(beta[n])
-    scored = features(marked, weights).withColumn("score", 1 / (1 + F.exp(-total)))
+    scored = marked.withColumn("score", 1 / (1 + F.exp(-total)))
     return scored.select(id, "held_out", "score", (F.col("score") >= PREDICT_AT).cast("int").alias("predicted"))

@@ -172,6 +172,22 @@ def test_toxicity_held_out(spark):
     assert sum(with_terms) / len(with_terms) > 0.9  # recall of toxic texts that hold any term
 
 
+def test_toxicity_learns_words_of_other_languages(spark):
+    """Toxic texts without a listed term are found by words and beginnings that training texts share."""
+    folder = "/root/testdata/sf0.1"
+    got = QUERIES["op6_toxicity"](spark, folder).where("held_out")
+    rows = got.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").join(
+        spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang"), "doc_id"
+    ).collect()
+    for lang in ("de", "en", "es", "fr"):
+        toxic = [r["predicted"] for r in rows if r["lang"] == lang and r["toxic"]]
+        assert sum(toxic) / len(toxic) > 0.6, lang
+    toxic = [r["predicted"] for r in rows if r["toxic"]]
+    assert sum(toxic) / len(toxic) > 0.85  # recall over all held-out toxic labels
+    found = [r["toxic"] for r in rows if r["predicted"]]
+    assert sum(found) / len(found) > 0.95
+
+
 def test_toxicity_edges(frame, spark):
     docs = frame([(1, None, 3), (2, "", 4), (None, "you moron", 5), (4, "you moron", 6), (4, "you moron", 6)], "doc_id long, text string, score int")
     held = F.col("doc_id") == 2
