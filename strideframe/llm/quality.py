@@ -7,7 +7,7 @@ below alpha. Testing stops at the first cutoff that fails (a fixed sequence need
 number of strata times measures (Bonferroni). With probability 1 - delta no accepted cutoff rejects more than a share
 ``alpha`` of the good documents of any stratum. Too few labels accept nothing, so nothing is rejected.
 
-The labelled holdout is a bounded sample: about ``HOLDOUT`` good documents (all, if fewer), by hash of the id.
+All labelled good documents are counted, at every size: an aggregate of one row for each stratum.
 
 Nulls and repeats: null text has no words and fails the base rules; a null language is a stratum of its own; documents
 without label or with a null label take no part in the tests; a document labelled twice counts once for each label row.
@@ -29,7 +29,6 @@ MOST_REPEATED = 20
 
 ALPHA = 0.01
 DELTA = 0.05
-HOLDOUT = 100_000
 #: measure -> cutoffs in the order they are tested; a document fails when its measure is above the accepted cutoff
 MEASURES = {
     "symbol_ratio": (1.0, 0.5, 0.3, 0.2, 0.15, 0.1, 0.05),
@@ -130,22 +129,24 @@ def binomial_cdf(x: Column, n: Column, p: float) -> Column:
     return F.when(x >= n, F.lit(1.0)).otherwise(F.least(sums["total"], F.lit(1.0)))
 
 
-def cutoffs(good: DataFrame, strata: int, alpha: float = ALPHA, delta: float = DELTA, holdout: int = HOLDOUT) -> DataFrame:
-    """``stratum`` and one cutoff per measure (null: none accepted) from labelled good rows ``(stratum, draw, <measures>)``."""
-    share = F.pmod("draw", F.lit(1 << 30)) / F.lit(float(1 << 30)) * good.count() < holdout
-    sample = good.where(share)
-    tests = []
-    for name, values in MEASURES.items():
-        for rank, value in enumerate(values):
-            tests.append(F.struct(F.lit(name).alias("measure"), F.lit(rank).alias("rank"), F.lit(value).alias("cutoff"),
-                                  (F.col(name) > value).cast("int").alias("hit")))
-    counted = (
-        sample.select("stratum", F.explode(F.array(*tests)).alias("t"))
-        .groupBy("stratum", "t.measure", "t.rank", "t.cutoff")
-        .agg(F.count("*").cast("int").alias("n"), F.sum("t.hit").cast("int").alias("x"))
+def cutoffs(good: DataFrame, strata: int, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """``stratum`` and one cutoff per measure (null: none accepted) from all labelled good rows ``(stratum, <measures>)``.
+
+    More than alpha * n + 1 hits lie above the median of the binomial, so they fail at once and nothing is summed for them.
+    """
+    ranked = [(name, rank, value) for name, values in MEASURES.items() for rank, value in enumerate(values)]
+    hits = good.groupBy("stratum").agg(
+        F.count("*").alias("n"), *[F.count_if(F.col(name) > value).alias(f"x_{name}_{rank}") for name, rank, value in ranked]
     )
+    tests = [
+        F.struct(F.lit(name).alias("measure"), F.lit(rank).alias("rank"), F.lit(value).alias("cutoff"), F.col(f"x_{name}_{rank}").alias("x"))
+        for name, rank, value in ranked
+    ]
+    counted = hits.select("stratum", "n", F.inline(F.array(*tests)))
+    possible = F.col("x") <= alpha * F.col("n") + 1
+    summed = F.when(possible, F.col("x")).otherwise(F.lit(0).cast("long"))
     tested = counted.withColumn(
-        "ok", binomial_cdf(F.col("x"), F.col("n"), alpha) <= F.lit(delta / max(1, strata * len(MEASURES)))
+        "ok", possible & (binomial_cdf(summed, F.col("n"), alpha) <= F.lit(delta / max(1, strata * len(MEASURES))))
     )
     stop = F.coalesce(F.min(F.when(~F.col("ok"), F.col("rank"))).over(Window.partitionBy("stratum", "measure")), F.lit(1 << 20))
     accepted = tested.withColumn("stop", stop).where("rank < stop")
@@ -155,15 +156,15 @@ def cutoffs(good: DataFrame, strata: int, alpha: float = ALPHA, delta: float = D
 
 
 def limits_of(
-    measured: DataFrame, labels: DataFrame, id: str, stratum: str, alpha: float, delta: float, holdout: int
+    measured: DataFrame, labels: DataFrame, id: str, stratum: str, alpha: float, delta: float
 ) -> DataFrame:
     """The accepted cutoffs of each stratum, stored, from documents with ``quality_measures`` and their labels."""
     narrow = measured.select(F.col(id).alias("id"), _stratum(stratum).alias("stratum"), "quality_measures")
     ratios = narrow.withColumns({name: make() for name, make in RATIOS.items()})
     good = labels.where("quality = 1").select(F.col(id).alias("id"))
-    labelled = ratios.where(~base_failed()).join(good, "id").withColumn("draw", F.xxhash64("id"))
+    labelled = ratios.where(~base_failed()).join(good, "id")
     strata = narrow.agg(F.count_distinct("stratum")).first()[0]
-    return scratch.store(cutoffs(labelled, strata, alpha, delta, holdout), "cutoffs")
+    return scratch.store(cutoffs(labelled, strata, alpha, delta), "cutoffs")
 
 
 def _stratum(column: str) -> Column:
@@ -195,11 +196,10 @@ def judge(
     stratum: str = "lang",
     alpha: float = ALPHA,
     delta: float = DELTA,
-    holdout: int = HOLDOUT,
 ) -> DataFrame:
     """Per row: id, the five counts, ``base_failed``, ``kept``. ``labels``: id and ``quality`` (1 good)."""
     measured = scratch.store(measures(docs.select(id, text, stratum), text).drop(text), "measures")
-    limits = limits_of(measured, labels, id, stratum, alpha, delta, holdout)
+    limits = limits_of(measured, labels, id, stratum, alpha, delta)
     return verdicts(measured, limits, stratum).select(
         id, "quality_measures.n_words", "quality_measures.word_chars", "quality_measures.n_symbols",
         "quality_measures.n_dup_lines", "quality_measures.n_repeat_words",
@@ -215,10 +215,9 @@ def keep_good(
     stratum: str = "lang",
     alpha: float = ALPHA,
     delta: float = DELTA,
-    holdout: int = HOLDOUT,
 ) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns. The measured texts are stored once, not shuffled."""
     order = [c for c in docs.columns if not c.startswith("quality_")]
     measured = scratch.store(measures(docs.select(*order), text), "measures")
-    limits = limits_of(measured, labels, id, stratum, alpha, delta, holdout)
+    limits = limits_of(measured, labels, id, stratum, alpha, delta)
     return verdicts(measured, limits, stratum).where("quality_kept").select(*order)

@@ -251,6 +251,15 @@ def test_cutoffs_keep_the_promise(frame):
     assert few == set()  # 50 labels prove nothing
 
 
+def test_cutoffs_use_all_labels_of_a_small_stratum(spark):
+    """800 labels of a stratum prove a cutoff, however many labels the others have."""
+    zero = [F.lit(0.0).alias(n) for n in ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "mean_word_chars")]
+    stratum = F.when(F.col("id") < 800, "small").otherwise("large").alias("stratum")
+    good = spark.range(400_000).select(stratum, F.xxhash64("id").alias("draw"), *zero)
+    got = {r["stratum"]: r["symbol_ratio_cutoff"] for r in quality.cutoffs(good, 4).collect()}
+    assert got == {"small": 0.05, "large": 0.05}
+
+
 def test_quality_edges(frame, spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     schema = "doc_id long, text string, lang string, q int, quality_kept string"
