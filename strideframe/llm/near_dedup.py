@@ -5,9 +5,10 @@ a text without words has an empty set and no links). Documents are linked when t
 least ``percent`` / 100, checked on the words themselves.
 
 1. Rows with equal sets become one class at once (a digest of the whole set), so exact copies cost one row each.
-2. ``BANDS`` x ``ROWS`` MinHash values; classes that share a band are candidates. A pair at the threshold of 0.85 is
-   missed with probability (1 - 0.85^5)^24, about 7e-7.
-3. A candidate pair is compared ``BATCH`` values at a time. With a uniform prior the similarity after m of n equal
+2. ``bands_for(percent)`` x ``ROWS`` MinHash values; classes that share a band are candidates. There are as many bands as
+   a pair at the threshold needs to be missed with probability 1e-6 at most, ``BANDS`` at least: 24 at 0.85 (about
+   7e-7), 35 at 0.8.
+3. A candidate pair is compared ``BATCH`` values at a time, the first ``BANDS`` x ``ROWS`` at most. With a uniform prior the similarity after m of n equal
    values is Beta(m + 1, n - m + 1); the pair is dropped when the posterior probability of reaching the threshold
    falls below ``miss``.
 4. Survivors are confirmed on their full sets.
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +43,7 @@ from strideframe.sources import scratch
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
+BAND_MISS = 1e-6
 BATCH = 24
 PIVOT_ROUNDS = 2
 BLOCK_ROWS, BLOCK_SHINGLES = 768, 300_000
@@ -49,17 +52,23 @@ BROADCAST_IDS = 1_000_000
 _SEED = 11
 
 
-@functools.lru_cache(maxsize=1)
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
-    values = H.stream(_SEED + 1, 2 * BANDS * ROWS).astype(np.uint32)
+def bands_for(percent: int) -> int:
+    """Bands that miss a pair at the threshold with probability ``BAND_MISS`` at most; never fewer than ``BANDS``."""
+    shared = (percent / 100) ** ROWS
+    return BANDS if shared >= 1 else max(BANDS, math.ceil(math.log(BAND_MISS) / math.log1p(-shared)))
+
+
+@functools.lru_cache(maxsize=4)
+def _permutations(bands: int) -> tuple[np.ndarray, np.ndarray]:
+    values = H.stream(_SEED + 1, 2 * bands * ROWS).astype(np.uint32)
     return values[::2, None] | np.uint32(1), values[1::2, None]
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """MinHash values of a set of 64-bit shingle hashes."""
-    factor, shift = _permutations()
+    factor, shift = _permutations(bands)
     short = (shingles >> np.uint64(32)).astype(np.uint32)
-    out = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    out = np.full(bands * ROWS, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(short), 2048):
         np.minimum(out, (factor * short[at : at + 2048] + shift).min(axis=1), out=out)
     return out
@@ -67,14 +76,14 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 def band_keys(values: np.ndarray) -> np.ndarray:
     """One key per band for each signature row; the band's number is part of the key."""
-    parts = values.reshape(-1, BANDS, ROWS).astype(np.uint64)
-    keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), parts.shape[:2])
+    parts = values.reshape(-1, values.shape[1] // ROWS, ROWS).astype(np.uint64)
+    keys = np.broadcast_to(np.arange(parts.shape[1], dtype=np.uint64), parts.shape[:2])
     for k in range(ROWS):
         keys = H.mix(keys * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, k])
     return keys.view(np.int64)
 
 
-def features(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def features(docs: DataFrame, id: str = "doc_id", text: str = "text", n_bands: int = BANDS) -> DataFrame:
     """``id, n_shingles, digest, signature, bands`` for every row."""
     fields = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     schema = T.StructType(
@@ -95,7 +104,7 @@ def features(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
             all_windows = H.windows(words, SHINGLE, _SEED)
             sizes = np.zeros(batch.num_rows, np.int64)
             digests: list[bytes | None] = [None] * batch.num_rows
-            values = np.zeros((batch.num_rows, BANDS * ROWS), np.uint32)
+            values = np.zeros((batch.num_rows, n_bands * ROWS), np.uint32)
             for row, (lo, hi) in enumerate(zip(offsets[:-1], offsets[1:])):
                 if lo == hi:
                     continue
@@ -105,7 +114,7 @@ def features(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
                     own = np.unique(all_windows[lo : hi - SHINGLE + 1])
                 sizes[row] = len(own)
                 digests[row] = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                values[row] = signature(own)
+                values[row] = signature(own, n_bands)
             full = sizes > 0
             keys, width = band_keys(values), values.shape[1] * 4
             raw = values.tobytes()
@@ -245,7 +254,7 @@ def block_links(rows: DataFrame, contents: DataFrame, percent: int, miss: float)
                 other, equal = other[keep], equal[keep]
             if not len(other):
                 continue
-            shared = (marks[other].reshape(len(other), BANDS, ROWS) == marks[x].reshape(BANDS, ROWS)).all(axis=2)
+            shared = (marks[other].reshape(len(other), -1, ROWS) == marks[x].reshape(-1, ROWS)).all(axis=2)
             other = other[shared.argmax(axis=1) == band]
             mine = np.zeros(len(shingles), bool)
             mine[codes[firsts[x] : firsts[x + 1]]] = True
@@ -271,7 +280,7 @@ def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85, miss: float = 1e-6
 ) -> DataFrame:
     """Per row: ``id, n_shingles, component_id, kept``. The smallest id of a component stands for it and is kept."""
-    rows = scratch.store(features(docs, id, text), "shingles")
+    rows = scratch.store(features(docs, id, text, bands_for(percent)), "shingles")
     usable = rows.where("n_shingles > 0 and id is not null")
     classes = scratch.store(usable.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     nodes = usable.join(classes.select(F.col("rep").alias("id"), "digest"), ["id", "digest"])

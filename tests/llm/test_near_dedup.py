@@ -79,3 +79,23 @@ def test_bayes_bounds(percent):
     steps = N.least_matches(percent, 1e-6)
     assert [n for n, _ in steps] == [24, 48, 72, 96, 120]
     assert all(0 <= m <= n * percent / 100 for n, m in steps)
+
+
+def test_keep_one_takes_pairs_from_80_percent(frame):
+    """Pairs of every similarity from 0.70 to 0.95: it keeps what brute force at 80 keeps."""
+    rows = []
+    for pair in range(26):
+        text = _prose(200, 300 + pair, 5000)
+        rows.append((2 * pair, " ".join(text)))
+        cut = 5 + pair * 2
+        rows.append((2 * pair + 1, " ".join(text[:-cut] + [f"z{pair}_{k}" for k in range(cut // 4)])))
+    want = brute.components(rows, percent=80)
+    assert want != brute.components(rows, percent=85)
+    got = sorted(r["doc_id"] for r in N.keep_one(frame(rows, SCHEMA), percent=80).collect())
+    assert got == sorted(set(want.values()))
+
+
+@pytest.mark.parametrize("percent", [60, 80, 85, 100])
+def test_bands_follow_the_threshold(percent):
+    assert (1 - (percent / 100) ** N.ROWS) ** N.bands_for(percent) <= 1e-6
+    assert N.bands_for(85) == N.BANDS == 24
