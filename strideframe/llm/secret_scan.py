@@ -4,8 +4,10 @@ Base kinds, leftmost and non-overlapping within each kind: ``assign`` (a named v
 ``access`` (an access key id of 16 or more), ``hex`` (32 or more digits). The method adds kinds that are reported only
 after decoding: ``jwt`` (three base64url parts, the first a JSON object with an ``alg``, the second a JSON object),
 ``pem`` (a key block whose body decodes to nested DER, an OpenSSH key or a PKCS8 container) and ``key`` (a base64 or hex
-run that decodes to a DER structure whose lengths nest exactly, or to an SSH key blob). Spans are code points, the end
-exclusive.
+run that decodes to a DER structure whose lengths nest exactly, or to an SSH key blob). A base64 run is taken whole, in
+both alphabets together; if it is no key, its parts of one alphabet are tried. Lines of base64 that follow one another,
+all but the last of one length, are tried joined, also when quoted by a mark or indented. Spans are code points, the
+end exclusive.
 
 Nulls: a null text is empty and has no spans. Equal rows have equal spans. Columns of any other name pass through
 :func:`redact`.
@@ -32,7 +34,11 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # equal to all runs of [0-9a-f]+ of 32 and m
 
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*(?:PRIVATE KEY|PUBLIC KEY|CERTIFICATE))-----([A-Za-z0-9+/=\s]*)-----END \1-----")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{32,}={0,2}|[A-Za-z0-9_-]{32,}={0,2}")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
+PARTS = (re.compile(r"[A-Za-z0-9+/]{32,}={0,2}"), re.compile(r"[A-Za-z0-9_-]{32,}={0,2}"))
+#: a run of base64 up to the end of its line, and a following line that begins with one
+_LINE_END = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?=[\x20\t\r]*\n)")
+_NEXT_LINE = re.compile(r"[\x20\t\r]*\n[\x20\t>|#*]*([A-Za-z0-9+/_-]++={0,2})(?![A-Za-z0-9+/_=-])")
 LONG_HEX = re.compile(r"[0-9A-Fa-f]{32,}")
 
 KINDS = ("assign", "access", "hex", "jwt", "pem", "key")
@@ -131,6 +137,62 @@ def is_signed_token(token: str) -> bool:
     return (head["alg"].lower() == "none") == (signature == "") and from_base64(signature) is not None
 
 
+def _whole_or_parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """The run if it is a key, else those of its parts of one alphabet that are."""
+    if is_key(from_base64(text[start:end])):
+        return [(start, end)]
+    found: list[tuple[int, int]] = []
+    for pattern in PARTS:
+        for m in pattern.finditer(text, start, end):
+            free = all(m.end() <= a or b <= m.start() for a, b in found)
+            if free and (m.start(), m.end()) != (start, end) and is_key(from_base64(m[0])):
+                found.append((m.start(), m.end()))
+    return found
+
+
+def _lines_of_key(first: str, left: int) -> tuple[int, ...]:
+    """Numbers of lines, out of ``left``, that a key beginning with the line ``first`` may fill; none if it begins none.
+
+    DER states its length, so a line that is none costs no more than the bytes its header asks for.
+    """
+    data = from_base64(first[: len(first) // 4 * 4]) or b""
+    if data[:1] == b"\x30":
+        size, head = data[1], 2
+        if size & 0x80:
+            head += size & 0x7F
+            size = int.from_bytes(data[2:head], "big") if 2 < head <= 6 else left * len(first)
+        chars = -(-(head + size) * 4 // 3)
+        lines = -(-chars // len(first))
+        return (lines,) if 1 < lines <= left else ()
+    if data.startswith(b"openssh-key-") or data[4:8] in (b"ssh-", b"ecds", b"sk-s", b"sk-e"):
+        return tuple(n for n in (left, left - 1) if n > 1)  # a line behind the key may look like one of its lines
+    return ()
+
+
+def wrapped_keys(text: str) -> list[tuple[int, int]]:
+    """Keys over several lines, all of one length but a last one that may be shorter."""
+    found, at = [], 0
+    while first := _LINE_END.search(text, at):
+        lines, width = [(first.start(), first.end())], first.end() - first.start()
+        while follow := _NEXT_LINE.match(text, lines[-1][1]):
+            if len(follow[1]) > width:
+                break
+            lines.append(follow.span(1))
+            if len(follow[1]) < width:
+                break
+        at, k = lines[-1][1], 0
+        if len(lines) > 1 and lines[-1][1] - lines[-1][0] < width:
+            at = lines[-1][0]  # a shorter line may begin another key
+        while k < len(lines) - 1:
+            for n in _lines_of_key(text[slice(*lines[k])], len(lines) - k):
+                if is_key(from_base64("".join(text[a:b] for a, b in lines[k : k + n]))):
+                    found.append((lines[k][0], lines[k + n - 1][1]))
+                    at, k = max(at, lines[k + n - 1][1]), k + n - 1
+                    break
+            k += 1
+    return found
+
+
 def confirmed_spans(text: str) -> list[Span]:
     """Spans whose decoded content has the structure of a key or a signed token."""
     found = []
@@ -139,7 +201,9 @@ def confirmed_spans(text: str) -> list[Span]:
     blocks = []
     if "-----BEGIN " in text:
         blocks = [(m.start(), 4, m.end()) for m in PEM.finditer(text) if is_key(from_base64(m[2]))]
-    spots = [(m.start(), 5, m.end()) for m in BASE64.finditer(text) if is_key(from_base64(m[0]))]
+    joined = wrapped_keys(text) if "\n" in text else []
+    spots = [(a, 5, b) for m in BASE64.finditer(text) for a, b in _whole_or_parts(text, m.start(), m.end())]
+    spots = [s for s in spots if not any(a <= s[0] < b for a, b in joined)] + [(a, 5, b) for a, b in joined]
     taken = {s[0] for s in spots}
     for m in LONG_HEX.finditer(text):
         if m.start() not in taken and (m.end() - m.start()) % 2 == 0 and is_key(bytes.fromhex(m[0])):

@@ -38,6 +38,30 @@ def test_confirmed_kinds():
     assert _kinds("x " + RSA.hex().upper()) == ["key"]
 
 
+def test_url_safe_and_wrapped_keys():
+    rng = random.Random(8)
+    for n in range(300):
+        key = _der(0x30, _der(2, b"\0") + _der(2, bytes(rng.randrange(256) for _ in range(113))))
+        one = base64.urlsafe_b64encode(key).decode().rstrip("=" if n % 2 else "")
+        assert S.confirmed_spans(f"see {one} ok") == [(4, 5, 4 + len(one))]
+        plain = base64.b64encode(key).decode()
+        for width, mark in ((64, ""), (40, ""), (64, "> "), (76, "  ")):
+            for text in (plain, one):
+                wrapped = "\n".join(mark + text[k : k + width] for k in range(0, len(text), width))
+                span = (5 + len(mark), 5, 5 + len(wrapped))
+                assert S.confirmed_spans(f"see:\n{wrapped}\nnext line") == [span]
+                assert S.confirmed_spans(f"see:\n{wrapped}\nnext") == [span]
+    standard = base64.b64encode(RSA).decode()
+    assert S.confirmed_spans(f"my-{standard}") == [(3, 5, 3 + len(standard))]  # a part of one alphabet
+    prose = "\n".join("abcdefghijklmnopqrstuvwxyz012345" for _ in range(50))
+    assert S.confirmed_spans(prose) == []
+    wrapped = "\n".join(standard[k : k + 64] for k in range(0, len(standard), 64))
+    assert S.confirmed_spans(f"{'A' * 64}\n{wrapped}\n") == [(65, 5, 65 + len(wrapped))]
+    assert S.confirmed_spans(("x" * 300_000 + "\n") * 2 + ("A" * 64 + "\n") * 20_000) == []  # linear time
+    blob = base64.b64encode(SSH).decode()
+    assert S.confirmed_spans(f"{blob[:40]}\n{blob[40:]}\nrest of text") == [(0, 5, len(blob) + 1)]
+
+
 def test_unconfirmed_candidates_are_not_reported():
     rng = random.Random(1)
     noise = base64.b64encode(bytes(rng.randrange(256) for _ in range(300))).decode()
