@@ -38,6 +38,10 @@ MEASURES = {
 }
 
 
+#: names of the work columns; an input column of such a name is replaced, all others are kept
+WORK = ("quality_measures", "quality_stratum", "quality_limits", "quality_base_failed", "quality_kept")
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once for each row."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -216,8 +220,8 @@ def keep_good(
     alpha: float = ALPHA,
     delta: float = DELTA,
 ) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns. The measured texts are stored once, not shuffled."""
-    order = [c for c in docs.columns if not c.startswith("quality_")]
+    """The rows of ``docs`` that are kept, with their own columns but those named in ``WORK``. The measured texts are stored once, not shuffled."""
+    order = [c for c in docs.columns if c not in WORK]
     measured = scratch.store(measures(docs.select(*order), text), "measures")
     limits = limits_of(measured, labels, id, stratum, alpha, delta)
     return verdicts(measured, limits, stratum).where("quality_kept").select(*order)

@@ -276,6 +276,12 @@ def test_quality_edges(frame, spark):
     assert quality.judge(spark.createDataFrame([], schema), labels).count() == 0
 
 
+def test_keep_good_keeps_columns_named_like_its_own(frame):
+    docs = frame([(1, " ".join(f"w{i}" for i in range(20)), "en", 0.5)], "doc_id long, text string, lang string, quality_score double")
+    kept = quality.keep_good(docs, frame([(1, 1, 0)], "doc_id long, quality int, toxic int"))
+    assert kept.columns == docs.columns and kept.first()["quality_score"] == 0.5
+
+
 # --- components
 
 
