@@ -10,7 +10,7 @@ for place in (ROOT, os.path.join(ROOT, "tests")):
     if place not in sys.path:
         sys.path.insert(0, place)
 
-TESTDATA = "/root/testdata"
+from paths import TESTDATA  # noqa: E402
 
 
 @pytest.fixture(scope="session")

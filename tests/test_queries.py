@@ -2,7 +2,7 @@
 
 import oracle
 import pytest
-from conftest import TESTDATA
+from paths import TESTDATA
 
 import __spark_entry__ as entry_points
 from catalog import fixtures as X
