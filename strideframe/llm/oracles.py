@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strideframe.llm import mixing, quality, url_filter
+from strideframe.llm import decontamination, mixing, quality, url_filter
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -187,6 +187,33 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from q left join limits using (lang)
 """
 
+def _item_words(text: str) -> str:
+    pieces = f"string_split_regex(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '{decontamination.BETWEEN}')"
+    return f"list_filter({pieces}, lambda x: x <> '')"
+
+
+_SIZE = decontamination.SIZE
+OP12 = f"""
+with b as (select item_id::varchar as item, {_item_words("text")} as words from benchmark),
+bw as (
+  select distinct item, least(len(words), {_SIZE}) as l, list_slice(words, i, i + least(len(words), {_SIZE}) - 1) as piece
+  from (select item, words, unnest(range(1, len(words) - least(len(words), {_SIZE}) + 2)) as i from b where len(words) > 0)
+), d as (select doc_id, {_item_words("text")} as words from documents),
+dw as (
+  select doc_id, i, l, list_slice(words, i, i + l - 1) as piece
+  from (select doc_id, words, l, unnest(case when len(words) >= l then range(1, len(words) - l + 2) else [] end) as i
+        from d cross join (select distinct l from bw))
+), h as (select doc_id, i, l, piece from dw semi join (select distinct l, piece from bw) using (l, piece)),
+hit as (select doc_id, count(distinct k)::bigint as n from (select doc_id, unnest(range(i, i + l)) as k from h) group by doc_id),
+named as (
+  select doc_id, count(distinct item)::bigint as n_items, string_agg(distinct item, ',' order by item) as items
+  from (select distinct doc_id, piece from h) join bw using (piece) group by doc_id
+)
+select d.doc_id, len(words)::bigint as n_words, coalesce(n, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n, 0) > 0 as contaminated
+from d left join hit on hit.doc_id = d.doc_id left join named on named.doc_id = d.doc_id
+"""
+
 ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": OP1,
     "op2_content_archive": OP2,
@@ -195,4 +222,5 @@ ORACLES: dict[str, str] = {
     "op7_url_filter": OP7,
     "op8_substring_dedup": OP8,
     "op9_quality_rules": OP9,
+    "op12_decontamination": OP12,
 }

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strideframe.llm import (
-    archive, byte_bpe, mixing, near_dedup, quality, search, secret_scan, span_dedup, toxicity, url_filter,
+    archive, byte_bpe, decontamination, mixing, near_dedup, periodic, quality, search, secret_scan, span_dedup, toxicity,
+    url_filter, whitening,
 )
 from strideframe.llm.oracles import ORACLES
 from strideframe.llm.shipping import ship
@@ -95,6 +96,48 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf, "embeddings"))
+
+
+def op12_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.contamination(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+def _planted_period(id: Column, text: Column) -> Column:
+    """The text, with a periodic tail where crc32 of the id ends in 0 (a fixed part of the query's contract)."""
+    h = F.crc32(id.cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+
+    def rewritten(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")).otherwise(F.lit(""))
+
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), quality.SPACES), lambda w: w != "")
+    return F.when(h % 10 == 0, quality.let(words, rewritten)).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", _planted_period(F.col("doc_id"), F.col("text")).alias("text"))
+    runs = F.col("runs")
+    longest = F.aggregate(
+        F.slice(runs, 2, F.greatest(F.size(runs), F.lit(1))), F.get(runs, 0), lambda best, r: F.when(r["length"] > best["length"], r).otherwise(best)
+    )
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return (
+        periodic.collapse_runs(docs)
+        .withColumn("most", longest)
+        .select(
+            "doc_id", F.size(runs).cast("long").alias("n_runs"), "most.start", "most.length", "most.period",
+            F.floor(1000 * F.col("most.length") / F.col("most.period")).cast("long").alias("exponent_milli"),
+            F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        )
+    )
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -102,5 +145,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_minhash_near_dedup, op2_content_archive, op3_byte_bpe, op4_source_mixing, op5_exact_top_k, op6_toxicity,
         op7_url_filter, op8_substring_dedup, op9_quality_rules, op10_secret_scan,
+        op11_embedding_whitening, op12_decontamination, op13_periodic_runs,
     )
 }
