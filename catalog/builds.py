@@ -13,6 +13,7 @@ from strideframe.plans.build import BuildSettings, run_build
 from strideframe.sources import files, scratch
 
 CHUNK = 1000
+EXPORT_CHUNK = 64
 TEMPLATE = "videos/chunk-{episode_chunk:03d}/{video_key}/all.mp4"
 CAMERA = "observation.images.front"
 SYNC = SyncConfig(stride=2, window=WindowSpec(-1, 0, 1, 1), max_gap_seconds=5.0)
@@ -68,6 +69,7 @@ def built(spark: SparkSession, sf: str) -> tuple[BuildSettings, dict[str, Any]]:
             dataset_name="conversations", snapshot_dir=f"{root}/snapshot", warehouse_dir=f"{root}/warehouse",
             registry_dir=f"{root}/registry", export_dir=f"{root}/export", sync=SYNC, annotation=ANNOTATE,
             manifest=ManifestConfig(annotation_version="ann_v1", join_columns=("episode_id", "source_instruction_id")),
+            export_chunk_rows=EXPORT_CHUNK,
         )
         _built[key] = settings, run_build(spark, settings)
     return _built[key]
@@ -77,5 +79,6 @@ def report_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The check rows of the three reports, as the build has stored them."""
     settings, summary = built(spark, sf)
     rows = "checks array<struct<suite: string, name: string, status: string>>"
-    reports = [f"{settings.registry_dir}/{name}.json" for name in ("contract_report", "validation_report")]
+    names = ("contract_report", "validation_report", "exports/validation_report")
+    reports = [f"{settings.registry_dir}/{name}.json" for name in names]
     return spark.read.schema(rows).json(reports).select(F.inline("checks"))

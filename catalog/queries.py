@@ -1332,6 +1332,30 @@ def build_export_rows(spark, sf):
     )
 
 
+@register(
+    "build_export_folders",
+    f"""with {_BUILD_SQL}, numbered as (
+      select *, row_number() over (order by episode_id, anchor_frame, instruction_id, source_sample_id) - 1 as "index" from manifest)
+    select sample_id, "index", 'data/chunk_index=' || ("index" // {builds.EXPORT_CHUNK})::varchar as folder,
+      ("index" // {builds.EXPORT_CHUNK}) * {builds.EXPORT_CHUNK} as from_index,
+      least(("index" // {builds.EXPORT_CHUNK} + 1) * {builds.EXPORT_CHUNK}, (select count(*) from numbered)) as to_index, true as found
+    from numbered""",
+)
+def build_export_folders(spark, sf):
+    """The folder of every training row, from its index alone, and whether the row lies there."""
+    _, summary = builds.built(spark, sf)
+    info = files.read_document(spark, f"{summary['export_dir']}/meta/info.json")
+    size = info["chunks_size"]
+    lies = F.regexp_extract("_metadata.file_path", r"(data/[^/]*)/[^/]*$", 1)
+    data = spark.read.parquet(f"{summary['export_dir']}/data").select("sample_id", "index", lies.alias("lies"))
+    chunks = spark.read.parquet(f"{summary['export_dir']}/meta/chunks")
+    folder = E.data_folder(size)
+    return data.withColumn("chunk_index", E.chunk_of(size)).join(chunks, "chunk_index").select(
+        "sample_id", "index", folder.alias("folder"), "from_index", "to_index",
+        ((folder == F.col("lies")) & (F.col("index") >= F.col("from_index")) & (F.col("index") < F.col("to_index"))).alias("found"),
+    )
+
+
 @register("build_reports", None)
 def build_reports(spark, sf):
     return builds.report_rows(spark, sf)

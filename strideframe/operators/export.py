@@ -10,18 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strideframe.functions.columns import col
+from strideframe.operators.locators import FILE, ROW, placed, rows_at
 from strideframe.operators.manifest import WINDOW_BOUNDS, manifest_order
 from strideframe.operators.ordering import with_global_index
 from strideframe.operators.resolve import (
     ROLES,
     action_columns,
-    episode_key,
     frame_keys,
     match_windows,
     observation_columns,
     role_spans,
 )
 from strideframe.operators.video import refs_by_episode
+from strideframe.sources import scratch
 
 # fixed order of the descriptive part of a data row; the two index blocks follow
 _DESCRIPTION = [
@@ -47,7 +48,9 @@ _DOUBLES = {"anchor_timestamp", "max_timestamp_gap_seconds"}
 _PAIR = ["episode_id", *WINDOW_BOUNDS]
 _INDEX_NAMES = {"frame_index", "episode_index", "index", "task_index"}
 
-DATA_PATH = "data/*.parquet"  # part files in index order
+#: the folder of the rows whose index divided by the chunk size is ``chunk_index``; its part files are in index order
+DATA_PATH = "data/chunk_index={chunk_index}"
+CHUNK_ROWS = 1_000_000
 DEFAULT_CODEBASE_VERSION = "v3.0"
 EXPORT_FORMAT = "manifest_export_v0"
 
@@ -80,31 +83,23 @@ def export_tasks(indexed: DataFrame) -> DataFrame:
 def boundary_rows(manifest: DataFrame, frames: DataFrame) -> DataFrame:
     """``observation`` (last frame) and ``action`` (first frame) records of every distinct pair of windows.
 
-    The frames are found on the narrow key columns; only they meet the wide columns, which are shuffled once for both
-    windows. Rows that repeat a frame number are told apart by timestamp, then by content.
+    The frames are chosen on the narrow key columns, with their place in the stored table; wide columns are read for the
+    chosen places alone, and only those rows are shuffled. Rows that repeat a frame number are told apart by timestamp, then by place.
     """
+    stored = placed(frames)
     episode, frame = frame_keys(frames)
     stamp = col("timestamp") if "timestamp" in frames.columns else F.lit(None).cast("double")
     names = sorted(set(observation_columns(frames.columns)) | set(action_columns(frames.columns)))
-    spot = F.struct("frame", "_ts")
     windows = manifest.select(*_PAIR).distinct().select(*_PAIR, role_spans())
-    matched = match_windows(windows, frames.select(episode, frame, stamp.alias("_ts")), [F.col("_ts")])
-    chosen = matched.groupBy(*_PAIR, "role").agg(F.max(spot).alias("_last"), F.min(spot).alias("_first"))
-    chosen = chosen.withColumn("_spot", F.when(F.col("role") == "observation", F.col("_last")).otherwise(F.col("_first")))
-    wide = frames.select(
-        col(episode).alias("_episode"),
-        col(frame).cast("long").alias("_frame"),
-        stamp.alias("_stamp"),
-        F.struct(*[col(n) for n in names]).alias("record"),
-    )
-    on = (
-        (episode_key(frames, episode) == F.col("_episode"))
-        & (F.col("_spot.frame") == F.col("_frame"))
-        & F.col("_spot._ts").eqNullSafe(F.col("_stamp"))
-    )
-    content = F.xxhash64("record")
-    records = [F.max_by("record", F.when(F.col("role") == role, content)).alias(role) for role in ROLES]
-    return chosen.join(wide, on).groupBy(*_PAIR).agg(*records)
+    narrow = stored.select(episode, frame, stamp.alias("_ts"), FILE, ROW)
+    matched = match_windows(windows, narrow, [F.col(n) for n in ("_ts", FILE, ROW)])
+    spot = F.struct("frame", "_ts", FILE, ROW)
+    edges = matched.groupBy(*_PAIR, "role").agg(F.max(spot).alias("_last"), F.min(spot).alias("_first"))
+    chosen = F.when(F.col("role") == "observation", F.col("_last")).otherwise(F.col("_first")).alias("_spot")
+    chosen = scratch.store(edges.select(*_PAIR, "role", chosen).select(*_PAIR, "role", f"_spot.{FILE}", f"_spot.{ROW}"), "boundaries")
+    wide = stored.select(FILE, ROW, F.struct(*[col(n) for n in names]).alias("record"))
+    records = [F.first(F.when(F.col("role") == role, F.col("record")), ignorenulls=True).alias(role) for role in ROLES]
+    return chosen.join(rows_at(wide, chosen.select(FILE, ROW)), [FILE, ROW]).groupBy(*_PAIR).agg(*records)
 
 
 def export_rows(indexed: DataFrame, tasks: DataFrame, frames: DataFrame) -> DataFrame:
@@ -145,6 +140,24 @@ def export_rows(indexed: DataFrame, tasks: DataFrame, frames: DataFrame) -> Data
     )
 
 
+def chunk_of(chunk_rows: int) -> Column:
+    """The numbered folder a row belongs to, by its index."""
+    return F.floor(F.col("index") / chunk_rows).cast("long")
+
+
+def data_folder(chunk_rows: int) -> Column:
+    """``DATA_PATH`` filled in from a row's index."""
+    before, after = DATA_PATH.split("{chunk_index}")
+    return F.concat(F.lit(before), chunk_of(chunk_rows).cast("string"), F.lit(after))
+
+
+def export_chunks(rows: DataFrame, chunk_rows: int) -> DataFrame:
+    """``chunk_index, from_index, to_index, rows`` of every folder; ``to_index`` is exclusive."""
+    return rows.groupBy(chunk_of(chunk_rows).alias("chunk_index")).agg(
+        F.min("index").alias("from_index"), (F.max("index") + 1).alias("to_index"), F.count(F.lit(1)).alias("rows")
+    )
+
+
 def export_episodes(rows: DataFrame) -> DataFrame:
     """Every training row is an episode of one frame."""
     return rows.select(
@@ -207,24 +220,29 @@ def sample_refs(manifest: DataFrame, refs: DataFrame, keep: Sequence[str] = ())
 
 
 def export_stats(manifest: DataFrame, refs: DataFrame) -> DataFrame:
-    """One row of counters of a stored manifest. Missing videos are those of exported episodes."""
+    """One row of counters of a stored manifest. Missing videos are those of exported episodes.
+
+    Every distinct count is of values tagged with their counter, so that one pass and one exchange serve them all.
+    """
 
     def or_else(name: str, other: Column) -> Column:
         return F.coalesce(F.col(name).cast("string"), other) if name in manifest.columns else other
 
-    # one distinct count per aggregate: together they would multiply the rows
     distinct = {
         "export_total_tasks": _instruction(),
         "source_sample_count": or_else("source_sample_id", F.col("sample_id")),
         "source_episode_count": F.col("episode_id"),
     }
-    used = manifest.select("episode_id").distinct()
+    tagged = F.array(*[F.struct(F.lit(name).alias("counter"), value.cast("string").alias("value")) for name, value in distinct.items()])
+    values = manifest.select(F.inline(tagged)).groupBy("counter", "value").agg(F.count(F.lit(1)).alias("rows"))
+    used = values.where("counter = 'source_episode_count' and value is not null").select(F.col("value").alias("episode_id"))
     missing = refs.where(~F.col("exists")).join(used, "episode_id", "left_semi")
-    return merge_rows(
-        manifest.agg(F.count(F.lit(1)).alias("export_total_samples")),
-        *[manifest.agg(F.countDistinct(value).alias(name)) for name, value in distinct.items()],
-        missing.agg(F.countDistinct("path").alias("missing_video_ref_count")),
+    any_counter = next(iter(distinct))
+    counts = values.agg(
+        F.coalesce(F.sum(F.when(F.col("counter") == any_counter, F.col("rows"))), F.lit(0)).alias("export_total_samples"),
+        *[F.count(F.when(F.col("counter") == name, F.col("value"))).alias(name) for name in distinct],
     )
+    return merge_rows(counts, missing.agg(F.countDistinct("path").alias("missing_video_ref_count")))
 
 
 def merge_rows(*rows: DataFrame) -> DataFrame:
@@ -275,7 +293,9 @@ def undeclared_lengths(rows: DataFrame, info: dict[str, Any]) -> DataFrame | Non
     return rows.agg(*[F.max(F.size(col(n))).alias(n) for n in names])
 
 
-def export_info(rows: DataFrame, info: dict[str, Any], totals: dict[str, Any], digest: str) -> dict[str, Any]:
+def export_info(
+    rows: DataFrame, info: dict[str, Any], totals: dict[str, Any], digest: str, chunk_rows: int = CHUNK_ROWS
+) -> dict[str, Any]:
     """Description document of an export; ``totals`` is the collected row of ``export_stats``."""
     features = feature_map(rows.schema, info)
     lengths = undeclared_lengths(rows, info)
@@ -295,6 +315,8 @@ def export_info(rows: DataFrame, info: dict[str, Any], totals: dict[str, Any], d
         "fps": info.get("fps"),
         "splits": {"train": f"0:{n}"},
         "data_path": DATA_PATH,
+        "chunks_size": chunk_rows,
+        "total_chunks": -(-n // chunk_rows),
         "video_path": info.get("video_path"),
         "features": features,
     }

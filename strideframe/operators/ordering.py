@@ -15,19 +15,21 @@ def indexed_rows(stored: DataFrame, name: str = "index") -> DataFrame:
     """0-based position of every row of a Parquet table, in file order and row order within a file.
 
     ``stored`` must be a plain read of Parquet files. A table written from ``orderBy`` keeps its sort order over
-    its file names, so this numbers the sorted rows. The window below runs over one row per file.
+    its file names, so this numbers the sorted rows, also when it was written into numbered folders in that order. The
+    window below runs over one row per file.
     """
     meta = F.col("_metadata")
     located = stored.select(
-        *[col(c) for c in stored.columns], meta["file_name"].alias("_file"), meta["row_index"].alias("_row")
+        *[col(c) for c in stored.columns], meta["file_path"].alias("_file"), meta["row_index"].alias("_row")
     )
-    sizes = stored.select(meta["file_name"].alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = stored.select(meta["file_path"].alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
     # part-<n>-<uuid>-c<m>: numbers, because the zero padding ends at five digits; any other name has no known place
-    number = F.regexp_extract("_file", r"^part-(\d+)-", 1).try_cast("long")
+    number = F.regexp_extract("_file", r"/part-(\d+)-[^/]*$", 1).try_cast("long")
     unknown = F.raise_error(F.concat(F.lit("not a part file of a Spark write, so its place is unknown: "), "_file"))
     part = F.coalesce(number, unknown.cast("long"))
-    split = F.regexp_extract("_file", r"-c(\d+)\.", 1).try_cast("long")
-    before = Window.orderBy(part, split, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    split = F.regexp_extract("_file", r"-c(\d+)\.[^/]*$", 1).try_cast("long")
+    folder = F.regexp_extract("_file", r"=(\d+)/[^/]*$", 1).try_cast("long")
+    before = Window.orderBy(part, folder, split, "_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     return located.join(offsets, "_file").select(
         *[col(c) for c in stored.columns], (F.col("_offset") + F.col("_row")).alias(name)

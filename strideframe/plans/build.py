@@ -14,6 +14,7 @@ from strideframe.config import AnnotationConfig, ManifestConfig, SyncConfig, con
 from strideframe.functions.columns import normalize_columns
 from strideframe.operators import annotations as A
 from strideframe.operators import manifest as M
+from strideframe.operators.export import CHUNK_ROWS
 from strideframe.operators.ordering import indexed_rows
 from strideframe.operators.resolve import preview, resolve_samples
 from strideframe.operators.sync import status_counts, sync_summary, synced_samples
@@ -45,6 +46,7 @@ class BuildSettings:
     manifest: ManifestConfig
     codec: str = "snappy"
     inspect: bool = False
+    export_chunk_rows: int = CHUNK_ROWS
 
 
 def _plain(config: Any) -> dict[str, Any]:
@@ -228,7 +230,7 @@ def export_step(store: SnapshotStore, s: BuildSettings, snapshot: Snapshot) -> d
     metadata = files.read_document(spark, f"{s.registry_dir}/metadata.json")
     return write_export(
         indexed, snapshot.frames, refs, s.export_dir, created, snapshot.info, source_stats, registry,
-        {"snapshot_dir": s.snapshot_dir, "manifest_path": metadata.get("manifest_path")},
+        {"snapshot_dir": s.snapshot_dir, "manifest_path": metadata.get("manifest_path")}, s.export_chunk_rows,
     )
 
 

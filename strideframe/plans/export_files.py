@@ -31,6 +31,7 @@ LAYOUT = {
     "stats": "meta/stats.json",
     "lineage": "meta/export_lineage.json",
 }
+CHUNKS = "meta/chunks"  # the index range of every data folder
 
 
 def write_export(
@@ -43,10 +44,12 @@ def write_export(
     source_stats: dict[str, Any] | None = None,
     registry_dir: str | None = None,
     origin: dict[str, str] | None = None,
+    chunk_rows: int = X.CHUNK_ROWS,
 ) -> dict[str, Any]:
     """Write all parts below a fresh folder of ``export_dir`` and commit it there as the last step.
 
     ``indexed`` is a manifest with its ``index``; ``origin`` names where it came from (``snapshot_dir``, ``manifest_path``). An earlier export stays readable until, and after, the commit.
+    Data rows lie in numbered folders of ``chunk_rows`` rows, so the folder of a row follows from its index.
     """
     spark = indexed.sparkSession
     info = info or {}
@@ -61,8 +64,10 @@ def write_export(
     # every part is in index order: an episode names the rows it holds by position
     X.export_tasks(indexed).orderBy("task_index").write.parquet(place["tasks"])
     tasks = spark.read.parquet(place["tasks"])
-    sort_stored(X.export_rows(indexed, tasks, frames), ["index"]).write.parquet(place["data"])
-    rows = spark.read.parquet(place["data"])
+    chunked = X.export_rows(indexed, tasks, frames).withColumn("chunk_index", X.chunk_of(chunk_rows))
+    sort_stored(chunked, ["chunk_index", "index"]).write.partitionBy("chunk_index").parquet(place["data"])
+    rows = spark.read.parquet(place["data"]).drop("chunk_index")
+    X.export_chunks(rows, chunk_rows).orderBy("chunk_index").write.parquet(f"{path}/{CHUNKS}")
     X.export_episodes(rows).orderBy("episode_index").write.parquet(place["episodes"])
     X.sample_refs(indexed, refs, keep=["index"]).orderBy("index").drop("index").write.json(place["refs"])
 
@@ -70,7 +75,7 @@ def write_export(
     missing = X.missing_video_paths(manifest, refs)
     missing.write.json(f"{path}/meta/missing_videos")
     documents = {
-        "info": X.export_info(rows, info, totals, sha),
+        "info": X.export_info(rows, info, totals, sha, chunk_rows),
         "stats": {
             **totals,
             **{
@@ -89,6 +94,7 @@ def write_export(
             **X.lineage_row(manifest).first().asDict(),
             "export_dir": path,
             **{f"{part}_path": name for part, name in LAYOUT.items()},
+            "chunks_path": CHUNKS,
         },
     }
     for part, document in documents.items():

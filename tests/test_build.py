@@ -14,7 +14,7 @@ from strideframe.operators.ordering import indexed_rows
 from strideframe.plans import build as B
 from strideframe.plans import build_checks as K
 from strideframe.plans.contract import Snapshot, contract_checks, contract_report, load_snapshot
-from strideframe.plans.export_files import current_export, export_checks, validate_export
+from strideframe.plans.export_files import current_export, export_checks, validate_export, write_export
 from strideframe.sources import files
 from strideframe.sources.snapshots import SnapshotStore
 
@@ -119,6 +119,28 @@ def test_export_content(spark, built):
     assert stats["source_stats"] == {"action": {"max": [1.0]}}
 
 
+def test_export_rows_lie_in_the_folder_of_their_index(spark, built, tmp_path):
+    base, summary, store = built
+    place = tmp_path / "chunked"
+    manifest = indexed_rows(store.read(B.MANIFEST), "index")
+    frames = files.read_parquet_tree(spark, f"{base}/snapshot/data")
+    refs = spark.createDataFrame([], "episode_id string, position int, video_key string, path string, exists boolean")
+    done = write_export(manifest, frames, refs, str(place), "2026-01-01T00:00:00+00:00", chunk_rows=10)
+    path = done["export_dir"]
+    info = files.read_document(spark, f"{path}/meta/info.json")
+    assert (info["chunks_size"], info["total_chunks"]) == (10, 5)
+    chunks = [tuple(r) for r in spark.read.parquet(f"{path}/meta/chunks").orderBy("chunk_index").collect()]
+    assert chunks == [(n, 10 * n, min(10 * n + 10, 48), min(10, 48 - 10 * n)) for n in range(5)]
+    for index in (0, 9, 10, 47):
+        folder = f"{path}/" + info["data_path"].format(chunk_index=index // info["chunks_size"])
+        rows = spark.read.parquet(folder)
+        assert rows.where(F.col("index") == index).count() == 1 and "chunk_index" not in rows.columns
+    stored = indexed_rows(spark.read.parquet(f"{path}/data").select("index"), "position").collect()
+    assert len(stored) == 48 and all(r["index"] == r["position"] for r in stored)
+    report = validate_export(spark, path, store.read(B.MANIFEST))
+    assert report["status"] == "passed"
+
+
 def test_manifest_files_agree(spark, built):
     base, _, store = built
     metadata = files.read_document(spark, f"{base}/registry/metadata.json")
