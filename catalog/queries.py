@@ -974,6 +974,31 @@ def resolve_windows_raw(spark, sf):
     )
 
 
+@register(
+    "resolve_windows_nested_raw",
+    f"""with {X.FE_MANIFEST_SQL},{_ROLE_ROWS_SQL}, first as (
+      select sample_id, role, count(*) as "rows", min(frame_index) as first_frame, max(frame_index) as last_frame,
+        min_by(task_index, frame_index) as first_task, max_by(value, frame_index) as last_value,
+        sum(frame_index)::bigint as frame_sum from resolved group by all)
+    select m.sample_id, r.role, coalesce("rows", 0) as "rows", first_frame, last_frame, first_task, last_value, frame_sum
+    from manifest m cross join (select unnest(['observation', 'action']) as role) r
+    left join first f on f.sample_id = m.sample_id and f.role = r.role""",
+)
+def resolve_windows_nested_raw(spark, sf):
+    """The nested form with all frame columns: what each window's array holds, first and last record by position."""
+    nested = R.resolve_samples(of(spark, sf, "manifest"), of(spark, sf, "frames"), raw=True)
+    sides = F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.col(r).alias("window")) for r in R.ROLES])).alias("side")
+    records = F.col("side.window.records")
+    first, last = F.get(records, F.lit(0)), F.get(records, F.size(records) - 1)
+    frame_sum = F.aggregate(records, F.lit(0).cast("long"), lambda total, r: total + r["frame_index"].cast("long"))
+    return nested.select("sample_id", sides).select(
+        "sample_id", "side.role", F.col("side.window.rows").alias("rows"),
+        first["frame_index"].cast("long").alias("first_frame"), last["frame_index"].cast("long").alias("last_frame"),
+        first["task_index"].cast("long").alias("first_task"), F.get(last["action"], F.lit(0)).alias("last_value"),
+        F.when(F.size(records) > 0, frame_sum).alias("frame_sum"),
+    )
+
+
 @register(
     "resolve_preview",
     f"""with {X.FE_MANIFEST_SQL},{_ROLE_ROWS_SQL},{X.EP_SQL} select m.sample_id, m.episode_id, m.instruction_text as text,
@@ -986,8 +1011,8 @@ def resolve_windows_raw(spark, sf):
     from manifest m""",
 )
 def resolve_preview(spark, sf):
-    resolved = R.resolve_samples(of(spark, sf, "manifest"), of(spark, sf, "frames"), of(spark, sf, "video_refs"))
-    return R.preview(resolved, 1).select(
+    shown = R.preview_samples(of(spark, sf, "manifest"), of(spark, sf, "frames"), of(spark, sf, "video_refs"))
+    return shown.select(
         "sample_id",
         "episode_id",
         "instruction.text",

@@ -16,7 +16,7 @@ from strideframe.operators import annotations as A
 from strideframe.operators import manifest as M
 from strideframe.operators.export import CHUNK_ROWS
 from strideframe.operators.ordering import indexed_rows
-from strideframe.operators.resolve import preview, resolve_samples
+from strideframe.operators.resolve import preview_samples
 from strideframe.operators.sync import status_counts, sync_summary, synced_samples
 from strideframe.operators.video import video_refs
 from strideframe.plans import build_checks as B
@@ -276,7 +276,7 @@ def _stop_if_failed(step: str, report: dict[str, Any]) -> None:
 
 def inspect_tables(store: SnapshotStore, snapshot: Snapshot) -> dict[str, Any]:
     first = store.read(MANIFEST).orderBy(*M.manifest_order(store.read(MANIFEST))).limit(1)
-    resolved: DataFrame = preview(resolve_samples(first, snapshot.frames))
+    resolved: DataFrame = preview_samples(first, snapshot.frames)
     return {
         "snapshot": summaries.snapshot_summary(store.spark, snapshot.path),
         "raw": {name: summaries.table_summary(store, name) for name in RAW.values()},

@@ -1,6 +1,7 @@
 """Edge rows of names, frames, annotations, manifests, videos, shards and ordering."""
 
 import hashlib
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -385,6 +386,48 @@ def test_resolve(spark):
     assert R.resolved_frames(manifest, frames).where("sample_id = 'a'").count() == len(seen) + 13
 
 
+def plain_windows(manifest, frames):
+    """sample id -> role -> sorted frame numbers, by meeting every window with every frame."""
+    out = {}
+    for m in manifest:
+        for role in R.ROLES:
+            low, high = m[f"{role}_start_frame"], m[f"{role}_end_frame"]
+            hit = [f for e, f in frames if str(e) == m["episode_id"] and low is not None and high is not None and low <= f <= high]
+            out[m["sample_id"], role] = sorted(hit)
+    return out
+
+
+def test_nested_windows_of_all_widths(spark):
+    rng = random.Random(3)
+    rows = []
+    for n in range(60):
+        start, gap = rng.randrange(-40, 200), rng.randrange(-60, 60)
+        sizes = [rng.choice([-1, 0, 1, 2, 7, 8, 15, 16, 90]) for _ in range(2)]
+        rows.append((f"s{n}", str(rng.randrange(3)), "i", "t", start, start, start + sizes[0], start + gap, start + gap + sizes[1]))
+    rows.append(("none", "0", "i", "t", None, None, None, None, None))
+    manifest = manifest_of(spark, rows)
+    numbers = [(e, f) for e in range(3) for f in range(-20, 180) if rng.random() < 0.8] + [(1, 50), (1, 50)]
+    frames = spark.createDataFrame([(e, f, f * 0.1, 0, [float(f)], [f * 2.0]) for e, f in numbers], FRAMES)
+    want = plain_windows([r.asDict() for r in manifest.collect()], numbers)
+    for raw in (False, True):
+        found = R.resolve_samples(manifest, frames, raw=raw)
+        got = {(r["sample_id"], role): [x["frame_index"] for x in r[role]["records"]] for r in found.collect() for role in R.ROLES}
+        assert got == want
+    short = R.preview_samples(manifest, frames, records=2).collect()
+    assert {(r["sample_id"], role): ([x["frame_index"] for x in r[role]["preview_records"]], r[role]["rows"]) for r in short for role in R.ROLES} == {
+        key: (numbers[:2], len(numbers)) for key, numbers in want.items()
+    }
+    whole = R.preview(R.resolve_samples(manifest, frames), 2)
+    assert R.preview_samples(manifest, frames, records=2).schema.simpleString() == whole.schema.simpleString()
+
+
+def test_nested_windows_gather_each_frame_once(spark):
+    manifest = manifest_of(spark, [(f"s{n}", "1", "i", "t", n, n - 5, n, n + 1, n + 5) for n in range(10, 60, 10)])
+    found = R.resolve_samples(manifest, frames_of(spark, range(80)))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") == 1 and "Cartesian" not in plan
+
+
 def test_resolve_text_episodes(spark):
     frames = frames_of(spark, range(10)).withColumn("episode_index", F.lit("ep"))
     manifest = manifest_of(spark, [("a", "ep", "i", "t", 5, 0, 5, 6, 9)])
