@@ -136,6 +136,43 @@ def turn_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: conversations that get a fault, by conv_id modulo 50: a turn left out, a turn twice, a step back in time, a wrong vector
+LACKS_TURN, HAS_TURN_TWICE, STEPS_BACK, WRONG_VECTOR = 7, 9, 11, 13
+#: what the description of the faulty snapshot says
+FAULTY_INFO = {
+    "codebase_version": "v2.1", "chunks_size": 10, "video_path": "videos/{video_key}/chunk-{episode_chunk:03d}.mp4",
+    "features": {
+        "observation.state": {"dtype": "float64", "shape": [1]}, "action": {"dtype": "float64", "shape": [1]},
+        "observation.images.front": {"dtype": "video", "shape": [1, 1, 3]},
+    },
+}
+
+
+def faulty_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns as frames with vectors, with a fault of every kind in some conversations."""
+    turns = turn_frames(spark, sf_dir).drop("task.instructions")
+    case = F.col("episode_index") % 50
+    twice = turns.where((case == HAS_TURN_TWICE) & (F.col("frame_index") == 0))
+    back = (case == STEPS_BACK) & (F.col("frame_index") == 1)
+    wrong = (case == WRONG_VECTOR) & (F.col("frame_index") == 0)
+    value = F.col("frame_index").cast("double")
+    return (
+        turns.where(~((case == LACKS_TURN) & (F.col("frame_index") == 1))).union(twice)
+        .withColumn("timestamp", F.when(back, F.lit(-5.0)).otherwise(F.col("timestamp")))
+        .withColumn("action", F.array(value))
+        .withColumn("observation.state", F.when(wrong, F.array(value, value)).otherwise(F.array(value)))
+    )
+
+
+FAULTY_SQL = f"""
+ff as (
+  select episode_index, frame_index, case when episode_index % 50 = {STEPS_BACK} and frame_index = 1 then -5.0 else "timestamp" end
+      as "timestamp", task_index, case when episode_index % 50 = {WRONG_VECTOR} and frame_index = 0 then 2 else 1 end as vector_length
+  from (select * from fc where not (episode_index % 50 = {LACKS_TURN} and frame_index = 1)
+        union all select * from fc where episode_index % 50 = {HAS_TURN_TWICE} and frame_index = 0)
+)"""
+
+
 def task_table(spark: SparkSession) -> DataFrame:
     return literal_table(spark, TASKS, "task_index long, task string")
 

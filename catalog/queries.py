@@ -26,7 +26,7 @@ from strideframe.operators.ordering import indexed_rows
 from strideframe.operators.windows import statistic_names, window_gaps
 from strideframe.plans import build_checks as B
 from strideframe.plans import summaries
-from strideframe.plans.contract import frame_offenders, frame_quality_checks
+from strideframe.plans.contract import Snapshot, contract_checks, frame_offenders, frame_quality_checks
 from strideframe.plans.export_files import export_checks
 from strideframe.sources import files, scratch
 from strideframe.sources.small import literal_table
@@ -574,6 +574,50 @@ def contract_turns(spark, sf):
     return checks.select("name", "status")
 
 
+@register(
+    "contract_all",
+    f"""with {X.FC_SQL},{X.TK_SQL},{X.FAULTY_SQL},
+    o as (select * from ({_order_sql("ff", f"{X.FC_SQL},{X.FAULTY_SQL}")})),
+    eps as (select episode_index, count(*) as length from fc where episode_index is not null group by 1),
+    seen as (select episode_index, count(*) as n from ff group by 1),
+    found(name, ok, bad) as (
+      select 'snapshot_dir_exists', (select count(*) from eps) > 0, cast(null as bigint)
+      union all select 'info_json_exists', true, null
+      union all select 'frame_parquet_exists', (select count(*) from ff) > 0, null
+      union all select 'episode_metadata_exists', (select count(*) from eps) > 0, null
+      union all select 'task_metadata_exists', (select count(*) from tk where task_index <> 2) > 0, null
+      union all select unnest(['required_frame_columns_present', 'action_column_exists', 'observation_column_exists',
+                               'video_path_template_exists']), true, null
+      union all select 'video_refs_resolvable', count(*) > 0 and count(*) filter (where (episode_index // 10) % 5 = 0) = 0,
+        count(*) filter (where (episode_index // 10) % 5 = 0) from eps
+      union all select 'timestamp_monotonic_by_episode', count(*) filter (where timestamp_non_monotonic) = 0,
+        count(*) filter (where timestamp_non_monotonic) from o
+      union all select 'frame_index_monotonic_by_episode', true, 0
+      union all select 'frame_index_unique_by_episode', count(*) filter (where frame_duplicated) = 0,
+        count(*) filter (where frame_duplicated) from o
+      union all select 'frame_index_contiguous_by_episode', count(*) filter (where frame_gap) = 0, count(*) filter (where frame_gap) from o
+      union all select 'episode_lengths_match_frames', count(*) filter (where length <> coalesce(n, 0)) = 0,
+        count(*) filter (where length <> coalesce(n, 0)) from eps left join seen using (episode_index)
+      union all select 'task_metadata_covers_frame_tasks', count(distinct task_index) = 0, count(distinct task_index) from ff
+        where task_index not in (select task_index from tk where task_index <> 2)
+      union all select 'action_observation_shapes_match_info', sum(vector_length - 1) = 0, sum(vector_length - 1)::bigint from ff)
+    select 'contract' as suite, name, case when ok then 'ok' else 'error' end as status, bad from found""",
+)
+def contract_all(spark, sf):
+    """All checks of the contract over a snapshot with a fault of every kind, and how many offenders each found."""
+    episodes = derive_episodes(of(spark, sf, "turns"))
+    chunk = F.floor(F.col("episode_index") / 10).cast("long")
+    video = F.concat(F.lit("videos/observation.images.front/chunk-"), F.lpad(chunk.cast("string"), 3, "0"), F.lit(".mp4"))
+    videos = episodes.where(chunk % 5 != 0).select(video.alias("path"), F.lit(1).cast("long").alias("length")).distinct()
+    listing = videos.union(literal_table(spark, [("data/part-0.parquet", 1)], "path string, length long"))
+    tasks = of(spark, sf, "tasks").where("task_index <> 2")
+    snapshot = Snapshot(X.faulty_frames(spark, sf), episodes, tasks, listing, X.FAULTY_INFO, "faulty")
+    counted = [F.get_json_object("details", f"$.{n}") for n in ("faulty_episodes", "mismatch_count", "missing_tasks", "missing_refs")]
+    shapes = F.from_json(F.get_json_object("details", "$.features"), "array<struct<bad_rows: long>>")
+    wrong = F.aggregate(shapes, F.lit(0).cast("long"), lambda total, x: total + F.coalesce(x["bad_rows"], F.lit(0)))
+    return contract_checks(snapshot).select("suite", "name", "status", F.coalesce(*[c.cast("long") for c in counted], wrong).alias("bad"))
+
+
 @register(
     "raw_validation",
     f"""with {X.FE_SQL}, t(k, n) as (select 'frames', count(*) from fe union all

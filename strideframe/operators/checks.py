@@ -81,19 +81,27 @@ def duplicate_groups(df: DataFrame, names: Sequence[str]) -> DataFrame:
 # --- frames ----------------------------------------------------------------------------------------------------------
 
 
-def episode_order(frames: DataFrame, cell: int = 4096) -> DataFrame:
+def episode_order(frames: DataFrame, cell: int = 4096, faults: dict[str, Column] | None = None) -> DataFrame:
     """One row per episode: frame rows, duplicate frames, gaps in the numbering, backward steps in time.
 
+    ``faults`` are conditions on a row; the rows that meet them are counted in columns of their names, in the same pass.
+
     Steps in time need the frame order. Frames with one number are summed up first, then ordered inside cells of
     frame numbers, then across the cells, so a long episode is spread over many tasks. A decrease of the frame
     number cannot happen after ordering by it; it is reported as zero.
     """
     number, stamp = F.col("frame_index").cast("long"), F.col("timestamp").cast("double")
     # within one frame number rows are taken in time order and cannot step back
+    faults = faults or {}
+    marked = [condition.alias(name) for name, condition in faults.items()]
+    added = [F.sum(name).alias(name) for name in faults]
     per_frame = (
-        frames.select(F.col("episode_index").cast("long").alias("episode_index"), number.alias("f"), stamp.alias("ts"))
+        frames.select(F.col("episode_index").cast("long").alias("episode_index"), number.alias("f"), stamp.alias("ts"), *marked)
         .groupBy("episode_index", "f")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("low"), F.max("ts").alias("high"))
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.min("ts").alias("low"), F.max("ts").alias("high"),
+            *[F.count_if(F.col(name)).alias(name) for name in faults],
+        )
         .withColumn("cell", floor_div("f", cell))
     )
     inside = Window.partitionBy("episode_index", "cell").orderBy("f")
@@ -109,6 +117,7 @@ def episode_order(frames: DataFrame, cell: int = 4096) -> DataFrame:
             F.min_by("low", "f").alias("enter"),
             F.max_by("high", "f").alias("leave"),
             back.alias("back"),
+            *added,
         )
     )
     across = Window.partitionBy("episode_index").orderBy("cell")
@@ -118,6 +127,7 @@ def episode_order(frames: DataFrame, cell: int = 4096) -> DataFrame:
         (F.sum("rows") - F.sum("numbers")).alias("duplicate_frames"),
         (F.max("last") - F.min("first") + 1).alias("span"),
         (F.sum("back") + F.count_if(F.col("enter") < F.col("before"))).alias("timestamp_decreases"),
+        *added,
     )
     return totals.select(
         "episode_index",
@@ -127,6 +137,7 @@ def episode_order(frames: DataFrame, cell: int = 4096) -> DataFrame:
         F.lit(False).alias("frame_non_monotonic"),
         (F.col("duplicate_frames") > 0).alias("frame_duplicated"),
         ((F.col("duplicate_frames") > 0) | (F.col("span") != F.col("frame_rows"))).alias("frame_gap"),
+        *faults,
     )
 
 
@@ -157,31 +168,38 @@ def uncovered_tasks(frames: DataFrame, tasks: DataFrame) -> DataFrame:
     return used.join(known, "task_index", "left_anti")
 
 
-def vector_shapes(frames: DataFrame, keys: Sequence[str], info: dict[str, Any]) -> DataFrame:
-    """``feature, status, expected_length, bad_rows``; every feature in one pass over the frames."""
+SHAPE_SCHEMA = "feature string, status string, expected_length long, bad_rows long"
+
+
+def expected_lengths(names: Sequence[str], keys: Sequence[str], info: dict[str, Any]) -> tuple[dict[str, int], list[tuple]]:
+    """Features whose length can be checked, and a row for each that cannot; ``names`` are the columns of the frames."""
     features = info.get("features", {})
     features = features if isinstance(features, dict) else {}
     measured: dict[str, int] = {}
-    rows: list[tuple[str, str, int | None, str]] = []
+    rows: list[tuple] = []
     for key in keys:
         shape = (features.get(key) or {}).get("shape")
-        if key not in frames.columns:
-            rows.append((key, "missing_from_frame_data", None))
+        if key not in names:
+            rows.append((key, "missing_from_frame_data", None, None))
         elif not (isinstance(shape, list) and shape):
-            rows.append((key, "skipped", None))
+            rows.append((key, "skipped", None, None))
         else:
             measured[key] = int(shape[0])
+    return measured, rows
 
-    def bad(key: str, length: int) -> Column:
-        if not isinstance(frames.schema[key].dataType, T.ArrayType):
-            return F.count(F.lit(1))
-        return F.count_if(col(key).isNull() | (F.size(col(key)) != length))
 
-    schema = "feature string, status string, expected_length long, bad_rows long"
-    fixed = literal_table(frames.sparkSession, [(*row, None) for row in rows], schema)
+def wrong_length(frames: DataFrame, key: str, length: int) -> Column:
+    """True for a row whose vector is missing or has another length; a column that holds no vectors is all wrong."""
+    if not isinstance(frames.schema[key].dataType, T.ArrayType):
+        return F.lit(True)
+    return col(key).isNull() | (F.size(col(key)) != length)
+
+
+def shape_rows(totals: DataFrame, measured: dict[str, int], fixed: list[tuple]) -> DataFrame:
+    """``feature, status, expected_length, bad_rows`` from one row of ``totals`` with a column ``b<i>`` for each measured feature."""
+    stated = literal_table(totals.sparkSession, fixed, SHAPE_SCHEMA)
     if not measured:
-        return fixed
-    totals = frames.agg(*[bad(key, n).alias(f"b{i}") for i, (key, n) in enumerate(measured.items())])
+        return stated
     entries = [
         F.struct(
             F.lit(key).alias("feature"),
@@ -191,7 +209,16 @@ def vector_shapes(frames: DataFrame, keys: Sequence[str], info: dict[str, Any])
         )
         for i, (key, n) in enumerate(measured.items())
     ]
-    return totals.select(F.inline(F.array(*entries))).unionByName(fixed)
+    return totals.select(F.inline(F.array(*entries))).unionByName(stated)
+
+
+def vector_shapes(frames: DataFrame, keys: Sequence[str], info: dict[str, Any]) -> DataFrame:
+    """``feature, status, expected_length, bad_rows``; every feature in one pass over the frames."""
+    measured, fixed = expected_lengths(frames.columns, keys, info)
+    if not measured:
+        return literal_table(frames.sparkSession, fixed, SHAPE_SCHEMA)
+    bad = [F.count_if(wrong_length(frames, key, n)).alias(f"b{i}") for i, (key, n) in enumerate(measured.items())]
+    return shape_rows(frames.agg(*bad), measured, fixed)
 
 
 def offender_summary(offenders: DataFrame, preview: int) -> DataFrame:

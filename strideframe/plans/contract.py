@@ -120,11 +120,16 @@ def keep_offenders(rows: DataFrame, place: str) -> Offenders:
 
 
 def frame_quality_checks(
-    frames: DataFrame, episodes: DataFrame | None, tasks: DataFrame | None, offenders_dir: str | None = None
+    frames: DataFrame,
+    episodes: DataFrame | None,
+    tasks: DataFrame | None,
+    offenders_dir: str | None = None,
+    order: DataFrame | None = None,
 ) -> DataFrame:
-    """The six checks on frame content. Frames are read twice: for their order and counts, and for their tasks."""
+    """The six checks on frame content. Frames are read twice: for their order and counts (``order``, the stored table of
+    :func:`C.episode_order`, if it is there already), and for their tasks."""
     spark = frames.sparkSession
-    order = scratch.store(C.episode_order(frames), "episode-order")
+    order = order if order is not None else scratch.store(C.episode_order(frames), "episode-order")
     place = f"{offenders_dir}/frames" if offenders_dir else scratch.new_path(spark, "frame-offenders")
     found = keep_offenders(frame_offenders(order, frames, episodes, tasks), place)
     total = order.count()
@@ -180,19 +185,26 @@ def contract_checks(snapshot: Snapshot, offenders_dir: str | None = None) -> Dat
     resolvable = expected > 0 and not found.counts.get(name)
     details = {"expected_refs": expected, **found.details(name, "missing_refs")}
     result = result.union(C.check_rows(one, [fixed(name, resolvable, details)]))
-    if frames is not None and not absent and not frames.isEmpty():
-        result = result.union(frame_quality_checks(frames, snapshot.episodes, snapshot.tasks, offenders_dir))
+    keys = [*actions, *observations]
+    not_run = C.check_rows(one, [fixed("frame_quality_checks_runnable", False, {"missing": absent})])
+    if frames is None:
+        return result.union(not_run).union(shape_check(literal_table(spark, [], C.SHAPE_SCHEMA)))
+    if absent:
+        return result.union(not_run).union(shape_check(C.vector_shapes(frames, keys, info)))
+    # one pass over the frames for the order of every episode and for the vector lengths
+    measured, stated = C.expected_lengths(names, keys, info)
+    wrong = {f"b{i}": C.wrong_length(frames, key, n) for i, (key, n) in enumerate(measured.items())}
+    order = scratch.store(C.episode_order(frames, faults=wrong), "episode-order")
+    if order.isEmpty():
+        result = result.union(not_run)
     else:
-        result = result.union(C.check_rows(one, [fixed("frame_quality_checks_runnable", False, {"missing": absent})]))
-    return result.union(shape_check(frames, [*actions, *observations], info, spark))
+        result = result.union(frame_quality_checks(frames, snapshot.episodes, snapshot.tasks, offenders_dir, order))
+    totals = order.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in wrong]) if wrong else one
+    return result.union(shape_check(C.shape_rows(totals, measured, stated)))
 
 
-def shape_check(frames: DataFrame | None, keys: list[str], info: dict[str, Any], spark: SparkSession) -> DataFrame:
-    if frames is None:
-        shapes = literal_table(spark, [], "feature string, status string, expected_length long, bad_rows long")
-    else:
-        shapes = C.vector_shapes(frames, keys, info)
-    # one row per feature of the description
+def shape_check(shapes: DataFrame) -> DataFrame:
+    """One check row from a row per feature of the description."""
     totals = shapes.agg(
         F.count_if(F.col("status") == "error").alias("bad"),
         F.to_json(F.array_sort(F.collect_list(F.struct(*shapes.columns)))).alias("features"),
