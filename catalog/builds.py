@@ -75,10 +75,19 @@ def built(spark: SparkSession, sf: str) -> tuple[BuildSettings, dict[str, Any]]:
     return _built[key]
 
 
+#: the number that a check has looked at, by its name in the details
+COUNTED = (
+    "rows", "actual_rows", "jsonl_rows", "manifest_rows", "non_required_rows", "duplicate_samples", "duplicate_annotations",
+    "missing_required_rows", "failed_quality_flag_count", "invalid_windows", "faulty_episodes", "mismatch_count", "missing_tasks",
+    "missing_refs",
+)
+
+
 def report_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """The check rows of the three reports, as the build has stored them."""
+    """The check rows of the three reports, as the build has stored them, each with the number it looked at."""
     settings, summary = built(spark, sf)
-    rows = "checks array<struct<suite: string, name: string, status: string>>"
+    rows = "checks array<struct<suite: string, name: string, status: string, details: string>>"
     names = ("contract_report", "validation_report", "exports/validation_report")
     reports = [f"{settings.registry_dir}/{name}.json" for name in names]
-    return spark.read.schema(rows).json(reports).select(F.inline("checks"))
+    counted = F.coalesce(*[F.get_json_object("details", f"$.{n}").cast("long") for n in COUNTED])
+    return spark.read.schema(rows).json(reports).select(F.inline("checks")).select("suite", "name", "status", counted.alias("counted"))

@@ -1425,6 +1425,76 @@ def build_export_folders(spark, sf):
     )
 
 
-@register("build_reports", None)
+def _found(suite: str, *rows: tuple[str, str, str]) -> str:
+    """``suite, name, ok, counted`` of checks given as name, condition and number."""
+    return " union all ".join(f"select '{suite}', '{name}', coalesce({ok}, false), cast({n} as bigint) from n" for name, ok, n in rows)
+
+
+_REPORTS_SQL = " union all ".join([
+    _found("raw", *[(f"raw_{t}_{x}", f"raw_{t} > 0", f"raw_{t}") for t in ("frames", "episodes", "tasks") for x in ("table_not_empty", "snapshot_exists")]),
+    _found(
+        "synced", ("synced_table_not_empty", "samples > 0", "samples"), ("synced_table_snapshot_exists", "samples is not null", "null"),
+        ("synced_required_status_exists", "kept > 0", "kept"),
+        ("synced_non_required_rows_excluded_from_manifest", "(select count(*) from manifest where sync_status <> 'ok') = 0", "samples - kept"),
+        ("synced_sample_id_unique", "twice = 0", "twice"), ("synced_required_fields_present", "lacking = 0", "lacking"),
+        ("synced_quality_flags_pass", "flagged = 0", "flagged"), ("sync_lineage_snapshot_matches_table", "samples is not null", "null"),
+        ("sync_stats_count_matches_table", "samples is not null", "samples"),
+    ),
+    _found(
+        "annotation", ("annotation_table_not_empty", "annotations > 0", "annotations"),
+        ("annotation_table_snapshot_exists", "annotations is not null", "null"),
+        ("annotation_episode_instruction_unique", "annotated_twice = 0", "annotated_twice"),
+        ("annotation_required_fields_present", "unannotated = 0", "unannotated"),
+        ("annotation_lineage_snapshot_matches_table", "annotations is not null", "null"),
+        ("annotation_stats_count_matches_table", "annotations is not null", "annotations"),
+    ),
+    _found(
+        "manifest", ("manifest_parquet_not_empty", "listed > 0", "listed"), ("manifest_jsonl_count_matches_parquet", "listed > 0", "listed"),
+        ("manifest_count_matches_source_view", "listed = expected", "listed"), ("manifest_sample_id_unique", "listed_twice = 0", "listed_twice"),
+        ("manifest_required_fields_present", "unlisted = 0", "unlisted"), ("manifest_windows_valid", "turned = 0", "turned"),
+        ("manifest_hash_matches_registry", "listed > 0", "null"), ("manifest_source_snapshot_matches_synced_table", "samples > 0", "null"),
+        ("manifest_annotation_snapshot_matches_lineage", "annotations > 0", "null"),
+    ),
+    _found(
+        "contract", ("snapshot_dir_exists", "raw_frames > 0", "null"), ("info_json_exists", "raw_frames > 0", "null"),
+        ("frame_parquet_exists", "raw_frames > 0", "null"), ("episode_metadata_exists", "raw_episodes > 0", "raw_episodes"),
+        ("task_metadata_exists", "raw_tasks > 0", "raw_tasks"),
+        *[(x, "raw_frames > 0", "null") for x in ("required_frame_columns_present", "action_column_exists", "observation_column_exists",
+                                                  "video_path_template_exists")],
+        ("video_refs_resolvable", "raw_episodes > 0", "0"), ("timestamp_monotonic_by_episode", "back = 0", "back"),
+        ("frame_index_monotonic_by_episode", "true", "0"), ("frame_index_unique_by_episode", "repeated = 0", "repeated"),
+        ("frame_index_contiguous_by_episode", "gaps = 0", "gaps"), ("episode_lengths_match_frames", "wrong_length = 0", "wrong_length"),
+        ("task_metadata_covers_frame_tasks", "unknown_tasks = 0", "unknown_tasks"),
+        ("action_observation_shapes_match_info", "raw_frames > 0", "null"),
+    ),
+    _found("export", *[(x, "listed > 0 and listed = expected and listed_twice = 0", "listed") for x in (
+        "manifest_rows_match_data_rows", "episode_rows_match_data_rows", "sample_refs_match_data_rows", "info_total_frames_match_data_rows",
+        "stats_total_samples_match_data_rows", "lineage_manifest_rows_match", "lineage_manifest_sha256_match", "info_manifest_sha256_match",
+        "sample_ids_are_unique", "sample_refs_are_unique", "required_columns_present", "registry_metadata_exists", "registry_stats_exists",
+        "registry_lineage_exists", "registry_lineage_sha256_match")]),
+])
+
+
+@register(
+    "build_reports",
+    f"""with {_BUILD_SQL}, o as (select * from ({_order_sql("fc", X.FC_SQL)})), kept as (select * from synced where sync_status = 'ok'), n as (select
+      (select count(*) from fc) as raw_frames, (select count(distinct episode_index) from fc) as raw_episodes, (select count(*) from tk) as raw_tasks,
+      (select count(*) from synced) as samples, (select count(*) from kept) as kept, (select count(*) - count(distinct sample_id) from kept) as twice,
+      (select count(*) from kept where sample_id is null or episode_id is null or anchor_frame is null) as lacking,
+      (select coalesce(sum((not is_window_complete)::int + (not is_timestamp_monotonic)::int + (not is_gap_within_threshold)::int), 0) from kept) as flagged,
+      (select count(*) from ann) as annotations,
+      (select count(*) from (select 1 from ann group by episode_id, instruction_id having count(*) > 1)) as annotated_twice,
+      (select count(*) from ann where episode_id is null or instruction_id is null or text is null) as unannotated,
+      (select count(*) from manifest) as listed, (select count(*) - count(distinct sample_id) from manifest) as listed_twice,
+      (select count(*) from kept k join ann a on a.episode_id = k.episode_id and a.source_instruction_id = k.instruction_id) as expected,
+      (select count(*) from manifest where sample_id is null or episode_id is null or instruction_text is null) as unlisted,
+      (select count(*) from manifest where observation_start_frame > observation_end_frame or action_start_frame > action_end_frame
+        or observation_end_frame >= action_start_frame) as turned,
+      (select count(*) from o where timestamp_non_monotonic) as back, (select count(*) from o where frame_duplicated) as repeated,
+      (select count(*) from o where frame_gap) as gaps,
+      (select count(*) from o where frame_rows <> (select count(*) from conversations c where c.conv_id = o.episode_index)) as wrong_length,
+      (select count(distinct task_index) from fc where task_index not in (select task_index from tk)) as unknown_tasks)
+    select suite, name, case when ok then 'ok' else 'error' end as status, counted from ({_REPORTS_SQL}) t(suite, name, ok, counted)""",
+)
 def build_reports(spark, sf):
     return builds.report_rows(spark, sf)
