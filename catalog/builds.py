@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import fixtures as X
-from strideframe.config import AnnotationConfig, ManifestConfig, SyncConfig, WindowSpec
-from strideframe.plans.build import BuildSettings, run_build
+from strideframe.config import AnnotationConfig, FrameManifestConfig, ManifestConfig, SyncConfig, WindowSpec
+from strideframe.plans.build import BuildSettings, frame_manifest_step, run_build
 from strideframe.sources import files, scratch
+from strideframe.sources.snapshots import SnapshotStore
 
 CHUNK = 1000
 EXPORT_CHUNK = 64
@@ -75,6 +77,46 @@ def built(spark: SparkSession, sf: str) -> tuple[BuildSettings, dict[str, Any]]:
     return _built[key]
 
 
+FRAMES_ONLY = FrameManifestConfig(stride=2, window=WindowSpec(-1, 0, 1, 1))
+_from_frames: dict[tuple[str, str], tuple[SnapshotStore, str]] = {}
+
+
+def from_frames(spark: SparkSession, sf: str) -> tuple[SnapshotStore, str]:
+    """The store and registry of a manifest built straight from the frames of the snapshot."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _from_frames:
+        settings, _ = built(spark, sf)
+        root = scratch.new_path(spark, "frame-manifest")
+        store = SnapshotStore(spark, f"{root}/warehouse")
+        frame_manifest_step(store, "conversations", settings.snapshot_dir, f"{root}/registry", FRAMES_ONLY)
+        _from_frames[key] = store, f"{root}/registry"
+    return _from_frames[key]
+
+
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """``document, field, value`` of what a build says about its origin and size, but for ids, times and paths."""
+    settings, _ = built(spark, sf)
+    _, registry = from_frames(spark, sf)
+    fields = {
+        "sync_lineage": ["dataset_name", "source_table", "target_table", "sync_config_sha256", "stride", "sync_rule"],
+        "sync_stats": ["synced_samples"],
+        "annotation_lineage": ["annotation_config_sha256", "annotation_policy", "annotation_version", "require_sync_status", "source_table", "target_table"],
+        "annotation_stats": ["annotations"],
+        "lineage": ["source_type", "source_table", "annotation_table", "annotation_version", "require_sync_status", "source_total_frames"],
+        "stats": ["manifest_rows"],
+        "metadata": ["format"],
+        "frames/lineage": ["source_type", "frame_stride", "frame_manifest_config_sha256", "source_total_episodes"],
+        "frames/stats": ["manifest_rows"],
+    }
+    parts = []
+    for document, names in fields.items():
+        place, name = (registry, document.split("/")[1]) if "/" in document else (settings.registry_dir, document)
+        read = spark.read.text(f"{place}/{name}.json", wholetext=True)
+        values = [F.struct(F.lit(n).alias("field"), F.get_json_object("value", f"$.{n}").alias("value")) for n in names]
+        parts.append(read.select(F.lit(document).alias("document"), F.inline(F.array(*values))))
+    return reduce(DataFrame.union, parts)
+
+
 #: the number that a check has looked at, by its name in the details
 COUNTED = (
     "rows", "actual_rows", "jsonl_rows", "manifest_rows", "non_required_rows", "duplicate_samples", "duplicate_annotations",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
 import functools
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1498,3 +1500,55 @@ _REPORTS_SQL = " union all ".join([
 )
 def build_reports(spark, sf):
     return builds.report_rows(spark, sf)
+
+
+@register(
+    "build_manifest_from_frames",
+    f"""with {X.FC_SQL} select concat_ws('_', 'sample', episode_index, 'task_' || task_index, frame_index) as sample_id,
+    cast(episode_index as varchar) as episode_id, 'task_' || task_index as instruction_id, frame_index as anchor_frame,
+    frame_index - 1 as observation_start_frame, frame_index as observation_end_frame, frame_index + 1 as action_start_frame,
+    frame_index + 1 as action_end_frame from fc where frame_index % 2 = 0 and frame_index >= 1""",
+)
+def build_manifest_from_frames(spark, sf):
+    """The JSON lines of a manifest built straight from a snapshot's frames."""
+    _, registry = builds.from_frames(spark, sf)
+    metadata = files.read_document(spark, f"{registry}/metadata.json")
+    return M.read_json_lines(spark, metadata["manifest_path"]).select(
+        "sample_id", "episode_id", "instruction_id", "anchor_frame", *M.WINDOW_BOUNDS
+    )
+
+
+def _hash_sql(config) -> str:
+    """SHA-256 of a configuration's JSON with sorted keys, written without the library."""
+    text = json.dumps(dataclasses.asdict(config), sort_keys=True, ensure_ascii=False).replace("'", "''")
+    return f"sha256('{text}')"
+
+
+_DOCUMENT_ROWS = [
+    ("sync_lineage", "dataset_name", "'conversations'"), ("sync_lineage", "source_table", "'raw.frames'"),
+    ("sync_lineage", "target_table", "'synced.samples'"), ("sync_lineage", "sync_config_sha256", _hash_sql(builds.SYNC)),
+    ("sync_lineage", "stride", f"'{builds.SYNC.stride}'"), ("sync_lineage", "sync_rule", f"'{builds.SYNC.sync_rule}'"),
+    ("sync_stats", "synced_samples", "(select count(*) from synced)::varchar"),
+    ("annotation_lineage", "annotation_config_sha256", _hash_sql(builds.ANNOTATE)),
+    ("annotation_lineage", "annotation_policy", "(select min(annotation_policy) from ann)"),
+    ("annotation_lineage", "annotation_version", "(select max(annotation_version) from ann)"),
+    ("annotation_lineage", "require_sync_status", "'ok'"), ("annotation_lineage", "source_table", "'synced.samples'"),
+    ("annotation_lineage", "target_table", "'annotations.instructions'"),
+    ("annotation_stats", "annotations", "(select count(*) from ann)::varchar"),
+    ("lineage", "source_type", "'synced_table'"), ("lineage", "source_table", "'synced.samples'"),
+    ("lineage", "annotation_table", "'annotations.instructions'"), ("lineage", "annotation_version", "'ann_v1'"),
+    ("lineage", "require_sync_status", "'ok'"), ("lineage", "source_total_frames", "(select count(*) from conversations)::varchar"),
+    ("stats", "manifest_rows", "(select count(*) from manifest)::varchar"), ("metadata", "format", "'episode_manifest_v0'"),
+    ("frames/lineage", "source_type", "'snapshot_frames'"), ("frames/lineage", "frame_stride", "'2'"),
+    ("frames/lineage", "frame_manifest_config_sha256", _hash_sql(builds.FRAMES_ONLY)),
+    ("frames/lineage", "source_total_episodes", "(select count(distinct conv_id) from conversations)::varchar"),
+    ("frames/stats", "manifest_rows", "(select count(*) from fc where frame_index % 2 = 0 and frame_index >= 1)::varchar"),
+]
+
+
+@register(
+    "build_documents",
+    f"with {_BUILD_SQL} " + " union all ".join(f"select '{d}' as document, '{f}' as field, {v} as value" for d, f, v in _DOCUMENT_ROWS),
+)
+def build_documents(spark, sf):
+    return builds.documents(spark, sf)

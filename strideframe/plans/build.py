@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strideframe import __version__
-from strideframe.config import AnnotationConfig, ManifestConfig, SyncConfig, config_hash
+from strideframe.config import AnnotationConfig, FrameManifestConfig, ManifestConfig, SyncConfig, config_hash
 from strideframe.functions.columns import normalize_columns
 from strideframe.operators import annotations as A
 from strideframe.operators import manifest as M
@@ -126,7 +126,6 @@ def annotation_step(store: SnapshotStore, s: BuildSettings) -> Commit:
 
 def manifest_step(store: SnapshotStore, s: BuildSettings, info: dict[str, Any]) -> Commit:
     """The sorted manifest as a table and as JSON lines, with its registry documents."""
-    spark = store.spark
     source = store.latest_id(SYNCED)
     annotated = s.manifest.annotation_table is not None
     annotation_id = store.latest_id(ANNOTATIONS) if annotated else None
@@ -134,7 +133,43 @@ def manifest_step(store: SnapshotStore, s: BuildSettings, info: dict[str, Any])
         rows = M.annotated_manifest(store.read(SYNCED), store.read(ANNOTATIONS), s.manifest, annotation_id)
     else:
         rows = M.plain_manifest(store.read(SYNCED), s.manifest)
-    commit = store.write(MANIFEST, M.sort_manifest(rows), s.codec)
+    origin = {
+        "source_type": "synced_table",
+        "snapshot_dir": s.snapshot_dir,
+        "source_table": SYNCED,
+        "source_snapshot_id": source,
+        "annotation_table": ANNOTATIONS if annotated else None,
+        "annotation_snapshot_id": annotation_id,
+        "annotation_version": s.manifest.annotation_version,
+        "annotation_active_only": s.manifest.annotation_active_only,
+        "annotation_join_columns": list(s.manifest.join_columns),
+        "require_sync_status": s.manifest.require_status,
+    }
+    return record_manifest(store, rows, s.dataset_name, s.registry_dir, s.codec, origin, info)
+
+
+def frame_manifest_step(
+    store: SnapshotStore, dataset_name: str, snapshot_dir: str, registry_dir: str, config: FrameManifestConfig, codec: str = "snappy"
+) -> Commit:
+    """A manifest straight from the frames of a snapshot, without synced samples or annotations, with the same documents."""
+    frames = files.read_parquet_tree(store.spark, f"{snapshot_dir}/data")
+    info = files.read_document(store.spark, f"{snapshot_dir}/meta/info.json")
+    origin = {
+        "source_type": "snapshot_frames",
+        "snapshot_dir": snapshot_dir,
+        "episode_filter": list(config.episodes),
+        "frame_stride": config.stride,
+        "window": _plain(config.window),
+        "frame_manifest_config_sha256": config_hash(_plain(config)),
+    }
+    return record_manifest(store, M.frame_manifest(frames, config), dataset_name, registry_dir, codec, origin, info)
+
+
+def record_manifest(
+    store: SnapshotStore, rows: DataFrame, dataset_name: str, registry_dir: str, codec: str, origin: dict[str, Any], info: dict[str, Any]
+) -> Commit:
+    """Write a manifest, sorted, as a table and as JSON lines, and its ``lineage``, ``stats`` and ``metadata`` documents."""
+    commit = store.write(MANIFEST, M.sort_manifest(rows), codec)
     written = store.read(MANIFEST)
     json_path = f"{store.location(MANIFEST)}/jsonl/snap-{commit.snapshot_id}"
     M.write_json_lines(written, json_path)
@@ -142,30 +177,19 @@ def manifest_step(store: SnapshotStore, s: BuildSettings, info: dict[str, Any])
     sha, version = digest["content_sha256"], digest["content_version"]
     documents = {
         "lineage": {
-            "dataset_name": s.dataset_name,
+            "dataset_name": dataset_name,
             "engine_version": __version__,
             "manifest_version": version,
             "manifest_sha256": sha,
-            "source_type": "synced_table",
-            "snapshot_dir": s.snapshot_dir,
-            "source_table": SYNCED,
-            "source_snapshot_id": source,
-            "annotation_table": ANNOTATIONS if annotated else None,
-            "annotation_snapshot_id": annotation_id,
-            "annotation_version": s.manifest.annotation_version,
-            "annotation_active_only": s.manifest.annotation_active_only,
-            "annotation_join_columns": list(s.manifest.join_columns),
-            "source_codebase_version": info.get("codebase_version"),
-            "source_total_episodes": info.get("total_episodes"),
-            "source_total_frames": info.get("total_frames"),
-            "require_sync_status": s.manifest.require_status,
+            **origin,
+            **{f"source_{name}": info.get(name) for name in ("codebase_version", "total_episodes", "total_frames")},
             "manifest_path": json_path,
             "manifest_parquet_path": commit.path,
-            "parquet_compression": s.codec,
+            "parquet_compression": codec,
         },
         "stats": {"manifest_rows": commit.rows, "manifest_version": version, "manifest_sha256": sha},
         "metadata": {
-            "dataset_name": s.dataset_name,
+            "dataset_name": dataset_name,
             "format": MANIFEST_FORMAT,
             "manifest_version": version,
             "manifest_path": json_path,
@@ -174,7 +198,7 @@ def manifest_step(store: SnapshotStore, s: BuildSettings, info: dict[str, Any])
         },
     }
     for name, document in documents.items():
-        files.write_document(spark, f"{s.registry_dir}/{name}.json", document)
+        files.write_document(store.spark, f"{registry_dir}/{name}.json", document)
     return commit
 
 
