@@ -10,7 +10,7 @@ from strideframe.functions.columns import col, first_present
 from strideframe.functions.digest import content_digest
 from strideframe.functions.ids import sample_key, task_key
 from strideframe.operators.annotations import active_annotations
-from strideframe.operators.ordering import sort_stored, with_global_index
+from strideframe.operators.ordering import sort_placed, sort_stored, with_global_index
 from strideframe.sources import files
 
 # fixed values: the columns of the two manifests
@@ -149,8 +149,8 @@ def json_lines(manifest: DataFrame) -> DataFrame:
 
 
 def write_json_lines(manifest: DataFrame, path: str) -> None:
-    """Sorted JSON lines in as many part files as the sort has partitions; file order is row order."""
-    sort_manifest(manifest).write.mode("overwrite").json(path)
+    """Sorted JSON lines of a stored manifest in as many part files as the sort has partitions; file order is row order."""
+    sort_placed(manifest, manifest_order(manifest)).write.mode("overwrite").json(path)
 
 
 def _json_type(name: str) -> str:

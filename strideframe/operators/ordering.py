@@ -43,7 +43,11 @@ def sort_stored(df: DataFrame, order: Sequence[str]) -> DataFrame:
     place of a row in the copy is the last sort key: it never changes, and it lets the sort split rows that are
     equal in ``order`` over several tasks.
     """
-    stored = scratch.store(df, "unsorted")
+    return sort_placed(scratch.store(df, "unsorted"), order)
+
+
+def sort_placed(stored: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The same for a table that is stored already: a plain read of Parquet files, sorted without another copy."""
     meta = F.col("_metadata")
     placed = stored.select(
         *[col(c) for c in stored.columns], meta["file_name"].alias("_file"), meta["row_index"].alias("_row")

@@ -59,36 +59,21 @@ def plan_patterns(paths: DataFrame, base: Sequence[str] = BASE_PATTERNS) -> Data
 def pattern_sizes(patterns: DataFrame, files: DataFrame) -> DataFrame:
     """``pattern, files, bytes``; a pattern with a star stands for every path that starts like it.
 
-    Plain paths are an equi join. Only the starred ones, given by hand, are compared as prefixes: by the file's
-    leading folders, so this is an equi join too and no pattern meets every file.
+    A file is listed under its path and under its beginnings of the lengths that starred patterns have (they are given by
+    hand, so there are few), and files are added up under these keys before patterns look up theirs. So every pattern is
+    one equal key, a folder that holds most files is no hot one, and the patterns are planned once.
     """
     starred = F.col("pattern").contains("*")
-    stem = F.substring_index("pattern", "*", 1)
-    listing = files.select(F.col("path").alias("_path"), F.col("length").alias("_length"))
-    # a prefix ends at its last slash; what follows is compared with startswith
-    folder = F.regexp_extract(stem, r"^(.*/)?", 0)
-    wanted = patterns.select("pattern", starred.alias("_starred"), stem.alias("_stem"), folder.alias("_folder"))
-    parts = F.split("_path", "/")
-    folders = F.transform(
-        F.sequence(F.lit(0), F.size(parts) - 1),
-        lambda depth: F.when(depth == 0, F.lit("")).otherwise(
-            F.concat(F.array_join(F.slice(parts, F.lit(1), depth), "/"), F.lit("/"))
-        ),
-    )
-    exact = (
-        wanted.where(~F.col("_starred"))
-        .join(listing, F.col("pattern") == F.col("_path"))
-        .select("pattern", "_length")
-    )
-    spread = listing.select("_path", "_length", F.explode(folders).alias("_in"))
-    below = (
-        wanted.where(F.col("_starred"))
-        .join(spread, (F.col("_folder") == F.col("_in")) & F.col("_path").startswith(F.col("_stem")))
-        .select("pattern", "_length")
-    )
-    found = exact.unionAll(below).groupBy("pattern").agg(F.count(F.lit(1)).alias("files"), F.sum("_length").alias("bytes"))
-    return patterns.select("pattern").join(found, "pattern", "left").select(
-        "pattern", F.coalesce("files", F.lit(0)).alias("files"), "bytes"
+    key = F.substring_index("pattern", "*", 1)
+    lengths = sorted(r["n"] for r in patterns.where(starred).select(F.length(key).alias("n")).distinct().collect())
+    path = F.col("path")
+    keys = [F.struct(F.lit(False).alias("_prefix"), path.alias("_key"))]
+    keys += [F.struct(F.lit(True).alias("_prefix"), F.when(F.length(path) >= n, F.left(path, F.lit(n))).alias("_key")) for n in lengths]
+    listed = files.select(F.col("length").alias("_length"), F.inline(F.array(*keys))).where("_key is not null")
+    totals = listed.groupBy("_prefix", "_key").agg(F.count(F.lit(1)).alias("_files"), F.sum("_length").alias("bytes"))
+    on = (starred == F.col("_prefix")) & (key == F.col("_key"))
+    return patterns.select("pattern").join(totals, on, "left").select(
+        "pattern", F.coalesce("_files", F.lit(0)).alias("files"), "bytes"
     )
 
 
