@@ -3,8 +3,8 @@
 Base kinds, leftmost and non-overlapping within each kind: ``assign`` (a named value of 8 or more characters),
 ``access`` (an access key id of 16 or more), ``hex`` (32 or more digits). The method adds kinds that are reported only
 after decoding: ``jwt`` (three base64url parts, the first a JSON object with an ``alg``, the second a JSON object),
-``pem`` (a key block whose body decodes to nested DER, an OpenSSH key or a PKCS8 container) and ``key`` (a base64 or hex
-run that decodes to a DER structure whose lengths nest exactly, or to an SSH key blob). A base64 run is taken whole, in
+``pem`` (a key block whose body decodes to nested DER, an OpenSSH key or a PKCS8 container, or an encrypted block that
+names its cipher and start value) and ``key`` (a base64 or hex run that decodes to a DER structure whose lengths nest exactly, or to an SSH key blob). A base64 run is taken whole, in
 both alphabets together; if it is no key, its parts of one alphabet are tried. Lines of base64 that follow one another,
 all but the last of one length, are tried joined, also when quoted by a mark or indented. Spans are code points, the
 end exclusive.
@@ -32,8 +32,12 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # equal to all runs of [0-9a-f]+ of 32 and more: a run is never entered half-way
 
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+#: parts of one base64url alphabet with dots between them; a match is never entered half-way
+DOTTED = re.compile(r"[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+){2,}+")
 PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*(?:PRIVATE KEY|PUBLIC KEY|CERTIFICATE))-----([A-Za-z0-9+/=\s]*)-----END \1-----")
+ENCRYPTED = re.compile(
+    r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----\s*Proc-Type: 4,ENCRYPTED\s*DEK-Info: [A-Z0-9-]+,([0-9A-Fa-f]{16,})\s([A-Za-z0-9+/=\s]*)-----END \1-----"
+)
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 PARTS = (re.compile(r"[A-Za-z0-9+/]{32,}={0,2}"), re.compile(r"[A-Za-z0-9_-]{32,}={0,2}"))
 #: a run of base64 up to the end of its line, and a following line that begins with one
@@ -120,6 +124,12 @@ def is_key(data: bytes | None) -> bool:
     return bool(data) and (is_der_key(data) or is_ssh_key(data))
 
 
+def _is_cipher_text(body: str) -> bool:
+    """Whole blocks of eight bytes."""
+    data = from_base64(body)
+    return bool(data) and len(data) % 8 == 0
+
+
 def _json_object(part: str) -> dict | None:
     data = from_base64(part)
     try:
@@ -129,12 +139,71 @@ def _json_object(part: str) -> dict | None:
     return value if isinstance(value, dict) else None
 
 
-def is_signed_token(token: str) -> bool:
-    header, claims, signature = token.split(".")
-    head = _json_object(header)
-    if head is None or not isinstance(head.get("alg"), str) or _json_object(claims) is None:
-        return False
-    return (head["alg"].lower() == "none") == (signature == "") and from_base64(signature) is not None
+#: one lexical part of JSON
+_JSON_PART = re.compile(r'[\x20\t\r\n]*+(?:([{\[])|([}\]])|[,:]|"(?:[^"\\\x00-\x1f]|\\.)*+"|[-+0-9.eE]++|true|false|null)')
+
+
+def _closes(text: str, at: int) -> tuple[bool, int]:
+    """Whether the brackets that open at ``at`` close again, and how far the text was read for that."""
+    depth = 0
+    while part := _JSON_PART.match(text, at):
+        at = part.end()
+        depth += 1 if part[1] else -1 if part[2] else 0
+        if depth == 0:
+            return True, at
+    return False, at
+
+
+def _header_start(part: str) -> int | None:
+    """The first place in ``part`` from which it decodes to one JSON object with an ``alg``, up to the part's end.
+
+    Each of the four ways to group the characters is decoded once. An object that does not close, or closes early, rules
+    out all objects begun inside what was read, so nothing is read twice. (An object written inside a JSON string that
+    does not end is not looked for.)
+    """
+    found = None
+    for skip in range(min(4, len(part))):
+        data = from_base64(part[skip:])
+        if data is None or not data.endswith(b"}"):
+            continue
+        text, at = data.decode("latin-1"), 0
+        while (at := text.find("{", at)) >= 0:
+            if at % 3:
+                at += 1
+                continue
+            closed, end = _closes(text, at)
+            if closed and end == len(text):
+                start = skip + at // 3 * 4
+                head = _json_object(part[start:])
+                if head is not None and isinstance(head.get("alg"), str) and (found is None or start < found):
+                    found = start
+                break
+            at = max(end, at + 1)
+    return found
+
+
+_FIRST = tuple("eICD")
+
+
+def signed_tokens(text: str) -> list[tuple[int, int]]:
+    """Spans of tokens: a header with an ``alg``, claims that are an object, and a signature unless the ``alg`` is none."""
+    found = []
+    for m in DOTTED.finditer(text):
+        parts, start, k = m[0].split("."), m.start(), 0
+        places = [start]
+        for part in parts:
+            places.append(places[-1] + len(part) + 1)
+        while k + 2 < len(parts):
+            claims, signature = parts[k + 1], parts[k + 2]
+            # "{" or white space comes first in the claims
+            begin = _header_start(parts[k]) if claims[:1] in _FIRST and _json_object(claims) is not None else None
+            if begin is not None and from_base64(signature) is not None:
+                plain = _json_object(parts[k][begin:])["alg"].lower() == "none"
+                if plain == (signature == ""):
+                    found.append((places[k] + begin, places[k + 2] + len(signature)))
+                    k += 2
+            k += 1
+    return found
 
 
 def _whole_or_parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
@@ -196,11 +265,12 @@ def wrapped_keys(text: str) -> list[tuple[int, int]]:
 def confirmed_spans(text: str) -> list[Span]:
     """Spans whose decoded content has the structure of a key or a signed token."""
     found = []
-    if "eyJ" in text:
-        found += [(m.start(), 3, m.end()) for m in JWT.finditer(text) if is_signed_token(m[0])]
+    if "." in text:
+        found += [(a, 3, b) for a, b in signed_tokens(text)]
     blocks = []
     if "-----BEGIN " in text:
         blocks = [(m.start(), 4, m.end()) for m in PEM.finditer(text) if is_key(from_base64(m[2]))]
+        blocks += [(m.start(), 4, m.end()) for m in ENCRYPTED.finditer(text) if len(m[2]) % 2 == 0 and _is_cipher_text(m[3])]
     joined = wrapped_keys(text) if "\n" in text else []
     spots = [(a, 5, b) for m in BASE64.finditer(text) for a, b in _whole_or_parts(text, m.start(), m.end())]
     spots = [s for s in spots if not any(a <= s[0] < b for a, b in joined)] + [(a, 5, b) for a, b in joined]

@@ -1,6 +1,8 @@
 import base64
 import json
 import random
+import re
+import time
 
 import brute
 
@@ -72,6 +74,60 @@ def test_unconfirmed_candidates_are_not_reported():
     assert _kinds("-----BEGIN RSA PRIVATE KEY-----\nnothing\n-----END RSA PRIVATE KEY-----") == []
 
 
+def _plain_tokens(text):
+    """Every place of a header tried, by the json module alone."""
+    found = []
+    for run in re.finditer(r"[A-Za-z0-9_.-]+", text):
+        parts, at, k = run[0].split("."), run.start(), 0
+        starts = [at + sum(len(p) + 1 for p in parts[:n]) for n in range(len(parts))]
+        while k + 2 < len(parts):
+            for skip in range(len(parts[k])):
+                head, claims = S._json_object(parts[k][skip:]), S._json_object(parts[k + 1])
+                if head and isinstance(head.get("alg"), str) and claims is not None and S.from_base64(parts[k + 2]) is not None:
+                    if (head["alg"] == "none") == (parts[k + 2] == ""):
+                        found.append((starts[k] + skip, starts[k + 2] + len(parts[k + 2])))
+                        k += 2
+                    break
+            k += 1
+    return found
+
+
+def test_tokens_against_plain_version():
+    rng = random.Random(8)
+    encode = lambda t: base64.urlsafe_b64encode(t.encode()).rstrip(b"=").decode()
+    heads = ['{"alg":"HS256"}', '{ "alg":"RS256"}', '{\n "alg": "ES256",\n "typ": "JWT"}', '{"jwk":{"kty":"RSA"},"alg":"x"}', '{"alg":"none"}',
+             '{"typ":"JWT"}', '{"alg":1}', '[{"alg":"x"}]', '{"a":"{","alg":"x"}', '{"alg":"x"}}', "{}"]
+    claims = ['{"sub":"1"}', "{}", "[]", '{\r\n}', "x"]
+    total = 0
+    for _ in range(3000):
+        bits = []
+        for _ in range(rng.randrange(1, 4)):
+            token = ".".join([encode(rng.choice(heads)), encode(rng.choice(claims)), rng.choice(["", "c2lnbmF0dXJl", "AAAAA"])])
+            bits += [rng.choice(["", "x", "ab-", "eyJ", " ", "token:", "a.b."]), token, rng.choice(["", ".", ". Then", ".abc", "\n"])]
+        text = "".join(bits)
+        want = _plain_tokens(text)
+        total += len(want)
+        assert S.signed_tokens(text) == want, text
+    assert total > 300
+
+
+def test_encrypted_blocks():
+    body = base64.b64encode(bytes(range(64))).decode()
+    block = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{'0A' * 16}\n\n{body}\n-----END RSA PRIVATE KEY-----"
+    assert [s for s in S.confirmed_spans(f"key:\n{block}\n") if s[1] == 4] == [(5, 4, 5 + len(block))]
+    assert not [s for s in S.confirmed_spans(block.replace(body, body[:-4])) if s[1] == 4]  # no whole blocks
+    assert not [s for s in S.confirmed_spans(block.replace("DEK-Info", "Info")) if s[1] == 4]
+
+
+def test_time_is_linear_in_the_text():
+    header = base64.urlsafe_b64encode(b'{"a{' * 200_000 + b"}").rstrip(b"=").decode()
+    nested = base64.urlsafe_b64encode(b'{"":' * 200_000 + b"}").rstrip(b"=").decode()
+    for text in ("eyJ" * 600_000, f"{header}.e30.", f"{nested}.e30.", "-----BEGIN " * 150_000):
+        begun = time.monotonic()
+        assert S.confirmed_spans(text) == []
+        assert time.monotonic() - begun < 5
+
+
 def test_base_patterns_against_plain_version():
     rng = random.Random(4)
     bits = ["password", "PassWd", "secret", "api_key", "APIKEY", "tok\u212aen", "token", '"', "'", " ", ":", "=", "abc", "AKIA", "Z9", "0af", "é", "\n"]
