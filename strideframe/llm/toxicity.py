@@ -9,12 +9,14 @@ The lexicon and its weights are learnt from labelled rows only, in one aggregate
 word beginning (``BEGINNINGS`` letters) is counted in toxic and other documents. A word or beginning joins the listed
 insults when ``LEAST_SUPPORT`` toxic documents hold it, its smoothed log-odds reach ``LEAST_ODDS``, and a Chernoff bound
 on its count, times the number of terms tested, is at most ``FALSE_TERMS``, so about that many are expected by chance
-at any size. The ``LEXICON`` terms with the most evidence are kept, which bounds what a task holds. The weight of a term
+at any size. The evidence alone decides, and every such term is kept; every task holds them all, so their number is checked
+against ``MOST_TERMS`` (about 100 bytes each) and a greater one is an error that asks for more support. The weight of a term
 is its log-odds; a listed term never seen in training keeps ``PRIOR``. A logistic regression on the summed clause weights
 of each label gives the score. It is fitted on about ``FIT_ROWS`` rows (all, if fewer), by hash of the id.
 Labels, language, source and id are never inputs of a score.
 
-Copies of a text count as often as they are labelled. Nulls and repeats: a null or empty text has no clauses and gets the base score; a row without id is not held out and
+Copies of a text count as often as they are labelled. Of terms of one weight in a clause, the one with the greatest label
+number counts. A text of any length is read whole, in one task. Nulls and repeats: a null or empty text has no clauses and gets the base score; a row without id is not held out and
 takes no part in training; rows with a null label are not used; a document labelled twice counts for each label row.
 """
 
@@ -39,7 +41,7 @@ PREDICT_AT = 0.7
 
 BEGINNINGS = range(3, 9)
 LEAST_SUPPORT, LEAST_ODDS, FALSE_TERMS = 3, 2.0, 1.0
-LEXICON = 20_000
+MOST_TERMS = 2_000_000
 #: terms a task counts, and words it remembers, before it starts anew
 COUNTED = 200_000
 
@@ -110,8 +112,8 @@ _FORWARD = compose(compose(compose(core(), scope(TARGET, TARGET_SCOPE)), scope(N
 _BACKWARD = scope(TARGET, TARGET_SCOPE)[1]
 
 #: labels of a match: core kind x context; a reported or negated match is no longer told apart by its target
-#: a learnt term reads as an insult, but has one label of its own: it is less sure, and its contexts would be too rare
-LABELS = tuple(f"{kind}_{context}" for kind in ("insult", "threat") for context in ("bare", "target", "negated", "reported")) + ("learnt",)
+#: a learnt term reads as an insult, but is less sure, so its matches have labels of their own
+LABELS = tuple(f"{kind}_{context}" for kind in ("insult", "threat", "learnt") for context in ("bare", "target", "negated", "reported"))
 
 
 class Lexicon:
@@ -168,7 +170,7 @@ def matches(text: str, lexicon: Lexicon = _LISTED) -> list[list[tuple[int, int]]
         if found:
             context = 3 if told else 2 if negated else 1 if target or ahead[k] else 0
             term = terms[tokens[k]]
-            clause.append((term, 8 if term >= len(TERMS) else context + (4 if found == THREAT else 0)))
+            clause.append((term, context + (8 if term >= len(TERMS) else 4 if found == THREAT else 0)))
         elif kind in (CLAUSE, SENTENCE) and clause:
             clauses.append(clause)
             clause = []
@@ -231,10 +233,10 @@ def learn(training: DataFrame) -> Lexicon:
     score = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
     fresh = tested.where(F.col("term").isNotNull() & ~listed)
     least = math.log(max(1, fresh.count()) / FALSE_TERMS)
-    found = (
-        fresh.where((own > base) & (score >= LEAST_ODDS) & (evidence >= least))
-        .orderBy(evidence.desc(), "term").limit(LEXICON).collect()
-    )
+    proven = fresh.where((own > base) & (score >= LEAST_ODDS) & (evidence >= least))
+    if proven.count() > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} learnt terms: raise LEAST_SUPPORT or LEAST_ODDS")
+    found = sorted(proven.collect(), key=lambda r: r["term"])
     # a beginning with no more support than one of its words says nothing that the word does not
     words = {t: r["bad"] for t, r in seen.items()} | {r["term"]: r["bad"] for r in found if not r["term"].endswith("*")}
     single: dict[str, int] = {}
@@ -299,16 +301,19 @@ def score_texts(
     """Per row: ``id, held_out, score, predicted``. ``labels`` has the id and ``toxic``; ``held_out`` is a condition on ``id``."""
     known = labels.where("toxic in (0, 1)").select(id, F.col("toxic").cast("int").alias("toxic"))
     usable = docs.where(~F.coalesce(held_out, F.lit(False)))
-    lexicon = learn(usable.select(F.col(id), F.col(text).alias("text")).join(known, id))
+    # texts meet their labels by shuffle at every size: the list of labels grows with the documents
+    lexicon = learn(usable.select(F.col(id), F.col(text).alias("text")).join(known.hint("merge"), id))
     rows = scratch.store(features(docs, lexicon, id, text), "features")
     marked = rows.withColumnRenamed("id", id).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     training = scratch.store(
-        marked.where(~F.col("held_out")).join(known, id).select(F.col(id).alias("id"), "x", "toxic"), "training"
+        marked.where(~F.col("held_out")).join(known.hint("merge"), id).select(F.col(id).alias("id"), "x", "toxic"), "training"
     )
     share = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * training.count() < fit_rows
-    got = training.where(share).select("x", "toxic").orderBy("x", "toxic").toPandas()
+    got = training.where(share).select("x", "toxic").toPandas()
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(LABELS))
-    beta = fit(x, got["toxic"].to_numpy(float))
+    y = got["toxic"].to_numpy(float)
+    order = np.lexsort((y, *x.T))  # sums in one order, so that reruns agree
+    beta = fit(x[order], y[order])
     total = F.lit(float(beta[-1]))
     for n in range(len(LABELS)):
         total = total + F.get("x", F.lit(n)) * float(beta[n])
