@@ -138,11 +138,13 @@ from w left join left_over l on l.doc_id = w.doc_id
 
 
 def _tests() -> str:
-    return ", ".join(
-        f"{{'measure': '{m}', 'rank': {k}, 'cutoff': {float(c)}::double, 'hit': ({m} > {float(c)}::double)::int}}"
-        for m, cuts in quality.MEASURES.items()
-        for k, c in enumerate(cuts)
-    )
+    rules = (" or ".join(f"{m} > {float(c)}::double" for m, c in rule.items()) for rule in quality.STEPS)
+    return ", ".join(f"{{'step': {k}, 'hit': ({rule})::int}}" for k, rule in enumerate(rules))
+
+
+def _limit(measure: str) -> str:
+    values = ", ".join(f"{float(r[measure])}::double" if measure in r else "null" for r in quality.STEPS)
+    return f"list_extract([{values}], accepted) as {measure}_cutoff"
 
 
 OP9 = f"""
@@ -155,7 +157,7 @@ with w as (
 ), twice as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, piece) as n from win) where n > 1),
 repeated as (select doc_id, count(distinct k) as n from (select doc_id, unnest(range(i, i + 5)) as k from twice) group by doc_id),
 m as (
-  select w.doc_id, lang, len(words)::bigint as n_words, length(array_to_string(words, ''))::bigint as word_chars,
+  select w.doc_id, lang, w.text, len(words)::bigint as n_words, length(array_to_string(words, ''))::bigint as word_chars,
     len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
     coalesce(r.n, 0)::bigint as n_repeat_words, len(lines) as n_lines
   from w left join repeated r on r.doc_id = w.doc_id
@@ -166,22 +168,17 @@ m as (
     case when n_words > 0 then n_repeat_words / n_words else 0 end as repeat_ratio,
     case when n_words > 0 then word_chars / n_words else 0 end as mean_word_chars
   from m
-), good as (select q.* from q join labels l using (doc_id) where l.quality = 1 and not base_failed),
-tests as (
-  select lang, t.measure, t.rank, t.cutoff, count(*) as n, sum(t.hit) as x from (select lang, unnest([{_tests()}]) as t from good)
-  group by all
+), good as (
+  select distinct lang, text, {", ".join(quality.MEASURES)} from q join labels l using (doc_id) where l.quality = 1 and not base_failed
+), tests as (
+  select lang, t.step, count(*) as n, sum(t.hit) as x from (select lang, unnest([{_tests()}]) as t from good) group by all
 ), tested as (
-  select *, x >= n or list_sum(list_transform(range(0, x::bigint + 1), lambda k: exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
+  select *, x < n and list_sum(list_transform(range(0, x::bigint + 1), lambda k: exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
       + k * ln({quality.ALPHA}) + (n - k) * ln(1 - {quality.ALPHA}))))
-    <= {quality.DELTA} / (greatest(1, (select count(distinct lang) from q)) * {len(quality.MEASURES)}) as ok from tests
+    <= {quality.DELTA} / greatest(1, (select count(distinct lang) from q)) as ok from tests
 ), fixed as (
-  select lang, measure, min(cutoff) as cutoff from tested t
-  where x < n and rank < coalesce((select min(rank) from tested u where u.lang = t.lang and u.measure = t.measure
-    and not (u.ok and u.x < u.n)), 1000)
-  group by all
-), limits as (
-  select lang, {", ".join(f"min(cutoff) filter (where measure = '{m}') as {m}_cutoff" for m in quality.MEASURES)} from fixed group by lang
-)
+  select lang, coalesce(min(step) filter (where not ok), {len(quality.STEPS)})::int as accepted from tested group by lang
+), limits as (select lang, {", ".join(_limit(m) for m in quality.MEASURES)} from fixed where accepted > 0)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and not ({" or ".join(f"coalesce({m} > {m}_cutoff, false)" for m in quality.MEASURES)}) as kept
 from q left join limits using (lang)

@@ -1,22 +1,23 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame functions only.
 
-Base rules look at a document alone. The method adds cutoffs on four ratios (``MEASURES``). For each stratum (language)
-and measure, cutoffs from strict to stricter are tried on the labelled documents: cutoff c would reject x of the n good
-ones, and it is accepted when P(Binomial(n, alpha) <= x) <= delta / m, the exact test that the false-rejection rate is
-below alpha. Testing stops at the first cutoff that fails (a fixed sequence needs no further correction); m is the
-number of strata times measures (Bonferroni). With probability 1 - delta no accepted cutoff rejects more than a share
-``alpha`` of the good documents of any stratum. Too few labels accept nothing, so nothing is rejected.
+Base rules look at a document alone. The method adds cutoffs on four ratios (``MEASURES``). A rule is one cutoff for each
+measure, and rejects a document that is above any. For each stratum (language) the rules of ``STEPS``, each stricter than
+the one before in one measure, are tried on the labelled documents: a rule would reject x of the n good ones, and it is
+accepted when P(Binomial(n, alpha) <= x) <= delta / strata, the exact test that its false-rejection rate is below alpha.
+Testing stops at the first rule that fails (a fixed sequence needs no correction of its own; the strata share delta by
+Bonferroni). With probability 1 - delta the accepted rule of no stratum rejects more than a share ``alpha`` of its good
+documents, over all measures together. Too few labels accept nothing, so nothing is rejected.
 
-All labelled good documents are counted, at every size: an aggregate of one row for each stratum.
+All labelled good documents are counted, at every size, copies of a text once: an aggregate of one row for each stratum.
 
 Nulls and repeats: null text has no words and fails the base rules; a null language is a stratum of its own; documents
-without label or with a null label take no part in the tests; a document labelled twice counts once for each label row.
-Repeated documents are judged alike. Columns of the same name as a measure are not touched: only the named ones are read.
+without label or with a null label take no part in the tests; a text labelled more than once counts once in its stratum.
+Whole texts are judged, a text of any length in one row (its words must fit a task some thirty times over). Repeated documents are judged alike. Columns of the same name as a measure are not touched: only the named ones are read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strideframe.sources import scratch
@@ -37,6 +38,13 @@ MEASURES = {
     "mean_word_chars": (40.0, 30.0, 20.0, 15.0, 12.0, 10.0, 8.0),
 }
 
+#: the rules in the order they are tested: measure -> cutoff, one measure stricter at each step
+STEPS = tuple(
+    {name: MEASURES[name][rank if k <= at else rank - 1] for k, name in enumerate(MEASURES) if k <= at or rank}
+    for rank in range(7)
+    for at in range(len(MEASURES))
+)
+
 
 #: names of the work columns; an input column of such a name is replaced, all others are kept
 WORK = ("quality_measures", "quality_stratum", "quality_limits", "quality_base_failed", "quality_kept")
@@ -85,7 +93,8 @@ def _repeated(words: Column) -> Column:
 
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a struct ``quality_measures``: ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines``."""
+    """``docs`` with a struct ``quality_measures``: ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines``
+    and ``digest``, that of the text."""
     full = F.coalesce(F.col(text), F.lit(""))
     words = F.filter(F.split(full, SPACES), lambda w: w != "")
     lines = F.filter(F.split(full, "\n"), lambda x: x.rlike(WORDS))
@@ -98,6 +107,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
             (F.size(s["l"]) - F.size(F.array_distinct(s["l"]))).cast("long").alias("n_dup_lines"),
             _repeated(s["w"]).cast("long").alias("n_repeat_words"),
             F.size(s["l"]).cast("long").alias("n_lines"),
+            F.md5(full.cast("binary")).alias("digest"),
         ),
     )
     return docs.withColumn("quality_measures", q)
@@ -138,24 +148,20 @@ def cutoffs(good: DataFrame, strata: int, alpha: float = ALPHA, delta: float = D
 
     More than alpha * n + 1 hits lie above the median of the binomial, so they fail at once and nothing is summed for them.
     """
-    ranked = [(name, rank, value) for name, values in MEASURES.items() for rank, value in enumerate(values)]
-    hits = good.groupBy("stratum").agg(
-        F.count("*").alias("n"), *[F.count_if(F.col(name) > value).alias(f"x_{name}_{rank}") for name, rank, value in ranked]
-    )
-    tests = [
-        F.struct(F.lit(name).alias("measure"), F.lit(rank).alias("rank"), F.lit(value).alias("cutoff"), F.col(f"x_{name}_{rank}").alias("x"))
-        for name, rank, value in ranked
-    ]
+
+    def rejects(rule: dict[str, float]) -> Column:
+        return F.greatest(*[F.col(name) > value for name, value in rule.items()], F.lit(False))
+
+    hits = good.groupBy("stratum").agg(F.count("*").alias("n"), *[F.count_if(rejects(r)).alias(f"x{k}") for k, r in enumerate(STEPS)])
+    tests = [F.struct(F.lit(k).alias("step"), F.col(f"x{k}").alias("x")) for k in range(len(STEPS))]
     counted = hits.select("stratum", "n", F.inline(F.array(*tests)))
     possible = F.col("x") <= alpha * F.col("n") + 1
     summed = F.when(possible, F.col("x")).otherwise(F.lit(0).cast("long"))
-    tested = counted.withColumn(
-        "ok", possible & (binomial_cdf(summed, F.col("n"), alpha) <= F.lit(delta / max(1, strata * len(MEASURES))))
-    )
-    stop = F.coalesce(F.min(F.when(~F.col("ok"), F.col("rank"))).over(Window.partitionBy("stratum", "measure")), F.lit(1 << 20))
-    accepted = tested.withColumn("stop", stop).where("rank < stop")
-    return accepted.groupBy("stratum").agg(
-        *[F.min(F.when(F.col("measure") == name, F.col("cutoff"))).alias(f"{name}_cutoff") for name in MEASURES]
+    ok = possible & (binomial_cdf(summed, F.col("n"), alpha) <= F.lit(delta / max(1, strata)))
+    accepted = counted.groupBy("stratum").agg(F.coalesce(F.min(F.when(~ok, F.col("step"))), F.lit(len(STEPS))).alias("accepted"))
+    value = lambda name: F.array(*[F.lit(r.get(name)).cast("double") for r in STEPS])
+    return accepted.where("accepted > 0").select(
+        "stratum", *[F.get(value(name), F.col("accepted") - 1).alias(f"{name}_cutoff") for name in MEASURES]
     )
 
 
@@ -163,10 +169,10 @@ def limits_of(
     measured: DataFrame, labels: DataFrame, id: str, stratum: str, alpha: float, delta: float
 ) -> DataFrame:
     """The accepted cutoffs of each stratum, stored, from documents with ``quality_measures`` and their labels."""
-    narrow = measured.select(F.col(id).alias("id"), _stratum(stratum).alias("stratum"), "quality_measures")
+    narrow = measured.select(F.col(id).alias("id"), _stratum(stratum).alias("stratum"), "quality_measures", "quality_measures.digest")
     ratios = narrow.withColumns({name: make() for name, make in RATIOS.items()})
     good = labels.where("quality = 1").select(F.col(id).alias("id"))
-    labelled = ratios.where(~base_failed()).join(good, "id")
+    labelled = ratios.where(~base_failed()).join(good, "id").dropDuplicates(["stratum", "digest"])
     strata = narrow.agg(F.count_distinct("stratum")).first()[0]
     return scratch.store(cutoffs(labelled, strata, alpha, delta), "cutoffs")
 
