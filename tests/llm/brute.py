@@ -64,3 +64,49 @@ def base_spans(text):
 
 def base_digest(text):
     return hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base_spans(text)).encode()).hexdigest()
+
+
+def item_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def contamination(docs, items, size):
+    """[(id, words, hit, items, ids)] in the order of ``docs``."""
+    windows = {}
+    for item, text in items:
+        words = item_words(text)
+        n = min(size, len(words))
+        for i in range(len(words) - n + 1) if n else ():
+            windows.setdefault(tuple(words[i : i + n]), set()).add(item)
+    out = []
+    for i, text in docs:
+        words, hit, named = item_words(text), set(), set()
+        for n in {len(w) for w in windows}:
+            for s in range(len(words) - n + 1):
+                found = windows.get(tuple(words[s : s + n]))
+                if found:
+                    hit |= set(range(s, s + n))
+                    named |= found
+        ids = sorted(str(x) for x in named if x is not None)
+        out.append((i, len(words), len(hit), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(hit)))
+    return out
+
+
+def runs(words, exponent, length):
+    """[(start, end, period)]: every maximal stretch for every period, the smallest period of equal stretches."""
+    best = {}
+    for q in range(1, len(words) // exponent + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j - i >= (exponent - 1) * q and j - i + q >= length:
+                best.setdefault((i, j + q), q)
+            i = max(j, i + 1)
+    return sorted(((s, e, q) for (s, e), q in best.items()), key=lambda r: (r[0], r[2]))
+
+
+def without_runs(words, found):
+    gone = {k for s, e, q in found for k in range(s + q, e)}
+    return " ".join(w for k, w in enumerate(words) if k not in gone)
