@@ -10,7 +10,6 @@ partitioning. A long episode is many cells, and exact copies of a frame collapse
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -163,17 +162,18 @@ def attach_statistics(anchors: DataFrame, frames: DataFrame, grid: AnchorGrid) -
 
 def window_gaps(anchors: DataFrame, frames: DataFrame, grid: AnchorGrid) -> DataFrame:
     """Every frame of every sample's windows with the step in time before it; copies are listed one by one."""
-    rows = window_frames(frames, grid)
     samples = anchors.selectExpr("sample_id", "episode", "anchor_frame as anchor").distinct()
-    listed = [
-        rows.where(f"in_{role}").selectExpr(
-            "episode", "anchor", f"'{role}' as role", "frame", "ts", f"{step_in_window(grid, role)} as step",
-            "explode(sequence(1, cast(copies as int))) as copy",
-        )
-        for role in grid.window.roles
-    ]
+    # a frame may lie in both windows of an anchor; both entries come from the one sorted row
+    entries = [
+        f"case when in_{role} then named_struct('role', '{role}', 'step', {step_in_window(grid, role)}) end" for role in grid.window.roles
+    ]
+    listed = (
+        window_frames(frames, grid)
+        .selectExpr("episode", "anchor", "frame", "ts", "copies", f"inline(filter(array({', '.join(entries)}), x -> x is not null))")
+        .selectExpr("*", "explode(sequence(1, cast(copies as int))) as copy")
+    )
     gap = "case when copy = 1 then step when ts is not null then 0D end"
-    return samples.join(reduce(DataFrame.union, listed), ["episode", "anchor"]).selectExpr(
+    return samples.join(listed, ["episode", "anchor"]).selectExpr(
         "sample_id",
         "role",
         "frame as window_frame",
