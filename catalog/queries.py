@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 import functools
 import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from catalog import builds, tables
 from catalog import fixtures as X
 from strideframe.config import EpisodeFilter, FrameManifestConfig, WindowSpec
-from strideframe.functions.columns import col, normalize_columns
+from strideframe.functions.columns import col, normalize_columns, require_columns
 from strideframe.functions.paths import shard_path
 from strideframe.operators import annotations as A
 from strideframe.operators import checks as C
@@ -1552,3 +1553,82 @@ _DOCUMENT_ROWS = [
 )
 def build_documents(spark, sf):
     return builds.documents(spark, sf)
+
+
+_PRIORITY_SQL = f"""with {X.FC_SQL}, {X.TK_SQL}, eps as (select episode_index, count(*) as length from fc where episode_index is not null group by 1)"""
+
+
+def _metadata_snapshots(spark, sf: str) -> dict[str, str]:
+    """Three snapshots: Parquet metadata beside wrong JSON lines, JSON lines alone, and none."""
+    episodes = derive_episodes(of(spark, sf, "turns")).select("episode_index", F.col("length").alias("Frame Length"))
+    tasks = of(spark, sf, "tasks")
+    wrong = episodes.withColumn("Frame Length", F.lit(-1))
+    places = {kind: scratch.new_path(spark, f"priority-{kind}") for kind in ("parquet", "lines", "none")}
+    episodes.write.parquet(f"{places['parquet']}/meta/episodes/chunk-000")
+    tasks.write.parquet(f"{places['parquet']}/meta/tasks.parquet")
+    for kind, rows in (("parquet", wrong), ("lines", episodes)):
+        rows.write.json(f"{places[kind]}/meta/episodes.jsonl")
+        tasks.where("task_index < 3").write.json(f"{places[kind]}/meta/tasks.jsonl")
+    return places
+
+
+@register(
+    "episode_source_priority",
+    f"""{_PRIORITY_SQL} select kind, label, episode_index, length from eps
+    cross join (values ('parquet', 'meta/episodes'), ('lines', 'meta/episodes.jsonl'), ('none', 'derived_from_frames')) t(kind, label)""",
+)
+def episode_source_priority(spark, sf):
+    """Episode metadata of three snapshots; Parquet wins over JSON lines, and frames stand in for both."""
+    frames, parts = of(spark, sf, "turns"), []
+    for kind, place in _metadata_snapshots(spark, sf).items():
+        found, label = files.read_episodes(spark, place, frames)
+        length = "frame_length" if "frame_length" in found.columns else "length"
+        require_columns(found, ["episode_index", length])
+        parts.append(found.select(
+            F.lit(kind).alias("kind"), F.lit(label).alias("label"), "episode_index", F.col(length).cast("long").alias("length")
+        ))
+    return functools.reduce(DataFrame.union, parts)
+
+
+@register(
+    "task_source_priority",
+    f"""{_PRIORITY_SQL} select 'parquet' as kind, 'meta/tasks.parquet' as label, cast(task_index as bigint) as task_index, task from tk
+    union all select 'lines', 'meta/tasks.jsonl', task_index, task from tk where task_index < 3 union all select 'none', null, null, null""",
+)
+def task_source_priority(spark, sf):
+    """Task metadata of the same snapshots; a snapshot without any has none."""
+    parts = []
+    for kind, place in _metadata_snapshots(spark, sf).items():
+        found, label = files.read_tasks(spark, place)
+        if found is None:
+            parts.append(literal_table(spark, [(kind, label, None, None)], "kind string, label string, task_index long, task string"))
+        else:
+            require_columns(found, ["task_index", "task"])
+            parts.append(found.select(F.lit(kind).alias("kind"), F.lit(label).alias("label"), "task_index", "task"))
+    return functools.reduce(DataFrame.union, parts)
+
+
+@register(
+    "required_columns",
+    """select t as "table", string_agg(name, ',' order by name) as absent, count(*) filter (where rows = 0) as empty_tables from (
+      select t, name, rows from (values ('documents', (select count(*) from documents)), ('pages', (select count(*) from pages)),
+        ('conversations', (select count(*) from conversations))) x(t, rows)
+      cross join (values ('doc_id'), ('text'), ('turn')) y(name))
+    where not ((t = 'documents' and name in ('doc_id', 'text')) or (t = 'conversations' and name in ('text', 'turn'))) group by t""",
+)
+def required_columns(spark, sf):
+    """What the check on required columns says about three tables."""
+    rows = []
+    for name in ("documents", "pages", "conversations"):
+        found = spark.read.parquet(f"{sf}/{name}.parquet")
+        try:
+            require_columns(found, ["turn", "text", "doc_id"])
+            absent = None
+        except ValueError as error:
+            absent = ",".join(re.findall(r"'(\w+)'", str(error)))
+        totals = found.agg(F.count_if(F.lit(True)).alias("n"))
+        missing = len(absent.split(",")) if absent else 0
+        rows.append(totals.select(
+            F.lit(name).alias("table"), F.lit(absent).alias("absent"), F.when(F.col("n") == 0, missing).otherwise(0).cast("long").alias("empty_tables")
+        ))
+    return functools.reduce(DataFrame.union, rows)
