@@ -97,7 +97,7 @@ def features(docs: DataFrame, id: str = "doc_id", text: str = "text", n_bands: i
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             data, ends = text_buffers(batch.column("text"))
             starts, stops, offsets = H.word_spans(data, ends)
             words = H.word_hashes(data, starts, stops, _SEED, fold_case=True)
@@ -276,6 +276,15 @@ def by_size(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
+def _same_id(usable: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between the classes of an id that has several texts."""
+    texts = usable.select("id", "digest").distinct()
+    several = texts.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    own = texts.join(several, "id").join(classes, "digest")
+    hubs = own.groupBy("id").agg(F.min("rep").alias("a"))
+    return own.join(hubs, "id").select("a", F.col("rep").alias("b")).where("a <> b").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85, miss: float = 1e-6
 ) -> DataFrame:
@@ -291,7 +300,7 @@ def near_duplicates(
     members = scratch.store(spread.join(shared.select("bucket"), "bucket").distinct(), "members")
 
     touched = by_size(members.select(F.col("node").alias("id")).distinct())
-    marks = scratch.store(rows.select("id", "signature").join(touched, "id"), "candidate-signatures")
+    marks = scratch.store(usable.select("id", "signature").join(touched, "id"), "candidate-signatures")
     texts = scratch.store(
         docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(touched, "id"), "candidate-texts"
     )
@@ -300,10 +309,10 @@ def near_duplicates(
         possible = bayes_filter(_attach(pairs, marks, "signature"), percent, miss).distinct()
         return scratch.store(exact_filter(_attach(possible, texts, "text"), percent), "confirmed")
 
-    links = None
+    links = scratch.store(_same_id(usable, classes), "shared-ids")
     for turn in range(PIVOT_ROUNDS + 1):
         open_rows = members.withColumn("component", F.col("node"))
-        if links is not None:
+        if turn:
             labels = components(links)
             open_rows = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         split = open_rows.groupBy("bucket").agg(
@@ -325,7 +334,7 @@ def near_duplicates(
         else:
             rest = open_rows.join(split.select("bucket", "rows", "shingles"), "bucket")
             fresh = scratch.store(block_links(rest, marks.join(texts, "id"), percent, miss), "block-links")
-        links = fresh if links is None else links.union(fresh)
+        links = links.union(fresh)
     labels = components(links).withColumnsRenamed({"node": "rep", "component": "reached"})
     return (
         rows.select("id", "n_shingles", "digest")
@@ -341,12 +350,26 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85, miss: float = 1e-6) -> DataFrame:
-    """``docs`` with one row of each component; rows without id all stay.
+    """``docs`` with the rows of one id of each component; of its rows with equal word sets only one, with the smallest
+    text, stays. Rows without id all stay.
 
     Only rows whose id is dropped somewhere or repeated can go, so only they are looked at again.
     """
     judged = scratch.store(near_duplicates(docs, id, text, percent, miss).where(F.col(id).isNotNull()).select(id, "kept"), "judged")
     doubtful = by_size(judged.groupBy(id).agg(F.bool_and("kept").alias("sure"), F.count("*").alias("n")).where("not sure or n > 1").select(id))
     staying = judged.where("kept").select(id).join(doubtful, id, "left_semi").distinct()
-    again = docs.join(doubtful, id, "left_semi").join(staying, id, "left_semi").dropDuplicates([id])
-    return docs.join(doubtful, id, "left_anti").unionByName(again)
+    again = docs.join(doubtful, id, "left_semi").join(staying, id, "left_semi")
+    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("whole")
+    folded = F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER, _LOWER)
+    words = F.array_remove(F.split(folded, r"[\x20\x09-\x0D]+"), "")
+    last = F.size(words) - (SHINGLE - 1)
+    pieces = F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(words, i, SHINGLE), " "))
+    shingles = F.when(F.size(words) < SHINGLE, F.array(F.array_join(words, " "))).otherwise(F.array_sort(F.array_distinct(pieces)))
+    content = F.sha2(F.array_join(shingles, "\n"), 256).alias("content")
+    one = again.select(F.col(id).alias("own"), content, F.col(text).alias("text"), whole).groupBy("own", "content").agg(
+        F.min_by("whole", F.coalesce("text", F.lit(""))).alias("whole")
+    )
+    return docs.join(doubtful, id, "left_anti").unionByName(one.select("whole.*"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

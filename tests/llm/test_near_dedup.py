@@ -99,3 +99,15 @@ def test_keep_one_takes_pairs_from_80_percent(frame):
 def test_bands_follow_the_threshold(percent):
     assert (1 - (percent / 100) ** N.ROWS) ** N.bands_for(percent) <= 1e-6
     assert N.bands_for(85) == N.BANDS == 24
+
+
+def test_rows_that_share_an_id_share_their_links(frame):
+    a, b = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    rows = [(1, a), (5, a), (5, b), (7, b), (9, "alone here")]
+    got = {(r["doc_id"], r["component_id"]) for r in N.near_duplicates(frame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1), (5, 1), (7, 1), (9, 9)}
+    assert [r["doc_id"] for r in N.keep_one(frame(rows, "doc_id long, text string")).orderBy("doc_id").collect()] == [1, 9]
+    apart = [(5, a, "x"), (5, b, "y"), (5, a.upper(), "z"), (6, b + " more", "w"), (5, None, "n")]
+    kept = N.keep_one(frame(apart, "doc_id long, text string, content string"))
+    assert sorted((r["doc_id"], r["content"]) for r in kept.collect()) == [(5, "n"), (5, "y"), (5, "z")]
+    assert kept.columns == ["doc_id", "text", "content"]
