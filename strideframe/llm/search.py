@@ -7,8 +7,8 @@ Scores are computed in double precision where they are exact (below 2^53), else
 long is reported as the nearest long, after ranking by its exact value.
 
 Nulls and repeats: rows with a null id, a null vector, or a null, NaN or infinite component take no part. Only vectors
-of equal length are compared. Identical repeated rows count once; a query never meets rows of its own id; two vectors
-under one query id each give their own list. Ties go to the smaller id.
+of equal length are compared. Repeated rows are rows of their own, as queries and as candidates; a query never meets rows
+of its own id; each row under a query id gives its own list. Ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -34,19 +34,27 @@ def usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
     x = F.transform(F.col(vector), lambda v: v.cast("double"))
     rows = vectors.select(F.col(id).alias("id"), x.alias("x")).where("id is not null and x is not null")
     bad = F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    return rows.where(~F.coalesce(bad, F.lit(True))).distinct()
+    return rows.where(~F.coalesce(bad, F.lit(True)))
 
 
 def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """Rows packed by vector length and block: ``dim, <name>, ids, data``. Blocks are dealt by hash of id."""
+    """Stored rows packed by vector length and block: ``dim, <name>, ids, data, scaled``.
+
+    Blocks are dealt by a row's place in the stored table, so that repeated rows spread as well. ``data`` holds whole
+    numbers floor(64 x), or x itself (``scaled`` false) where 64 x would pass the largest double.
+    """
     counts = rows.groupBy(F.size("x").alias("dim")).agg(F.count("*").alias("n"))
-    dealt = rows.withColumn("dim", F.size("x")).join(counts, "dim").withColumn(
-        name, F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / size)).cast("int")
+    placed = rows.select("id", "x", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("place"))
+    dealt = placed.withColumn("dim", F.size("x")).join(counts, "dim").withColumn(
+        name, F.pmod(F.col("place"), F.ceil(F.col("n") / size)).cast("int")
     )
 
     def pack(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("id")
-        data = np.floor(table.column("x").combine_chunks().flatten().to_numpy() * SCALE)
+        data = table.column("x").combine_chunks().flatten().to_numpy()
+        scaled = bool(np.abs(data).max(initial=0) < 2.0**1000)
+        if scaled:
+            data = np.floor(data * SCALE)
         ids = table.column("id").to_numpy()
         return pa.table(
             {
@@ -54,17 +62,26 @@ def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
                 name: pa.array([table.column(name)[0].as_py()], pa.int32()),
                 "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
                 "data": pa.array([data.astype(np.float64).tobytes()], pa.binary()),
+                "scaled": pa.array([scaled]),
             }
         )
 
     return dealt.select("dim", name, F.col("id").cast("long").alias("id"), "x").groupBy("dim", name).applyInArrow(
-        pack, f"dim int, {name} int, ids binary, data binary"
+        pack, f"dim int, {name} int, ids binary, data binary, scaled boolean"
     )
 
 
+def _unscaled(data: np.ndarray) -> np.ndarray:
+    """floor(64 x) as Python integers."""
+    return np.array([int(v) * SCALE if abs(v) >= 2.0**60 else int(np.floor(v * SCALE)) for v in data.ravel()], object).reshape(data.shape)
+
+
 def tile_scores(queries: np.ndarray, shard: np.ndarray) -> np.ndarray:
     """Exact inner products: as doubles when no sum can pass 2^53, else as Python integers."""
-    most = (np.abs(queries).max(initial=0) * np.abs(shard).max(initial=0)) * max(1, queries.shape[1])
+    if queries.dtype == object or shard.dtype == object:
+        most = 2**53
+    else:
+        most = (np.abs(queries).max(initial=0) * np.abs(shard).max(initial=0)) * max(1, queries.shape[1])
     if most < 2**53:
         return queries @ shard.T
     whole = lambda m: np.array([[int(v) for v in row] for row in m], object).reshape(m.shape)
@@ -121,9 +138,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id: str = "vec_id",
     tiles = (
         queries.join(counts, "dim")
         .withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("last"))))
-        .select("dim", "block", "shard", F.col("ids").alias("query_ids"), F.col("data").alias("query_data"))
+        .select("dim", "block", "shard", F.col("ids").alias("query_ids"), F.col("data").alias("query_data"), F.col("scaled").alias("query_scaled"))
         .join(shards, ["dim", "shard"])
-        .select("dim", "block", F.col("shard").alias("part"), "query_ids", "query_data", "ids", "data")
+        .select("dim", "block", F.col("shard").alias("part"), "query_ids", "query_data", "query_scaled", "ids", "data", "scaled")
     )
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,6 +152,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id: str = "vec_id",
                     np.frombuffer(tile.column(c)[0].as_py(), np.float64).reshape(n, dim)
                     for c, n in (("query_data", len(own)), ("data", len(other)))
                 )
+                left = left if tile.column("query_scaled")[0].as_py() else _unscaled(left)
+                right = right if tile.column("scaled")[0].as_py() else _unscaled(right)
                 lists = []
                 for a in range(0, len(own), 128):
                     for one, scores in zip(own[a : a + 128], tile_scores(left[a : a + 128], right)):
