@@ -5,6 +5,10 @@ multiples of the stride, so the anchors whose window holds a frame can be comput
 Frames go to cells of neighbouring anchors (with the few frames a cell shares with the next one copied), each cell
 is sorted once to find every frame's predecessor, and the statistics of both windows are one aggregate in the same
 partitioning. A long episode is many cells, and exact copies of a frame collapse before the first shuffle.
+
+All rows of one frame number lie in the same windows, so a frame number with very many different timestamps is summed up
+first: its timestamps are cut into pieces at quantiles, each piece is sorted by itself, and the pieces' edges and steps are
+put together in order. What enters its cell is one row.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from pyspark.sql import functions as F
 
 from strideframe.config import WindowSpec
 from strideframe.functions.integers import floor_div_sql
+from strideframe.sources import scratch
 
 # suffix of a window statistic -> its type
 STATISTICS = {
@@ -65,9 +70,58 @@ class AnchorGrid:
         return f"frame - anchor between {low} and {high}"
 
 
-def window_frames(frames: DataFrame, grid: AnchorGrid) -> DataFrame:
+#: a frame number with more rows than this is summed up before it enters a cell
+HOT_ROWS = 1_000_000
+PIECES = 64
+# a row's own part of a statistic: edges in time order, extremes, and largest and smallest step between its own rows
+_SUMMARY = ["enter", "leave", "low", "high", "wide", "tight"]
+
+
+def frame_summaries(frames: DataFrame, pieces: int = PIECES) -> DataFrame:
+    """``episode, frame, copies`` and ``_SUMMARY`` of every frame number, whatever the number of its timestamps.
+
+    A row without timestamp comes first: it has no step to or from it. ``enter`` is NULL then.
+    """
+    distinct = frames.groupBy("episode", "frame", "ts").agg(F.expr("count(1) as copies"))
+    shares = ", ".join(f"{k / pieces!r}D" for k in range(1, pieces)) or "0.5D"
+    bounds = distinct.groupBy("episode", "frame").agg(F.expr(f"percentile_approx(ts, array({shares}), 10000) as bounds"))
+    cut = distinct.join(bounds, ["episode", "frame"]).selectExpr(
+        "episode", "frame", "ts", "copies", "case when ts is null then -1 else size(filter(bounds, b -> b < ts)) end as piece"
+    )
+    inside = cut.selectExpr(
+        "*", "ts - lag(ts) over (partition by episode, frame, piece order by ts) as step",
+        "case when copies > 1 and ts is not null then 0D end as still",
+    )
+    per_piece = inside.groupBy("episode", "frame", "piece").agg(
+        F.expr("sum(copies) as copies"), F.expr("min(ts) as low"), F.expr("max(ts) as high"),
+        F.expr("max(greatest(step, still)) as wide"), F.expr("min(least(step, still)) as tight"),
+    )
+    across = per_piece.selectExpr("*", "low - lag(high) over (partition by episode, frame order by piece) as step")
+    return across.groupBy("episode", "frame").agg(
+        F.expr("sum(copies) as copies"), F.expr("case when min(piece) >= 0 then min(low) end as enter"), F.expr("max(high) as leave"),
+        F.expr("min(low) as low"), F.expr("max(high) as high"), F.expr("max(greatest(wide, step)) as wide"),
+        F.expr("min(least(tight, step)) as tight"),
+    )
+
+
+def hot_frames(frames: DataFrame, least: int = HOT_ROWS, pieces: int = PIECES) -> DataFrame | None:
+    """The stored summaries of frame numbers with more than ``least`` rows; None when there are none.
+
+    A table of no more than ``least`` rows cannot have any, which Parquet footers tell.
+    """
+    if frames.count() <= least:
+        return None
+    counts = frames.where("episode is not null and frame is not null").groupBy("episode", "frame").agg(F.expr("count(1) as n"))
+    keys = scratch.store(counts.where(F.col("n") > least).select("episode", "frame"), "hot-frames")
+    if keys.isEmpty():
+        return None
+    return scratch.store(frame_summaries(frames.join(keys, ["episode", "frame"], "left_semi"), pieces), "hot-summaries")
+
+
+def window_frames(frames: DataFrame, grid: AnchorGrid, hot: DataFrame | None = None) -> DataFrame:
     """One row per anchor and distinct (frame, timestamp) near it: ``episode, cell, anchor, frame, ts, copies``, whether
-    the frame is in each role's window (``in_<role>``) and the row before it in time order (``prev_frame, prev_ts``).
+    the frame is in each role's window (``in_<role>``), the row before it in time order (``prev_frame, prev_ts``) and its
+    ``_SUMMARY``. Frame numbers with a ``hot`` summary are one row.
     """
     first, last = grid.numbers()
     near = frames.selectExpr("episode", "frame", "ts", f"{first} as first", f"{last} as last").where(
@@ -77,6 +131,14 @@ def window_frames(frames: DataFrame, grid: AnchorGrid) -> DataFrame:
     distinct = near.groupBy("episode", "frame", "ts").agg(
         F.expr("count(1) as copies"), F.expr("min(first) as first"), F.expr("min(last) as last")
     )
+    # copies of one frame are zero steps apart
+    still = "case when copies > 1 and ts is not null then 0D end"
+    single = [f"{value} as {name}" for value, name in zip(["ts"] * 4 + [still] * 2, _SUMMARY)]
+    distinct = distinct.selectExpr("episode", "frame", "ts", "copies", "first", "last", *single)
+    if hot is not None:
+        summed = hot.selectExpr("episode", "frame", "enter as ts", "copies", f"{first} as first", f"{last} as last", *_SUMMARY)
+        others = distinct.join(hot.select("episode", "frame"), ["episode", "frame"], "left_anti")
+        distinct = others.select(*distinct.columns).union(summed.where("first <= last"))
     size = grid.anchors_per_cell
     in_cells = distinct.selectExpr(
         "*", f"explode(sequence({floor_div_sql('first', size)}, {floor_div_sql('last', size)})) as cell"
@@ -88,12 +150,13 @@ def window_frames(frames: DataFrame, grid: AnchorGrid) -> DataFrame:
         "frame",
         "ts",
         "copies",
+        *_SUMMARY,
         f"greatest(first, cell * {size}) as first",
         f"least(last, cell * {size} + {size - 1}) as last",
         f"lag(frame) {before} as prev_frame",
-        f"lag(ts) {before} as prev_ts",
+        f"lag(leave) {before} as prev_ts",
     )
-    kept = ["episode", "cell", "frame", "ts", "copies", "prev_frame", "prev_ts"]
+    kept = ["episode", "cell", "frame", "ts", "copies", *_SUMMARY, "prev_frame", "prev_ts"]
     spread = stepped.selectExpr(*kept, "explode(sequence(first, last)) as number")
     spread = spread.selectExpr(*kept, f"number * {grid.stride} as anchor")
     return spread.selectExpr("*", *[f"{grid.inside(role)} as in_{role}" for role in grid.window.roles])
@@ -102,20 +165,21 @@ def window_frames(frames: DataFrame, grid: AnchorGrid) -> DataFrame:
 def step_in_window(grid: AnchorGrid, role: str) -> str:
     """Time since the row before, NULL when that row is not in the same window."""
     low, _ = grid.window.roles[role]
-    return f"case when in_{role} and prev_frame >= anchor + ({low}) then ts - prev_ts end"
+    return f"case when in_{role} and prev_frame >= anchor + ({low}) then enter - prev_ts end"
 
 
-def anchor_statistics(frames: DataFrame, grid: AnchorGrid) -> DataFrame:
-    """Statistics of both windows of every (episode, anchor) with at least one frame near it."""
+def anchor_statistics(frames: DataFrame, grid: AnchorGrid, hot: DataFrame | None = None) -> DataFrame:
+    """Statistics of both windows of every (episode, anchor) with at least one frame near it.
+
+    ``hot`` are the summaries of :func:`hot_frames`, if there are any.
+    """
     roles = list(grid.window.roles)
-    rows = window_frames(frames, grid).selectExpr(
+    rows = window_frames(frames, grid, hot).selectExpr(
         "*", *[f"{step_in_window(grid, role)} as step_{role}" for role in roles]
     )
     measures = []
     for role in roles:
-        # copies of one frame are zero steps apart
-        still = f"case when in_{role} and copies > 1 and ts is not null then 0D end"
-        low, high = f"min(case when in_{role} then ts end)", f"max(case when in_{role} then ts end)"
+        low, high = f"min(case when in_{role} then low end)", f"max(case when in_{role} then high end)"
         values = [
             f"sum(case when in_{role} then copies end)",
             f"min(case when in_{role} then frame end)",
@@ -123,8 +187,8 @@ def anchor_statistics(frames: DataFrame, grid: AnchorGrid) -> DataFrame:
             low,
             high,
             f"{high} - {low}",
-            f"max(greatest(abs(step_{role}), {still}))",
-            f"min(least(step_{role}, {still}))",
+            f"max(greatest(abs(step_{role}), case when in_{role} then wide end))",
+            f"min(least(step_{role}, case when in_{role} then tight end))",
         ]
         measures += [F.expr(f"{value} as {name}") for value, name in zip(values, statistic_names(role))]
     # the cell is kept in the keys: it is where the rows already are, so this adds no shuffle
@@ -138,7 +202,7 @@ def attach_statistics(anchors: DataFrame, frames: DataFrame, grid: AnchorGrid) -
     that factor back without a second pass over the frames. It is empty on clean data.
     """
     repeats = anchors.groupBy("episode", "task", "anchor_frame").agg(F.expr("count(1) as times")).where("times > 1")
-    stats = anchor_statistics(frames, grid)
+    stats = anchor_statistics(frames, grid, hot_frames(frames))
     joined = (
         anchors.alias("a")
         .join(stats.alias("s"), F.expr("a.episode = s.episode and a.anchor_frame = s.anchor"), "left")

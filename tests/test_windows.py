@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from strideframe.config import FrameColumns, SyncConfig, WindowSpec
 from strideframe.operators.frames import select_frames
 from strideframe.operators.sync import anchor_samples, grid_of, synced_samples, window_statistics
-from strideframe.operators.windows import AnchorGrid, STATISTICS, anchor_statistics, window_gaps
+from strideframe.operators.windows import AnchorGrid, STATISTICS, anchor_statistics, hot_frames, window_gaps
 
 SCHEMA = "episode_index long, frame_index long, timestamp double, task_index long"
 
@@ -89,6 +89,43 @@ def test_statistics_equal_brute_force(spark, stride, window):
     assert got == brute_force(rows, stride, window)
 
 
+@pytest.mark.parametrize("least, pieces", [(0, 4), (0, 1), (1, 3)])
+def test_summed_up_frames_give_the_same_statistics(spark, least, pieces):
+    """Every frame number (or every one with several rows) summed up first, with many timestamps in some of them."""
+    rng = random.Random(least * 10 + pieces)
+    rows = dirty_frames(pieces)
+    rows += [(1, f, rng.choice([None, round(rng.uniform(-50, 50), 1)]), rng.choice([0, 1])) for f in (10, 12, 13, 40) for _ in range(60)]
+    grid = AnchorGrid(5, WindowSpec(-4, 0, 1, 4), anchors_per_cell=3)
+    frames = select_frames(spark.createDataFrame(rows, SCHEMA), FrameColumns())
+    hot = hot_frames(frames, least, pieces)
+    plain = anchor_statistics(frames, grid)
+    summed = anchor_statistics(frames, grid, hot)
+    assert hot.count() >= 4 and plain.count() == summed.count()
+    assert plain.exceptAll(summed).count() == 0
+
+
+def test_no_frame_is_hot_in_a_small_or_even_table(spark):
+    frames = select_frames(spark.createDataFrame(steady(range(30)), SCHEMA), FrameColumns())
+    assert hot_frames(frames) is None and hot_frames(frames, 5) is None
+
+
+def test_a_hot_frame_is_sorted_in_pieces(spark):
+    """300,000 timestamps of one frame number: no task sorts more than a small part of them."""
+    rows = spark.range(300_000).selectExpr("0L as episode", "5L as frame", "cast(pmod(xxhash64(id), 1000003) as double) as ts")
+    rows = rows.union(spark.createDataFrame([(0, 4, -1.0), (0, 6, 2e6)], "episode long, frame long, ts double"))
+    hot = hot_frames(rows, 1000)
+    found = anchor_statistics(rows, AnchorGrid(5, WindowSpec(-4, 0, 1, 4)), hot).where("anchor = 5").first()
+    stamps = sorted(r["ts"] for r in rows.where("frame = 5").collect())
+    steps = [b - a for a, b in zip(stamps, stamps[1:])]
+    assert found["observation_rows"] == 300_001 and found["action_rows"] == 1
+    assert found["observation_max_timestamp_gap_seconds"] == max(*steps, stamps[0] + 1)
+    assert found["observation_min_timestamp_gap_seconds"] == min(steps)
+    assert found["observation_end_timestamp"] == stamps[-1]
+    bounds = [stamps[len(stamps) * k // 64] for k in range(1, 64)]
+    largest = max(b - a for a, b in zip([0, *[stamps.index(x) for x in bounds]], [stamps.index(x) for x in bounds] + [len(stamps)]))
+    assert largest < 10_000
+
+
 def test_cell_size_does_not_matter(spark):
     frames = select_frames(spark.createDataFrame(dirty_frames(1), SCHEMA), FrameColumns())
     window = WindowSpec(-9, 2, 1, 12)
