@@ -8,7 +8,8 @@ Records with equal payloads of at least ``least`` bytes: the one with the smalle
 revisits that name it; smaller payloads are all responses. Both tables are joined by shuffle on the digest; copies of a
 payload collapse in each task before they travel, and adaptive execution splits a digest that very many records share.
 
-Nulls and repeats: a null payload is empty; a null url gives no WARC-Target-URI; a row without id is a response only if
+Control characters and line ends in a url are percent-encoded in its header. Payloads of any length are whole: one
+record is one row. Nulls and repeats: a null payload is empty; a null url gives no WARC-Target-URI; a row without id is a response only if
 no row with its payload has an id, and is never referred to; rows that share the smallest id are all responses.
 """
 
@@ -27,6 +28,17 @@ LEAST = 0
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
+#: characters that some reader takes for a line end, and all control characters
+_UNSAFE = tuple(chr(c) for c in [*range(0x20), 0x7F, *range(0x80, 0xA0), 0x2028, 0x2029])
+
+
+def _percent_encoded(url: Column) -> Column:
+    """The address with each unsafe character as its UTF-8 bytes, percent-encoded."""
+    for c in _UNSAFE:
+        url = F.replace(url, F.lit(c), F.lit("".join(f"%{b:02X}" for b in c.encode())))
+    return url
+
+
 def base32_of_hex(digest: Column) -> Column:
     """Base32 of 40 hexadecimal digits: every five digits are four characters."""
     out = []
@@ -53,8 +65,8 @@ def record_headers(pages: DataFrame, id: str, url: str, payload: str, least: int
     )
     first = rows.groupBy("digest").agg(F.min("id").alias("first"))
     revisit = (F.col("size") >= least) & F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
-    # line breaks in an address would break the header
-    address = F.regexp_replace("url", r"[\r\n]+", " ")
+    # control characters and line ends in an address would break the header
+    address = F.when(F.col("url").rlike(f"[{''.join(_UNSAFE)}]"), _percent_encoded(F.col("url"))).otherwise(F.col("url"))
     header = _lines(
         [
             ("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
@@ -139,7 +151,7 @@ def record_bytes(header: Column, payload: Column) -> Column:
 
 
 def header_field(header: Column, name: str) -> Column:
-    value = F.regexp_extract(header, rf"(?m)^{name}: ([^\r\n]*)", 1)
+    value = F.regexp_extract(header, rf"(?d)(?m)^{name}: ([^\r\n]*)", 1)
     return F.when(value != "", value)
 
 
