@@ -2,6 +2,7 @@ import base64
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -52,6 +53,18 @@ def test_archive_least_size_files_and_damage(frame, tmp_path, spark):
         archive.read_archive(spark, f"file://{tmp_path}/c").count()
 
 
+def test_archive_forged_fields(frame, tmp_path, spark):
+    rows = [(7, "http://a", "x"), (8, "http://b\u2028WARC-Refers-To: <urn:page:7>", "y"), (9, "http://c\x85WARC-Type: revisit\r\nWARC-Type: revisit", "z")]
+    folder = f"file://{tmp_path}/forged"
+    archive.write_archive(frame(rows, "page_id long, url string, html string"), folder)
+    got = archive.read_archive(spark, folder)
+    field = lambda name: archive.header_field(F.col("header"), name)
+    found = {r["id"]: r for r in got.select("id", field("WARC-Refers-To").alias("refers"), field("WARC-Type").alias("kind"), field("WARC-Target-URI").alias("url")).collect()}
+    assert all(r["refers"] is None and r["kind"] == "response" for r in found.values())
+    assert found[8]["url"] == "http://b%E2%80%A8WARC-Refers-To: <urn:page:7>"
+    assert found[9]["url"] == "http://c%C2%85WARC-Type: revisit%0D%0AWARC-Type: revisit"
+
+
 def test_archive_empty(spark, tmp_path):
     archive.write_archive(spark.createDataFrame([], "page_id long, url string, html string"), f"file://{tmp_path}/e")
     assert archive.read_archive(spark, f"file://{tmp_path}/e").count() == 0
@@ -144,6 +157,15 @@ def test_top_k_large_components_and_empty(frame, spark):
     assert search.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_products_beyond_doubles_and_repeated_rows(frame):
+    rows = [(0, [1e308, 1.0]), (1, [1e308, -5.0]), (2, [-1e308, 0.5]), (2, [-1e308, 0.5]), (3, [0.25, 7.0]), (3, [0.25, 7.0])]
+    got = search.top_k(frame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=9).collect()
+    whole = lambda v: [int(x) * 64 if abs(x) > 1e300 else math.floor(64 * x) for x in v]
+    score = lambda v: max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(whole(rows[0][1]), whole(v)))))
+    want = sorted(((i, score(v)) for i, v in rows[1:]), key=lambda x: (-x[1], x[0]))
+    assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == want
+
+
 # --- toxicity
 
 
@@ -158,6 +180,50 @@ def test_grammar_contexts():
     assert label("clean text, no terms") == [] and label("") == []
 
 
+def _plain_matches(text, lexicon):
+    """Contexts looked up token by token from their definition, without machines."""
+    T = toxicity
+    tokens = re.findall(r"[^\W_]+(?:'[^\W\d_]+)?|[.!?;,:\n]", text.lower())
+
+    def term(token):
+        if token in T.TERMS:
+            return T.TERMS.index(token)
+        if token in T.TARGETS + T.NEGATIONS + T.REPORTS or not token[0].isalnum():
+            return None
+        names = [token] + [token[:n] + "*" for n in range(len(token) - 1, 0, -1)]
+        return next((lexicon.learnt[n] for n in names if n in lexicon.learnt), None)
+
+    out, clause = [], []
+    for k, token in enumerate(tokens):
+        if token in ".!?\n;,:":
+            out, clause = out + [clause] * bool(clause), []
+        elif (number := term(token)) is not None:
+            ends = [j for j, t in enumerate(tokens) if t in ".!?\n;,:"]
+            low, high = max([j + 1 for j in ends if j < k], default=0), min([j for j in ends if j > k], default=len(tokens))
+            sentence = max([j + 1 for j, t in enumerate(tokens[:k]) if t in ".!?\n"], default=0)
+            told = any(t in T.REPORTS for t in tokens[sentence:k])
+            negated = any(t in T.NEGATIONS for t in tokens[max(low, k - T.NEGATION_SCOPE) : k])
+            target = any(t in T.TARGETS for t in tokens[max(low, k - T.TARGET_SCOPE) : k] + tokens[k + 1 : min(high, k + 1 + T.TARGET_SCOPE)])
+            kind = 8 if number >= len(T.TERMS) else 4 if token in T.THREATS else 0
+            clause.append((number, kind + (3 if told else 2 if negated else 1 if target else 0)))
+    return out + [clause] * bool(clause)
+
+
+def test_grammar_against_plain_version():
+    rng = random.Random(6)
+    lexicon = toxicity.Lexicon(("fleeb", "grax*", "gra*"))
+    words = ["you", "he", "not", "never", "said", "moron", "idiot", "kill", "fleeb", "graxon", "gravel", "graz", "table", "tree", "x1", ",", ";", ".", "!", "\n"]
+    some = 0
+    for _ in range(3000):
+        text = " ".join(rng.choice(words) for _ in range(rng.randrange(30)))
+        want = _plain_matches(text, lexicon)
+        some += bool(want)
+        assert toxicity.matches(text, lexicon) == want, text
+    assert some > 1000
+    label = lambda text: [toxicity.LABELS[n] for clause in toxicity.matches(text, lexicon) for _, n in clause]
+    assert label("you are a fleeb") == ["learnt_target"] and label("he said you are not a fleeb") == ["learnt_reported"]
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.01"
     rows = QUERIES["op6_toxicity"](spark, folder).collect()
@@ -251,6 +317,29 @@ def test_cutoffs_keep_the_promise(frame):
     assert few == set()  # 50 labels prove nothing
 
 
+def test_rejections_of_all_measures_together_stay_below_alpha(spark):
+    """Measures that each hit a different 0.8 % of the good documents would together reject 3.2 %."""
+    u = F.pmod(F.xxhash64("id"), F.lit(1000))
+    names = list(quality.MEASURES)
+    hit = lambda k: F.when((u >= 8 * k) & (u < 8 * k + 8), 100.0).otherwise(0.0).alias(names[k])
+    good = spark.range(200_000).select(F.lit("s").alias("stratum"), *[hit(k) for k in range(4)]).cache()
+    limits = quality.cutoffs(good, 1).first()
+    rejected = F.lit(False)
+    for name in names:
+        if limits is not None and limits[f"{name}_cutoff"] is not None:
+            rejected = rejected | (F.col(name) > limits[f"{name}_cutoff"])
+    assert good.where(rejected).count() <= 0.01 * 200_000
+    assert limits is not None  # the first measure alone is accepted
+    good.unpersist()
+
+
+def test_copies_of_a_text_are_one_trial(frame):
+    text = " ".join(f"w{i}" for i in range(20))
+    docs = frame([(i, text, "en") for i in range(2000)] + [(5000, "#" * 60 + " " + text, "en")], "doc_id long, text string, lang string")
+    labels = frame([(i, 1, 0) for i in range(2000)], "doc_id long, quality int, toxic int")
+    assert quality.judge(docs, labels).where("kept").count() == 2001  # one text proves nothing
+
+
 def test_cutoffs_use_all_labels_of_a_small_stratum(spark):
     """800 labels of a stratum prove a cutoff, however many labels the others have."""
     zero = [F.lit(0.0).alias(n) for n in ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "mean_word_chars")]
