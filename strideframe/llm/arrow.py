@@ -6,6 +6,19 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lower the rows that Spark puts into one Arrow batch for this session, when more are allowed.
+
+    Spark counts rows, not bytes, and holds whole batches on both sides: 10,000 texts of some kilobytes are tens of
+    megabytes in the executor and again in its worker.
+    """
+    if int(spark.conf.get(_BATCH_ROWS)) > rows or int(spark.conf.get(_BATCH_ROWS)) <= 0:
+        spark.conf.set(_BATCH_ROWS, str(rows))
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -218,7 +218,7 @@ class _Merged(dict):
 class Vocabulary:
     """Ranks of a vocabulary file, with merged pre-tokens kept until there are ``CACHE`` (looked at once a batch)."""
 
-    CACHE = 300_000
+    CACHE = 100_000
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -461,9 +461,10 @@ def encode(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(shared.value)
-        for batch in slices(batches, text, 1 << 20):
+        for batch in slices(batches, text, 1 << 19):
             made = results(words, batch.column(text))
             yield pa.RecordBatch.from_pydict({f.name: made[f.name] if f.name in add else batch.column(f.name) for f in schema})
+        pa.default_memory_pool().release_unused()  # the worker may serve other stages
 
     return docs.mapInArrow(work, schema)
 
