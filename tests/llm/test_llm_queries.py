@@ -28,7 +28,7 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark, sf_dir):
@@ -44,7 +44,7 @@ def test_pipeline_stages(spark, sf_dir):
     rows = {n: [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()] for n, df in kept.items() if n != "byte_bpe"}
     judged = {r["doc_id"] for r in QUERIES["op9_quality_rules"](spark, sf_dir).where("kept").collect()}
     assert {i for i, _ in rows["quality_rules"]} == judged
-    groups = brute.components(rows["quality_rules"])
+    groups = brute.components(rows["quality_rules"], percent=80)
     assert sorted(i for i, _ in rows["near_dedup"]) == sorted(set(groups.values()))
     assert [i for i, _ in sorted(rows["secrets"])] == [i for i, _ in sorted(rows["near_dedup"])]
     assert all(not brute.base_spans(t) for _, t in rows["secrets"])
