@@ -25,3 +25,28 @@ def test_contract_all_with_four_digit_chunks(spark, many_chunks):
     duck = oracle.connect(many_chunks)
     assert duck.execute("select max(conv_id) from conversations").fetchone()[0] >= 10000
     assert oracle.compare(duck, ORACLES["contract_all"], QUERIES["contract_all"](spark, many_chunks)) is None
+
+
+@pytest.fixture(scope="module")
+def in_parts(spark, tmp_path_factory, sf_dir):
+    """The test tables with two of them as folders of part files, and one without rows."""
+    place = tmp_path_factory.mktemp("in-parts")
+    folders = ("documents", "conversations")
+    for name in oracle.TABLES:
+        if name in folders:
+            spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(3).write.parquet(f"{place}/{name}.parquet")
+        elif name == "labels":
+            duckdb.sql(f"copy (from '{sf_dir}/labels.parquet' limit 0) to '{place}/labels.parquet' (format parquet)")
+        else:
+            os.symlink(f"{sf_dir}/{name}.parquet", place / f"{name}.parquet")
+    duck = duckdb.connect()
+    for name in oracle.TABLES:
+        files = f"{place}/{name}.parquet" + ("/*.parquet" if name in folders else "")
+        duck.execute(f"create view {name} as select * from read_parquet('{files}')")
+    return str(place), duck
+
+
+@pytest.mark.parametrize("name", ["file_inventory"])
+def test_files_of_tables_in_parts(spark, in_parts, name):
+    place, duck = in_parts
+    assert oracle.compare(duck, ORACLES[name], QUERIES[name](spark, place)) is None
