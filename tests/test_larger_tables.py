@@ -46,7 +46,7 @@ def in_parts(spark, tmp_path_factory, sf_dir):
     return str(place), duck
 
 
-@pytest.mark.parametrize("name", ["file_inventory"])
+@pytest.mark.parametrize("name", ["file_inventory", "file_row_counts"])
 def test_files_of_tables_in_parts(spark, in_parts, name):
     place, duck = in_parts
     assert oracle.compare(duck, ORACLES[name], QUERIES[name](spark, place)) is None
