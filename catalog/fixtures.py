@@ -103,14 +103,16 @@ def event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus",
+        _coded(F.concat("l_returnflag", "l_linestatus"), LINE_TASKS).alias("task_index"),
+        F.date_trunc("quarter", "l_shipdate").alias("quarter"),
     )
-    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
-    return with_group_position(lines, ["l_suppkey"], "l_shipdate", order, "frame_index").select(
+    # a supplier has about one line a day, so pieces of a day would be as many as the lines
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
+    return with_group_position(lines, ["l_suppkey"], "quarter", order, "frame_index").select(
         F.col("l_suppkey").alias("episode_index"),
         "frame_index",
         (micros("l_shipdate") / F.lit(1e6)).alias("timestamp"),
-        _coded(F.concat("l_returnflag", "l_linestatus"), LINE_TASKS).alias("task_index"),
+        "task_index",
     )
 
 

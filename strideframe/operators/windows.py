@@ -72,6 +72,8 @@ class AnchorGrid:
 
 #: a frame number with more rows than this is summed up before it enters a cell
 HOT_ROWS = 1_000_000
+#: frame numbers are counted together in these before they are counted by themselves
+HOT_BUCKETS = 16_384
 PIECES = 64
 # a row's own part of a statistic: edges in time order, extremes, and largest and smallest step between its own rows
 _SUMMARY = ["enter", "leave", "low", "high", "wide", "tight"]
@@ -111,7 +113,14 @@ def hot_frames(frames: DataFrame, least: int = HOT_ROWS, pieces: int = PIECES) -
     """
     if frames.count() <= least:
         return None
-    counts = frames.where("episode is not null and frame is not null").groupBy("episode", "frame").agg(F.expr("count(1) as n"))
+    bucket = F.pmod(F.xxhash64("episode", "frame"), F.lit(HOT_BUCKETS))
+    keyed = frames.where("episode is not null and frame is not null").select("episode", "frame", bucket.alias("bucket"))
+    # a number with very many rows lies in a bucket with at least as many, so only the rows of such buckets are counted by number
+    sizes = keyed.groupBy("bucket").agg(F.expr("count(1) as n"))
+    full = scratch.store(sizes.where(F.col("n") > least).select("bucket"), "full-buckets")
+    if full.isEmpty():
+        return None
+    counts = keyed.join(full, "bucket", "left_semi").groupBy("episode", "frame").agg(F.expr("count(1) as n"))
     keys = scratch.store(counts.where(F.col("n") > least).select("episode", "frame"), "hot-frames")
     if keys.isEmpty():
         return None
@@ -124,41 +133,28 @@ def window_frames(frames: DataFrame, grid: AnchorGrid, hot: DataFrame | None = N
     ``_SUMMARY``. Frame numbers with a ``hot`` summary are one row.
     """
     first, last = grid.numbers()
-    near = frames.selectExpr("episode", "frame", "ts", f"{first} as first", f"{last} as last").where(
-        "episode is not null and first <= last"
-    )
+    near = frames.selectExpr("episode", "frame", "ts").where(f"episode is not null and {first} <= {last}")
     # exact copies of a frame become one row before anything is shuffled
-    distinct = near.groupBy("episode", "frame", "ts").agg(
-        F.expr("count(1) as copies"), F.expr("min(first) as first"), F.expr("min(last) as last")
-    )
+    distinct = near.groupBy("episode", "frame", "ts").agg(F.expr("count(1) as copies"))
     # copies of one frame are zero steps apart
     still = "case when copies > 1 and ts is not null then 0D end"
     single = [f"{value} as {name}" for value, name in zip(["ts"] * 4 + [still] * 2, _SUMMARY)]
-    distinct = distinct.selectExpr("episode", "frame", "ts", "copies", "first", "last", *single)
     if hot is not None:
-        summed = hot.selectExpr("episode", "frame", "enter as ts", "copies", f"{first} as first", f"{last} as last", *_SUMMARY)
+        summed = hot.selectExpr("episode", "frame", "enter as ts", "copies", *_SUMMARY).where(f"{first} <= {last}")
         others = distinct.join(hot.select("episode", "frame"), ["episode", "frame"], "left_anti")
-        distinct = others.select(*distinct.columns).union(summed.where("first <= last"))
+        distinct = others.selectExpr("episode", "frame", "ts", "copies", *single).union(summed)
     size = grid.anchors_per_cell
-    in_cells = distinct.selectExpr(
-        "*", f"explode(sequence({floor_div_sql('first', size)}, {floor_div_sql('last', size)})) as cell"
-    )
+    cells = f"sequence({floor_div_sql(first, size)}, {floor_div_sql(last, size)})"
+    in_cells = distinct.selectExpr("*", f"explode({cells}) as cell")
     before = "over (partition by episode, cell order by frame, ts)"
-    stepped = in_cells.selectExpr(
-        "episode",
-        "cell",
-        "frame",
-        "ts",
-        "copies",
-        *_SUMMARY,
-        f"greatest(first, cell * {size}) as first",
-        f"least(last, cell * {size} + {size - 1}) as last",
-        f"lag(frame) {before} as prev_frame",
-        f"lag(leave) {before} as prev_ts",
-    )
-    kept = ["episode", "cell", "frame", "ts", "copies", *_SUMMARY, "prev_frame", "prev_ts"]
-    spread = stepped.selectExpr(*kept, "explode(sequence(first, last)) as number")
-    spread = spread.selectExpr(*kept, f"number * {grid.stride} as anchor")
+    leave = "ts" if hot is None else "leave"
+    stepped = in_cells.selectExpr("*", f"lag(frame) {before} as prev_frame", f"lag({leave}) {before} as prev_ts")
+    # what follows from the row itself is put to it here, after the shuffle into cells
+    summary = single if hot is None else _SUMMARY
+    kept = ["episode", "cell", "frame", "ts", "copies", "prev_frame", "prev_ts"]
+    numbers = f"sequence(greatest({first}, cell * {size}), least({last}, cell * {size} + {size - 1}))"
+    spread = stepped.selectExpr(*kept, *summary, f"explode({numbers}) as number")
+    spread = spread.selectExpr(*kept, *_SUMMARY, f"number * {grid.stride} as anchor")
     return spread.selectExpr("*", *[f"{grid.inside(role)} as in_{role}" for role in grid.window.roles])
 
 

@@ -1,12 +1,17 @@
 """Queries on tables that differ from the small test tables: more episodes, tables in part files."""
 
 import os
+import re
 
 import duckdb
 import oracle
 import pytest
 
+from catalog import fixtures as X
 from catalog.queries import ORACLES, QUERIES
+from strideframe.config import WindowSpec
+from strideframe.operators.windows import AnchorGrid, anchor_statistics, hot_frames
+from strideframe.sources import scratch
 
 
 @pytest.fixture(scope="module")
@@ -50,3 +55,31 @@ def in_parts(spark, tmp_path_factory, sf_dir):
 def test_files_of_tables_in_parts(spark, in_parts, name):
     place, duck = in_parts
     assert oracle.compare(duck, ORACLES[name], QUERIES[name](spark, place)) is None
+
+
+# --- bytes shuffled by the window join ---------------------------------------------------------------------------------
+
+
+def test_frames_enter_their_cells_narrow(spark, capsys):
+    frames = spark.createDataFrame([(1, 0, 0.5), (1, 1, 1.5)], "episode long, frame long, ts double")
+    anchor_statistics(frames, AnchorGrid(30, WindowSpec(-10, 0, 1, 10))).explain("formatted")
+    shuffles = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\(episode#\d+L, cell#\d+L,", capsys.readouterr().out)
+    assert len(shuffles) == 1
+    assert sorted(re.findall(r"(\w+)#", shuffles[0])) == ["cell", "copies", "episode", "frame", "ts"]
+
+
+def test_frame_numbers_are_counted_only_where_one_can_be_hot(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(scratch, "store", lambda df, label, store=scratch.store: stored.append(label) or store(df, label))
+    spread = spark.range(3000).selectExpr("id % 7 as episode", "id as frame", "double(id) as ts")
+    assert hot_frames(spread, 1000) is None and stored == ["full-buckets"]
+    hot = spread.union(spark.range(1500).selectExpr("3L as episode", "5L as frame", "double(id) as ts"))
+    found = hot_frames(hot, 1000).collect()
+    assert [(r["episode"], r["frame"], r["copies"]) for r in found] == [(3, 5, 1500)]
+
+
+def test_lines_are_numbered_in_few_pieces(spark, sf_dir, capsys):
+    """A supplier has about one line a day: a piece for every day would be a row for every line."""
+    X.line_frames(spark, sf_dir).explain("formatted")
+    keys = re.findall(r"hashpartitioning\((l_suppkey#\d+L, [^)]*), \d+\)", capsys.readouterr().out)
+    assert keys and not [k for k in keys if "l_shipdate" in k]
