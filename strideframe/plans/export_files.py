@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from strideframe.operators import checks as C
 from strideframe.operators import export as X
 from strideframe.operators.manifest import manifest_digest
-from strideframe.operators.ordering import sort_stored
-from strideframe.sources import files
+from strideframe.operators.ordering import sort_placed
+from strideframe.sources import files, scratch
 from strideframe.sources.small import literal_table
 
 LOG_SCHEMA = "export_version string, committed_at string, path string"
@@ -65,8 +65,10 @@ def write_export(
     X.export_tasks(indexed).orderBy("task_index").write.parquet(place["tasks"])
     tasks = spark.read.parquet(place["tasks"])
     chunked = X.export_rows(indexed, tasks, frames).withColumn("chunk_index", X.chunk_of(chunk_rows))
-    sort_stored(chunked, ["chunk_index", "index"]).write.partitionBy("chunk_index").parquet(place["data"])
-    rows = spark.read.parquet(place["data"]).drop("chunk_index")
+    # the side tables come from the copy that is sorted, not from the data folders: these may be very many small files
+    stored = scratch.store(chunked, "unsorted")
+    sort_placed(stored, ["chunk_index", "index"]).write.partitionBy("chunk_index").parquet(place["data"])
+    rows = stored.drop("chunk_index")
     X.export_chunks(rows, chunk_rows).orderBy("chunk_index").write.parquet(f"{path}/{CHUNKS}")
     X.export_episodes(rows).orderBy("episode_index").write.parquet(place["episodes"])
     X.sample_refs(indexed, refs, keep=["index"]).orderBy("index").drop("index").write.json(place["refs"])

@@ -6,12 +6,18 @@ import re
 import duckdb
 import oracle
 import pytest
+from pyspark.sql import functions as F
+from test_build import built  # noqa: F401
 
 from catalog import fixtures as X
 from catalog.queries import ORACLES, QUERIES
 from strideframe.config import WindowSpec
+from strideframe.operators import export as E
+from strideframe.operators.ordering import indexed_rows
 from strideframe.operators.windows import AnchorGrid, anchor_statistics, hot_frames
-from strideframe.sources import scratch
+from strideframe.plans.build import MANIFEST
+from strideframe.plans.export_files import write_export
+from strideframe.sources import files, scratch
 
 
 @pytest.fixture(scope="module")
@@ -57,6 +63,28 @@ def test_files_of_tables_in_parts(spark, in_parts, name):
     assert oracle.compare(duck, ORACLES[name], QUERIES[name](spark, place)) is None
 
 
+# --- many small folders -----------------------------------------------------------------------------------------------
+
+
+def test_side_tables_of_an_export_do_not_read_its_data_folders(spark, built, tmp_path, monkeypatch):
+    base, _, store = built
+    read = {}
+    for name in ("export_chunks", "export_episodes", "export_info"):
+        def watched(rows, *args, plain=getattr(E, name), name=name):
+            read[name] = rows.inputFiles()
+            return plain(rows, *args)
+
+        monkeypatch.setattr(E, name, watched)
+    manifest = indexed_rows(store.read(MANIFEST), "index")
+    frames = files.read_parquet_tree(spark, f"{base}/snapshot/data")
+    refs = spark.createDataFrame([], "episode_id string, position int, video_key string, path string, exists boolean")
+    done = write_export(manifest, frames, refs, str(tmp_path / "e"), "2026-01-01T00:00:00+00:00", chunk_rows=10)
+    assert len(read) == 3 and not [f for paths in read.values() for f in paths if "chunk_index=" in f]
+    data = spark.read.parquet(f"{done['export_dir']}/data")
+    for row in data.groupBy("chunk_index").agg(F.min("index"), F.max("index") + 1, F.count("*")).collect():
+        assert spark.read.parquet(f"{done['export_dir']}/meta/chunks").where(F.col("chunk_index") == row[0]).first()[1:] == row[1:]
+
+
 # --- bytes shuffled by the window join ---------------------------------------------------------------------------------
 
 
