@@ -66,6 +66,23 @@ def test_files_of_tables_in_parts(spark, in_parts, name):
 # --- many small folders -----------------------------------------------------------------------------------------------
 
 
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    folders, most = 64, 4 * spark.sparkContext.defaultParallelism
+    assert most < folders
+    spark.range(folders).selectExpr("id", "id as folder").repartition(1).write.partitionBy("folder").parquet(f"{tmp_path}/t")
+    before = spark.conf.get(files.LISTING_TASKS)
+    spark.sparkContext.setJobGroup("listing", "read a tree of folders")
+    try:
+        rows = files.read_parquet_tree(spark, f"{tmp_path}/t")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    assert 1 < max(stage.numTasks for stage in stages) <= most
+    assert spark.conf.get(files.LISTING_TASKS) == before
+    assert sorted(r["id"] for r in rows.collect()) == list(range(folders))
+
+
 def test_side_tables_of_an_export_do_not_read_its_data_folders(spark, built, tmp_path, monkeypatch):
     base, _, store = built
     read = {}
